@@ -1,44 +1,15 @@
-"""Registered queries: one Spark plan per operator group, with its SQL oracle.
-
-``QUERIES[name](spark, sf_dir)`` returns a DataFrame over the whole driver
-tables; ``ORACLES[name]`` is the same result written as plain SQL over the same
-tables (DuckDB dialect).  Both sides alias every computed column identically.
-Doubles that come out of an aggregate are rounded the same way on both sides
-(``round(x, 6)``) so that the comparison does not depend on summation order.
-"""
+"""Curate and warehouse queries (PRJ*, AGG1-AGG5, AGG13-AGG14, FLT*, SRT*)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import curate as cur
 from tidemark.operators import marts
 from tidemark.plans import fixtures as fx
+from tidemark.plans.registry import r6, register
 from tidemark.schema import SOURCES
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        if name in QUERIES:
-            raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql.strip()
-        return fn
-    return deco
-
-
-def r6(col):
-    """Rounding applied to aggregated doubles on the Spark side (DuckDB: round(x, 6))."""
-    return F.round(col, 6)
-
-
 # Run ids of the fixture runs.
 RUN_PART, RUN_CUSTOMER, RUN_ORDERS, RUN_LINEITEM = "run-part", "run-customer", "run-orders", "run-lineitem"
 DELIVERY_RUN = "run-purchase"
