@@ -181,9 +181,13 @@ def curate(
     loaded_at,
     mapping: str | None = None,
     ordinal: str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Map raw/prepared rows to the 11-column curated schema (PRJ1-PRJ6, PRJ9).
 
+    ``carry`` names input columns appended after the curated ones (for example
+    the stored ordinal, so later joins can use it).
+
     ``ordinal`` names the stored 1-based position column (D8); it replaces the
     id when the id is NULL or the field does not exist.  ``mapping`` picks the
     branch; by default ``products``/``users``/``carts`` use their own and every
@@ -226,8 +230,8 @@ def curate(
         branch = _branch_generic(df)
 
     cols = {**common, **branch}
-    out = df.select(*[cols[name].cast(CURATED_SCHEMA[name].dataType).alias(name) for name in CURATED_COLUMNS])
-    return out
+    return df.select(*[cols[name].cast(CURATED_SCHEMA[name].dataType).alias(name) for name in CURATED_COLUMNS],
+                     *[F.col(c) for c in carry])
 
 
 def add_missing_columns(df: DataFrame, declared: T.StructType) -> DataFrame:

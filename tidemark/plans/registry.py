@@ -36,6 +36,6 @@ def r6(col):
 
 def load_all() -> tuple[dict, dict]:
     """Import every query module (each registers itself) and return the maps."""
-    from tidemark.plans import catalog, q_prepare, q_quality  # noqa: F401
+    from tidemark.plans import catalog, q_audit, q_lineage, q_prepare, q_quality  # noqa: F401
 
     return QUERIES, ORACLES
