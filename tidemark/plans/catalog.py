@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import curate as cur
 from tidemark.operators import marts
 from tidemark.plans import fixtures as fx
-from tidemark.plans.registry import r6, register
+from tidemark.plans.registry import r2, r6, register
 from tidemark.schema import SOURCES
 
 # Run ids of the fixture runs.
@@ -133,31 +133,31 @@ register("first_numeric_metric", CUR_ENTERPRISE_SQL)(curated_enterprise)
 
 @register("fct_source_metrics", f"""
 SELECT source_entity, category, metric_name, CAST(loaded_at AS DATE) AS load_date,
-       count(*) AS record_count, round(sum(metric_value), 6) AS metric_sum,
+       count(*) AS record_count, round(sum(metric_value), 2) AS metric_sum,
        round(avg(metric_value), 6) AS metric_avg, max(loaded_at) AS last_loaded_at
 FROM ({CUR_ALL_SQL}) c
 GROUP BY source_entity, category, metric_name, CAST(loaded_at AS DATE)""")
 def q_fct_source_metrics(spark, sf_dir):
     m = marts.daily_metrics(curated_all(spark, sf_dir))
-    return m.withColumns({"metric_sum": r6(F.col("metric_sum")), "metric_avg": r6(F.col("metric_avg"))})
+    return m.withColumns({"metric_sum": r2(F.col("metric_sum")), "metric_avg": r6(F.col("metric_avg"))})
 
 
 @register("run_check", f"""
-SELECT count(*) AS records, round(COALESCE(sum(metric_value), 0), 6) AS metric_sum,
+SELECT count(*) AS records, round(COALESCE(sum(metric_value), 0), 2) AS metric_sum,
        count(DISTINCT source_entity) AS source_count
 FROM ({CUR_POSTS_SQL}) c WHERE run_id = '{DELIVERY_RUN}'""")
 def q_run_check(spark, sf_dir):
     out = marts.run_check(curated_posts(spark, sf_dir), DELIVERY_RUN)
-    return out.withColumn("metric_sum", r6(F.col("metric_sum")))
+    return out.withColumn("metric_sum", r2(F.col("metric_sum")))
 
 
 @register("run_checks", f"""
-SELECT run_id, count(*) AS records, round(COALESCE(sum(metric_value), 0), 6) AS metric_sum,
+SELECT run_id, count(*) AS records, round(COALESCE(sum(metric_value), 0), 2) AS metric_sum,
        count(DISTINCT source_entity) AS source_count
 FROM ({CUR_ALL_SQL}) c GROUP BY run_id""")
 def q_run_checks(spark, sf_dir):
     out = marts.run_checks(curated_all(spark, sf_dir))
-    return out.withColumn("metric_sum", r6(F.col("metric_sum")))
+    return out.withColumn("metric_sum", r2(F.col("metric_sum")))
 
 
 @register("delivery_page", f"""
@@ -175,11 +175,11 @@ def q_delivery_record(spark, sf_dir):
 
 
 @register("delivery_summary", f"""
-SELECT count(*) AS records_total, round(COALESCE(sum(metric_value), 0), 6) AS metric_sum
+SELECT count(*) AS records_total, round(COALESCE(sum(metric_value), 0), 2) AS metric_sum
 FROM ({CUR_POSTS_SQL}) c WHERE run_id = '{DELIVERY_RUN}'""")
 def q_delivery_summary(spark, sf_dir):
     out = marts.delivery_summary(curated_posts(spark, sf_dir), DELIVERY_RUN)
-    return out.withColumn("metric_sum", r6(F.col("metric_sum")))
+    return out.withColumn("metric_sum", r2(F.col("metric_sum")))
 
 
 @register("entity_counts", f"""
@@ -197,13 +197,13 @@ def q_load_metric_sum(spark, sf_dir):
 
 @register("category_histogram", f"""
 SELECT COALESCE(category, entity_name, status, 'other') AS category_key, count(*) AS records,
-       min(id) AS first_seen, round(sum(metric_value), 6) AS metric_total
+       min(id) AS first_seen, round(sum(metric_value), 2) AS metric_total
 FROM (SELECT c.*, CAST(split_part(dw_id, '_', 2) AS BIGINT) AS id FROM ({CUR_PRODUCTS_SQL}) c) t
 GROUP BY COALESCE(category, entity_name, status, 'other')""")
 def q_category_histogram(spark, sf_dir):
     c = curated_products(spark, sf_dir).withColumn(
         "id", F.split_part(F.col("dw_id"), F.lit("_"), F.lit(2)).cast("bigint"))
-    return marts.category_histogram(c, "id").withColumn("metric_total", r6(F.col("metric_total")))
+    return marts.category_histogram(c, "id").withColumn("metric_total", r2(F.col("metric_total")))
 
 
 @register("report_rows", f"""

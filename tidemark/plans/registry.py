@@ -4,7 +4,8 @@
 tables; ``ORACLES[name]`` is the same result written as plain SQL over the same
 tables (DuckDB dialect).  Both sides alias every computed column identically.
 Doubles that come out of an aggregate are rounded the same way on both sides
-(``round(x, 6)``) so that the comparison does not depend on summation order.
+(sums to 2 places, averages to 6) so the comparison does not depend on
+summation order.
 """
 
 from __future__ import annotations
@@ -30,12 +31,21 @@ def register(name: str, sql: str | None = None):
 
 
 def r6(col):
-    """Rounding applied to aggregated doubles on the Spark side (DuckDB: round(x, 6))."""
+    """Rounding applied to averages on the Spark side (DuckDB: round(x, 6))."""
     return F.round(col, 6)
 
 
+def r2(col):
+    """Rounding applied to sums of 2-decimal amounts (DuckDB: round(x, 2)).
+
+    Large sums differ in the last bits with the summation order; the exact
+    sum of 2-decimal values has 2 decimals, so rounding there is lossless.
+    """
+    return F.round(col, 2)
+
+
 def load_all() -> tuple[dict, dict]:
     """Import every query module (each registers itself) and return the maps."""
-    from tidemark.plans import catalog, q_audit, q_lineage, q_prepare, q_quality  # noqa: F401
+    from tidemark.plans import catalog, q_audit, q_lineage, q_prepare, q_quality, q_sources  # noqa: F401
 
     return QUERIES, ORACLES
