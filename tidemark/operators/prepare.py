@@ -388,16 +388,21 @@ def prepare(
     ordinal: str | None = None,
     exclude=DEFAULT_EXCLUDE,
 ) -> Prepared:
-    """PRE1-PRE7 end to end on a raw DataFrame."""
+    """PRE1-PRE7 end to end on a raw DataFrame.
+
+    An ``ordinal`` other than the id is an internal column: it is never
+    imputed and does not count in the profile or the type listing.
+    """
     spark = raw.sparkSession
+    internal = (ordinal,) if ordinal and ordinal != id_col else ()
+    exclude = tuple(exclude) + internal
     cleaned = trim_blank(raw)
     defaults = default_columns(cleaned, exclude)
     imputed = impute(cleaned, defaults)
     if corrections is None:
         corrections = spark.createDataFrame([], "seq long, record_id string, column string, value string")
     rows, audit = correct(imputed, corrections, id_col=id_col, ordinal=ordinal)
-
-    profile = preparation_profile(raw, defaults, audit)
+    profile = preparation_profile(raw.drop(*internal), defaults, audit)
     return Prepared(rows=rows, cleaned=cleaned, imputed=imputed,
                     imputation_log=imputation_log(cleaned, defaults), corrections=audit,
-                    profile=profile, column_types=column_types(rows))
+                    profile=profile, column_types=column_types(rows.drop(*internal)))

@@ -15,30 +15,40 @@ from pyspark.sql import functions as F
 ROW_NUMBER = "_row_number"
 
 
-def with_row_number(df: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
-    """Add a consecutive 1-based ordinal following (file path, block start, line).
+def file_position(df: DataFrame) -> DataFrame:
+    """Tag a file scan with ``_file`` and ``_block`` (path and split start)."""
+    return df.select("*", F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"))
+
 
-    ``df`` must be a direct file scan (it reads ``_metadata``).  Rows of one
-    block are read in file order inside one task, and
-    ``monotonically_increasing_id`` grows by one per row inside a task, so
-    ``id - min(id) of the block`` is the line's position inside the block.
+def number_rows(tagged: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
+    """Consecutive 1-based ordinal over rows tagged by ``file_position``.
+
+    Rows of one block are produced in file order inside one task (also after
+    narrow steps such as an ``explode``), and ``monotonically_increasing_id``
+    grows by one per row inside a task, so ``id - min(id) of the block`` is a
+    row's position inside its block.
     """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
+    tagged = tagged.withColumn("_mid", F.monotonically_increasing_id())
     blocks = tagged.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_file", "_block", "_first",
                             F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_offset"))
     out = tagged.join(F.broadcast(offsets), ["_file", "_block"])
-    return out.select(*[F.col(c) for c in df.columns],
+    keep = [c for c in tagged.columns if c not in ("_file", "_block", "_mid")]
+    return out.select(*[F.col(c) for c in keep],
                       (F.col("_offset") + (F.col("_mid") - F.col("_first")) + 1).alias(name))
 
 
+def with_row_number(df: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
+    """Add a consecutive 1-based ordinal following (file path, block start, line).
+
+    ``df`` must be a direct file scan (it reads ``_metadata``).
+    """
+    return number_rows(file_position(df), name)
+
+
 def page(df: DataFrame, skip: int, limit: int, name: str = ROW_NUMBER) -> DataFrame:
     """SRC5: rows ``skip+1 .. skip+limit`` by stored ordinal — a range filter,
     not a sort, so it prunes row groups when the ordinal is stored in Parquet."""

@@ -33,19 +33,22 @@ def read_payload_text(spark: SparkSession, path: str, *, layout: str = "lines")
     return spark.read.text(path, wholetext=(layout == "document"))
 
 
-def unwrap(payloads: DataFrame, collection_key: str, *, payload_id: str | None = None) -> DataFrame:
+def unwrap(payloads: DataFrame, collection_key: str, *, payload_id: str | None = None,
+           keep: tuple[str, ...] = (), top_level_array: bool = False) -> DataFrame:
     """SRC3: records of the collection, one row each, with ``_pos`` (0-based
     position inside its payload) and the payload id when given.
 
-    A payload whose key is missing or not an array contributes no rows; a
-    top-level array read with ``multiLine`` is already one row per record.
+    A payload whose key is missing or not an array contributes no rows.  A
+    top-level array document is already one row per record when read; pass
+    ``top_level_array=True`` (see ``is_array_payload``) to take it as is.
+    ``keep`` names payload columns copied onto every record.
     """
+    if top_level_array:
+        return payloads
     field = payloads.schema[collection_key] if collection_key in payloads.columns else None
     if field is None or not isinstance(field.dataType, T.ArrayType):
-        if collection_key in payloads.columns or not payloads.columns:
-            return payloads.limit(0)
-        return payloads  # already records (top-level array document)
-    keep = [F.col(payload_id)] if payload_id else []
+        return payloads.limit(0)
+    keep = [F.col(c) for c in ((payload_id,) if payload_id else ()) + tuple(keep)]
     exploded = payloads.select(*keep, F.posexplode(collection_key).alias(POSITION, "_r"))
     elem = field.dataType.elementType
     if isinstance(elem, T.StructType):
@@ -53,6 +56,13 @@ def unwrap(payloads: DataFrame, collection_key: str, *, payload_id: str | None =
     return exploded.select(*keep, POSITION, F.col("_r").alias("value"))
 
 
+def is_array_payload(text: DataFrame) -> bool:
+    """Whether the landed payloads are top-level arrays (first non-blank
+    character of the first payload; reads a single line or document)."""
+    head = text.select(F.substring(F.ltrim("value"), 1, 1).alias("c")).first()
+    return bool(head) and head["c"] == "["
+
+
 def payload_count(payloads: DataFrame, collection_key: str) -> DataFrame:
     """SRC13: records per payload (0 when the key is missing)."""
     if collection_key not in payloads.columns:
