@@ -21,8 +21,6 @@ Plan shape (no Python in the row path):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,24 +152,57 @@ def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> tuple[DataFrame |
     return num_row, text_row
 
 
-def default_columns(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> dict[str, Column]:
-    """Per-column default as an expression over scalar subqueries."""
-    num_row, text_row = column_defaults(df, exclude)
-    out: dict[str, Column] = {}
-    for row in (num_row, text_row):
-        if row is None:
-            continue
-        packed = row.select(F.struct(*row.columns).alias("d")).scalar()
-        for name in row.columns:
-            out[name] = packed.getField(name)
-    return out
+class Defaults:
+    """Column defaults as fields of (at most) two one-row scalar subqueries.
+
+    ``attach`` adds each subquery **once** as a struct column; ``self[c]`` then
+    reads the field from that column.  Referencing the subquery per column
+    instead would make Catalyst plan one subquery expression per column.
+    """
+
+    NUM, TEXT = "__defaults_num", "__defaults_text"
+
+    def __init__(self, num_row: DataFrame | None, text_row: DataFrame | None):
+        self._subq: dict[str, Column] = {}
+        self._where: dict[str, str] = {}
+        for name, row in ((self.NUM, num_row), (self.TEXT, text_row)):
+            if row is None:
+                continue
+            self._subq[name] = row.select(F.struct(*row.columns).alias("d")).scalar()
+            for c in row.columns:
+                self._where[c] = name
+
+    def __contains__(self, column: str) -> bool:
+        return column in self._where
+
+    def __iter__(self):
+        return iter(self._where)
+
+    def __bool__(self) -> bool:
+        return bool(self._where)
 
+    def __getitem__(self, column: str) -> Column:
+        return F.col(self._where[column]).getField(column)
 
-def impute(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(self._subq) if self._subq else df
+
+    def detach(self, df: DataFrame) -> DataFrame:
+        return df.drop(*self._subq)
+
+
+def default_columns(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> Defaults:
+    """Per-column defaults (AGG6-AGG10) for ``impute`` and the counters."""
+    return Defaults(*column_defaults(df, exclude))
+
+
+def impute(df: DataFrame, defaults: Defaults) -> DataFrame:
     """Fill NULLs with the column default; nested NULLs are left alone (PRE3)."""
     dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
     cols = []
-    for c in df.columns:
+    columns = df.columns
+    df = defaults.attach(df)
+    for c in columns:
         if c in defaults:
             target = dtypes[c] if not isinstance(dtypes[c], T.NullType) else T.StringType()
             cols.append(F.coalesce(F.col(c).cast(target), defaults[c].cast(target)).alias(c))
@@ -192,7 +223,7 @@ def record_label(df: DataFrame) -> Column:
     return out
 
 
-def imputation_log(cleaned: DataFrame, defaults: dict[str, Column]) -> DataFrame:
+def imputation_log(cleaned: DataFrame, defaults: Defaults) -> DataFrame:
     """PRE4: one row per imputed cell: record, column, method, value (as text)."""
     if not defaults:
         return cleaned.sparkSession.createDataFrame([], "record_id string, column string, method string, value string")
@@ -202,7 +233,7 @@ def imputation_log(cleaned: DataFrame, defaults: dict[str, Column]) -> DataFrame
                F.struct(F.lit(c).alias("column"), _to_text(defaults[c], dtypes[c]).alias("value")))
         for c in cleaned.columns if c in defaults
     ])
-    return (cleaned.select(record_label(cleaned).alias("record_id"), F.explode(entries).alias("e"))
+    return (defaults.attach(cleaned).select(record_label(cleaned).alias("record_id"), F.explode(entries).alias("e"))
             .where(F.col("e").isNotNull())
             .select("record_id", F.col("e.column").alias("column"), F.lit(IMPUTE_METHOD).alias("method"),
                     F.col("e.value").alias("value")))
@@ -217,7 +248,11 @@ def coerce(value: Column, dtype: T.DataType) -> tuple[Column, Column]:
     Text is trimmed and a blank becomes NULL; booleans are true for
     ``1/true/yes/ha``; numbers must parse or the correction is rejected (D5).
     """
-    v = blank_to_null(value)
+    return coerce_clean(blank_to_null(value), dtype)
+
+
+def coerce_clean(v: Column, dtype: T.DataType) -> tuple[Column, Column]:
+    """``coerce`` for text that is already trimmed and blank-to-NULL."""
     kind = _kind(dtype)
     if kind in ("str", "void"):
         return v, F.lit(True)
@@ -281,11 +316,17 @@ def correct(
                           F.col("t._cells").alias("_cells")))
 
     j = corr.join(cand_cells, corr["record_id"] == cand_cells["_rid"], "left")
-    coerced = {c: coerce(F.col("value"), t) for c, t in fields.items()}
-    after = _by_column(F.col("column"), {c: v for c, (v, _) in coerced.items()}, F.lit(None).cast("string"))
-    ok = _by_column(F.col("column"), {c: k for c, (_, k) in coerced.items()}, F.lit(False))
+    # Coercion is built once per distinct column *type*, not once per column:
+    # a SQL map literal gives each correction its target column's type.
+    type_names = {c: t.simpleString() for c, t in fields.items()}
+    by_type = {t.simpleString(): t for t in fields.values()}
+    type_map = F.expr("map(" + ", ".join(f"'{c}', '{tn}'" for c, tn in type_names.items()) + ")")
+    j = j.select("*", blank_to_null(F.col("value")).alias("_v"), type_map[F.col("column")].alias("_type"))
+    coerced = {tn: coerce_clean(F.col("_v"), t) for tn, t in by_type.items()}
+    after = _by_column(F.col("_type"), {tn: v for tn, (v, _) in coerced.items()}, F.lit(None).cast("string"))
+    ok = _by_column(F.col("_type"), {tn: k for tn, (_, k) in coerced.items()}, F.lit(False))
     has_record = F.col("_rid").isNotNull()
-    has_column = F.col("column").isin(list(fields)) & (F.col("column") != F.lit(""))
+    has_column = F.col("_type").isNotNull() & (F.col("column") != F.lit(""))
     reason = (F.when(~has_record, F.lit(REJECT_NO_RECORD))
               .when(~has_column, F.lit(REJECT_NO_COLUMN))
               .when(~ok, F.lit(REJECT_TYPE)))
@@ -332,7 +373,7 @@ def column_types(df: DataFrame) -> DataFrame:
     ])).alias("t")).select("t.column", "t.type")
 
 
-def preparation_profile(raw: DataFrame, defaults: dict[str, Column], audit: DataFrame) -> DataFrame:
+def preparation_profile(raw: DataFrame, defaults: Defaults, audit: DataFrame) -> DataFrame:
     """AGG11: one row of counters from one pass over the raw rows.
 
     Trim/blank flags and "will be imputed" flags are computed per cell from the
@@ -356,7 +397,7 @@ def preparation_profile(raw: DataFrame, defaults: dict[str, Column], audit: Data
     corr = audit.agg(F.count_if(F.col("status") == "applied").alias("applied"),
                      F.count_if(F.col("status") == "rejected").alias("rejected"))
     packed = corr.select(F.struct("applied", "rejected")).scalar()
-    return raw.agg(
+    return defaults.attach(raw).agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(raw.columns)).cast("bigint").alias("columns"),
         total(trimmed).alias("trimmed_values"),
@@ -367,17 +408,63 @@ def preparation_profile(raw: DataFrame, defaults: dict[str, Column], audit: Data
     )
 
 
-@dataclass
 class Prepared:
-    """Lazy outputs of one preparation; nothing runs until an action."""
-
-    rows: DataFrame
-    cleaned: DataFrame
-    imputed: DataFrame
-    imputation_log: DataFrame
-    corrections: DataFrame
-    profile: DataFrame
-    column_types: DataFrame
+    """Outputs of one preparation.  Each is a lazy DataFrame built on first
+    access, so asking for the rows does not plan the profile or the log."""
+
+    def __init__(self, raw: DataFrame, corrections: DataFrame | None, id_col: str,
+                 ordinal: str | None, exclude):
+        self._raw, self._corr, self._id, self._ord = raw, corrections, id_col, ordinal
+        self._internal = (ordinal,) if ordinal and ordinal != id_col else ()
+        self._exclude = tuple(exclude) + self._internal
+        self._cache: dict[str, object] = {}
+
+    def _get(self, key, build):
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
+
+    @property
+    def cleaned(self) -> DataFrame:
+        return self._get("cleaned", lambda: trim_blank(self._raw))
+
+    @property
+    def defaults(self) -> Defaults:
+        return self._get("defaults", lambda: default_columns(self.cleaned, self._exclude))
+
+    @property
+    def imputed(self) -> DataFrame:
+        return self._get("imputed", lambda: impute(self.cleaned, self.defaults))
+
+    def _corrected(self):
+        def build():
+            corr = self._corr
+            if corr is None:
+                corr = self._raw.sparkSession.createDataFrame([], "seq long, record_id string, column string, "
+                                                                  "value string")
+            return correct(self.imputed, corr, id_col=self._id, ordinal=self._ord)
+        return self._get("corrected", build)
+
+    @property
+    def rows(self) -> DataFrame:
+        return self._corrected()[0]
+
+    @property
+    def corrections(self) -> DataFrame:
+        return self._corrected()[1]
+
+    @property
+    def imputation_log(self) -> DataFrame:
+        return self._get("log", lambda: imputation_log(self.cleaned, self.defaults))
+
+    @property
+    def profile(self) -> DataFrame:
+        return self._get("profile", lambda: preparation_profile(
+            self._raw.drop(*self._internal), self.defaults, self.corrections))
+
+    @property
+    def column_types(self) -> DataFrame:
+        return self._get("types", lambda: column_types(self.rows.drop(*self._internal)))
 
 
 def prepare(
@@ -388,21 +475,9 @@ def prepare(
     ordinal: str | None = None,
     exclude=DEFAULT_EXCLUDE,
 ) -> Prepared:
-    """PRE1-PRE7 end to end on a raw DataFrame.
+    """PRE1-PRE7 end to end on a raw DataFrame (trim → blank → impute → correct).
 
     An ``ordinal`` other than the id is an internal column: it is never
     imputed and does not count in the profile or the type listing.
     """
-    spark = raw.sparkSession
-    internal = (ordinal,) if ordinal and ordinal != id_col else ()
-    exclude = tuple(exclude) + internal
-    cleaned = trim_blank(raw)
-    defaults = default_columns(cleaned, exclude)
-    imputed = impute(cleaned, defaults)
-    if corrections is None:
-        corrections = spark.createDataFrame([], "seq long, record_id string, column string, value string")
-    rows, audit = correct(imputed, corrections, id_col=id_col, ordinal=ordinal)
-    profile = preparation_profile(raw.drop(*internal), defaults, audit)
-    return Prepared(rows=rows, cleaned=cleaned, imputed=imputed,
-                    imputation_log=imputation_log(cleaned, defaults), corrections=audit,
-                    profile=profile, column_types=column_types(rows.drop(*internal)))
+    return Prepared(raw, corrections, id_col, ordinal, exclude)

@@ -286,15 +286,13 @@ def event_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         (7, (et == "purchase") & (uid % 3 == 0), rid, "completed", F.lit("ha")),
         (8, (et == "signup") & (uid % 17 == 0), rid, "value", F.lit("   ")),
     ]
-    parts = [
-        e.where(cond).select((eid * 10 + n).alias("seq"), record.alias("record_id"),
-                             F.lit(column).alias("column"), value.alias("value"))
+    # One scan: every rule yields a struct or NULL, then one explode.
+    items = F.array(*[
+        F.when(cond, F.struct((eid * 10 + n).alias("seq"), record.alias("record_id"),
+                              F.lit(column).alias("column"), value.alias("value")))
         for n, cond, record, column, value in rules
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    ])
+    return e.select(F.explode(items).alias("c")).where(F.col("c").isNotNull()).select("c.*")
 
 
 CORRECTIONS_SQL = """
