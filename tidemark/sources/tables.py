@@ -10,11 +10,23 @@ TABLES = (
 )
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table; Catalyst prunes columns and pushes filters into the scan."""
+    """Scan one table; Catalyst prunes columns and pushes filters into the scan.
+
+    The scan DataFrame is reused per session and path: a DataFrame is an
+    immutable plan, and re-creating it would re-read the Parquet footers (a
+    schema-inference job per call) every time a query mentions the table.
+    """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
