@@ -117,7 +117,7 @@ SELECT event_type || '-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS run_id, even
 FROM events GROUP BY event_type, CAST(ts AS DATE)"""
 
 
-@register("run_audit_upsert", f"""
+UPSERT_SQL = f"""
 WITH runs AS ({RUNS_SQL}),
 e AS (SELECT run_id, source, mode, CASE WHEN total > n * 25 THEN 'warning' ELSE 'done' END AS status,
              n AS records, CASE WHEN high * 8 > n THEN 75 ELSE 100 END AS quality_score,
@@ -135,10 +135,36 @@ SELECT COALESCE(e.run_id, i.run_id) AS run_id, COALESCE(e.source, i.source) AS s
        array_to_string(CASE WHEN i.run_id IS NOT NULL THEN i.warnings ELSE e.warnings END, '; ') AS warnings_text,
        COALESCE(e.created_at, i.created_at) AS created_at,
        CASE WHEN i.run_id IS NOT NULL THEN i.updated_at ELSE e.updated_at END AS updated_at
-FROM e FULL JOIN i ON e.run_id = i.run_id""")
+FROM e FULL JOIN i ON e.run_id = i.run_id"""
+
+
+@register("run_audit_upsert", UPSERT_SQL)
 def q_run_audit_upsert(spark, sf_dir):
     """SNK8: upsert of a second run batch onto the stored snapshot."""
     existing, incoming = _audit_batches(spark, sf_dir)
     snap = audit.upsert_runs(existing, incoming)
     return snap.select("run_id", "source", "mode", "status", "records", "quality_score",
                        F.array_join("warnings", "; ").alias("warnings_text"), "created_at", "updated_at")
+
+
+@register("recent_runs", f"""
+SELECT run_id, source, created_at FROM ({UPSERT_SQL}) u ORDER BY created_at DESC, run_id LIMIT 5""")
+def q_recent_runs(spark, sf_dir):
+    """SRT2: the newest five runs of the audit table (a top-k report)."""
+    existing, incoming = _audit_batches(spark, sf_dir)
+    snap = audit.upsert_runs(existing, incoming)
+    return (snap.select("run_id", "source", "created_at")
+            .orderBy(F.col("created_at").desc(), F.col("run_id")).limit(5))
+
+
+@register("serialized_sizes", f"""
+SELECT run_id, sum(strlen(CAST(to_json({{'id': id, 'source': source, 'status': status,
+       'output_ref': output_ref}}) AS VARCHAR))) AS data_size_bytes, count(*) AS stages
+FROM {STAGES} s GROUP BY run_id""")
+def q_serialized_sizes(spark, sf_dir):
+    """AGG17: serialised JSON size of each run's stage records (text fields only,
+    whose JSON form both engines write the same way)."""
+    s = fx.stage_log(spark, sf_dir).select("run_id", "id", "source", "status", "output_ref")
+    return s.groupBy("run_id").agg(
+        audit.data_size_bytes(s.select("id", "source", "status", "output_ref")),
+        F.count(F.lit(1)).alias("stages"))

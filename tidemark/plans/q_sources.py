@@ -227,3 +227,17 @@ def q_staging_view(spark, sf_dir):
     """PRJ11 + SNK11: the staging projection as a view, queried with SQL."""
     wh.register_view(marts.staging_view(curated_all(spark, sf_dir)), "stg_curated_events")
     return spark.sql("SELECT * FROM stg_curated_events WHERE metric_value > 1000")
+
+
+@register("csv_total", "SELECT count(*) AS total FROM part")
+def q_csv_total(spark, sf_dir):
+    """SRC7: data rows of the report CSV, header excluded."""
+    return csvr.total_rows(csvr.read_report_csv(spark, land_report_csv(spark, sf_dir)))
+
+
+@register("payload_counts", f"""
+SELECT (id // {PAGE}) * {PAGE} AS skip, count(*) AS records FROM ({fx.CARTS_SQL}) c GROUP BY id // {PAGE}""")
+def q_payload_counts(spark, sf_dir):
+    """SRC13: records per landed payload (0 when the collection key is missing)."""
+    payloads = pl.read_payloads(spark, land_cart_payloads(spark, sf_dir), schema=CART_PAYLOAD)
+    return pl.payload_count(payloads, "carts").select("skip", F.col("records").cast("bigint").alias("records"))

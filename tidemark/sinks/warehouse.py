@@ -66,10 +66,16 @@ def curated_table_path(root: str) -> str:
 
 
 def create_curated_table(spark: SparkSession, root: str, name: str = "curated_events") -> None:
-    """SNK7: ``CREATE TABLE IF NOT EXISTS`` over the warehouse folder."""
+    """SNK7: ``CREATE TABLE IF NOT EXISTS`` over the warehouse folder.
+
+    Partition folders written by path appends are registered with
+    ``recoverPartitions`` (call it again after later appends when readers go
+    through the catalog; ``read_curated`` reads by path and is always current).
+    """
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CURATED_SCHEMA.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY (source_entity) LOCATION '{curated_table_path(root)}'")
+    spark.catalog.recoverPartitions(name)
 
 
 def append_curated(curated: DataFrame, root: str) -> int:
