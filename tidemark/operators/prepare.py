@@ -293,7 +293,8 @@ def correct(
     is corrected; without ``ordinal`` ids are taken as unique.
     """
     fields = {f.name: f.dataType for f in prepared.schema.fields}
-    id_text = F.col(id_col).cast("string")
+    # Records without an id column cannot be named: every correction is a reject.
+    id_text = (F.col(id_col).cast("string") if id_col in fields else F.lit(None).cast("string"))
     corr = corrections.select(
         F.col("seq").cast("bigint").alias("seq"),
         F.col("record_id").cast("string").alias("record_id"),
