@@ -53,3 +53,10 @@ def test_payload_unwrap_shapes(spark, scratch):
     assert sorted(r["id"] for r in pl.unwrap(a, "users", top_level_array=True).collect()) == [7, 8]
     s = pl.payload_summary(pl.read_payload_text(spark, obj, layout="document"), "users").first()
     assert s["kind"] == "object" and s["top_level_keys"] == "users,total" and s["records"] == 2
+
+
+def test_union_ragged(spark):
+    a = spark.createDataFrame([(1, "x")], "id long, a string")
+    b = spark.createDataFrame([(2, 3.5), (2, 3.5)], "id long, b double")
+    got = sorted(tuple(r) for r in pl.union_ragged(a, b).select("id", "a", "b").collect())
+    assert got == [(1, "x", None), (2, None, 3.5), (2, None, 3.5)]

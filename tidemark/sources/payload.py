@@ -91,3 +91,12 @@ def payload_summary(text: DataFrame, collection_key: str, sample: int = 3) -> Da
 def json_path(text: DataFrame, path: str, alias: str) -> DataFrame:
     """SRC12: extract one JSON path from the payload text as an attribute."""
     return text.select("*", F.get_json_object("value", path).alias(alias))
+
+
+def union_ragged(*frames: DataFrame) -> DataFrame:
+    """SET1: union of record sets whose column sets differ; a missing column
+    reads as NULL (bag union, duplicates kept)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
