@@ -73,3 +73,24 @@ def test_laws_idempotent_and_no_nulls(spark):
     twice = prep.prepare(once).rows
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
     assert once.where(F.col("s").isNull() | F.col("x").isNull()).count() == 0
+
+
+def test_hot_value_and_hot_duplicate_id(spark):
+    """A third of the rows share one value and one id: results stay whole and exact."""
+    n = 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 5 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("v"), (F.col("id") % 50).cast("string"))).alias("s"),
+        F.col("id").alias("pos"))
+    corr = spark.createDataFrame([(1, "7", "s", "fixed")], CORR)
+    p = prep.prepare(df, corr, ordinal="pos")
+    rows = p.rows
+    assert rows.count() == n
+    assert rows.where(F.col("s").isNull()).count() == 0
+    # the mode is the hot value; only the last row of the duplicated id is corrected
+    assert p.defaults._where  # defaults were planned
+    fixed = rows.where(F.col("s") == "fixed").collect()
+    assert [(r["id"], r["pos"]) for r in fixed] == [(7, 2997)]
+    assert rows.where(F.col("s") == "hot").count() == n // 3 - 1 + rows.where(
+        (F.col("id") != 7) & (F.col("pos") % 5 == 0) & (F.col("pos") % 3 != 0)).count()

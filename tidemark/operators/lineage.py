@@ -33,11 +33,14 @@ def _struct_of(df: DataFrame, exclude: tuple[str, ...]) -> Column:
 
 
 def build_lineage(raw: DataFrame, prepared: DataFrame, curated: DataFrame | None, *,
-                  source: str, run_id: str, ordinal: str) -> DataFrame:
+                  source: str, run_id: str, ordinal: str, curate_fn=None) -> DataFrame:
     """JN2: one row per raw record with its prepared, curated and warehouse sides.
 
-    All three inputs carry ``ordinal``; prepared/curated may miss rows (left
-    joins).  ``record_id`` is the raw id, else the 0-based position.
+    All inputs carry ``ordinal``; prepared/curated may miss rows (left joins),
+    ``record_id`` is the raw id, else the 0-based position.  With
+    ``curate_fn(df, carry)`` instead of ``curated``, the curated side is
+    computed from the prepared rows in the same projection: one join, and the
+    preparation is not evaluated a second time for the curated side.
     """
     id_col, id_t = field(raw, "id")
     position = (F.col(ordinal) - 1).cast("string")
@@ -47,17 +50,27 @@ def build_lineage(raw: DataFrame, prepared: DataFrame, curated: DataFrame | None
 
     r = raw.select(F.col(ordinal).alias("_ord"), record_id.alias("record_id"), source_id.alias("_sid"),
                    _struct_of(raw, ()).alias("raw"))
-    p = prepared.select(F.col(ordinal).alias("_ord"), _struct_of(prepared, ()).alias("prepared"))
-    out = r.join(p, "_ord", "left")
-    if curated is not None:
-        c = curated.select(F.col(ordinal).alias("_ord"), _struct_of(curated, ()).alias("curated"))
-        out = out.join(c, "_ord", "left")
+    if curate_fn is not None:
+        both = curate_fn(prepared, tuple(prepared.columns))
+        cur_cols = [c for c in both.columns if c not in prepared.columns]
+        p = both.select(F.col(ordinal).alias("_ord"),
+                        F.struct(*[F.col(c) for c in prepared.columns]).alias("prepared"),
+                        F.struct(*[F.col(c) for c in cur_cols]).alias("curated"))
+        out = r.join(p, "_ord", "left")
+        has_curated = True
     else:
-        out = out.withColumn("curated", F.lit(None))
+        p = prepared.select(F.col(ordinal).alias("_ord"), _struct_of(prepared, ()).alias("prepared"))
+        out = r.join(p, "_ord", "left")
+        has_curated = curated is not None
+        if has_curated:
+            c = curated.select(F.col(ordinal).alias("_ord"), _struct_of(curated, ()).alias("curated"))
+            out = out.join(c, "_ord", "left")
+        else:
+            out = out.withColumn("curated", F.lit(None))
     warehouse = F.when(
         F.col("curated").isNotNull(),
         F.struct(F.lit(WAREHOUSE_DATABASE).alias("database"), F.lit(WAREHOUSE_TABLE).alias("table"),
-                 F.col("curated.dw_id").alias("key") if curated is not None else F.lit(None).alias("key"),
+                 F.col("curated.dw_id").alias("key") if has_curated else F.lit(None).alias("key"),
                  F.lit(run_id).alias("run_id")))
     return out.select(
         F.col("_ord").alias(ordinal), "record_id",

@@ -15,15 +15,6 @@ from tidemark.schema import SOURCES
 LINEAGE_RUN = "run-lineage"
 
 
-def _zones(spark, sf_dir):
-    raw = fx.dirty_events(spark, sf_dir)
-    prepared = prepared_events(spark, sf_dir).rows
-    s = SOURCES["todos"]
-    curated = cur.curate(prepared, source_id=s.source_id, source_title=s.title, mode="batch",
-                         run_id=LINEAGE_RUN, loaded_at=F.col("ts"), carry=("id",))
-    return raw, prepared, curated
-
-
 @register("record_lineage", f"""{with_ctes(*FULL)}
 SELECT CAST(r.id AS VARCHAR) AS record_id, 'DummyJSON' AS source_system, 'todos' AS source_entity,
        CAST(r.id AS VARCHAR) AS source_id, r.event_type AS raw_event_type, r.value AS raw_value,
@@ -35,8 +26,16 @@ SELECT CAST(r.id AS VARCHAR) AS record_id, 'DummyJSON' AS source_system, 'todos'
 FROM ({fx.DIRTY_EVENTS_SQL}) r LEFT JOIN corrected p ON r.id = p.id""")
 def q_record_lineage(spark, sf_dir):
     """JN2: raw → prepared → curated → warehouse per record, joined on the ordinal."""
-    raw, prepared, curated = _zones(spark, sf_dir)
-    lineage = lin.build_lineage(raw, prepared, curated, source="todos", run_id=LINEAGE_RUN, ordinal="id")
+    raw = fx.dirty_events(spark, sf_dir)
+    prepared = prepared_events(spark, sf_dir).rows
+    s = SOURCES["todos"]
+
+    def to_curated(df, carry):
+        return cur.curate(df, source_id=s.source_id, source_title=s.title, mode="batch",
+                          run_id=LINEAGE_RUN, loaded_at=F.col("ts"), carry=carry)
+
+    lineage = lin.build_lineage(raw, prepared, None, source="todos", run_id=LINEAGE_RUN, ordinal="id",
+                                curate_fn=to_curated)
     return lineage.select(
         "record_id", F.col("source.system").alias("source_system"), F.col("source.entity").alias("source_entity"),
         F.col("source.id").alias("source_id"),
@@ -90,7 +89,8 @@ FROM ({fx.DIRTY_EVENTS_SQL}) r LEFT JOIN corrected p ON r.id = p.id
 LEFT JOIN v ON CAST(r.id AS VARCHAR) = v.id""")
 def q_lineage_replace(spark, sf_dir):
     """JN3: lineage whose prepared side is swapped for a saved manual version."""
-    raw, prepared, curated = _zones(spark, sf_dir)
+    raw = fx.dirty_events(spark, sf_dir)
+    prepared = prepared_events(spark, sf_dir).rows
     lineage = lin.build_lineage(raw, prepared, None, source="todos", run_id=LINEAGE_RUN, ordinal="id")
     version = lin.save_prepared_version(prepared.withColumn("_row", F.col("id")), _edited(prepared),
                                         VERSION_ID, ordinal="_row")
