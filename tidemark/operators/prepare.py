@@ -301,7 +301,9 @@ def correct(
         F.coalesce(F.col("column").cast("string"), F.lit("")).alias("column"),
         F.col("value").cast("string").alias("value"),
     )
-    wanted = corr.select("record_id").where(F.col("record_id").isNotNull()).distinct()
+    # The semi join needs no distinct keys (a duplicate key does not repeat a
+    # row), so no extra shuffle is spent on de-duplicating the corrected ids.
+    wanted = corr.select("record_id").where(F.col("record_id").isNotNull())
 
     # Candidate rows: only rows whose id is named by some correction.  The last
     # row per id is a max_by aggregate (partial on the map side, so even an id
@@ -348,8 +350,15 @@ def correct(
         F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"))
     audit = audit_applied.unionByName(audit_rejected)
 
-    final = (applied.groupBy("_row", "column").agg(F.max_by("after", "seq").alias("after"))
-             .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("column", "after"))).alias("_fix")))
+    # One aggregate per corrected row: its corrections sorted by (column, seq);
+    # the last entry of each column is the cell's final value (bounded by the
+    # corrections of one row).
+    ordered = F.array_sort(F.collect_list(F.struct("column", "seq", "after")))
+    final = (applied.groupBy("_row").agg(ordered.alias("_all"))
+             .select("_row", F.map_from_entries(F.transform(
+                 F.filter("_all", lambda x, i: (i == F.size("_all") - 1)
+                          | (F.get(F.col("_all"), i + 1).getField("column") != x["column"])),
+                 lambda x: F.struct(x["column"], x["after"]))).alias("_fix")))
     row_key = F.col(ordinal) if ordinal else id_text
     out = prepared.join(final, row_key == final["_row"], "left")
     fixed = [
