@@ -8,7 +8,7 @@ Plan shape (no Python in the row path):
 
 * **Defaults** come from one global aggregate for numeric/boolean columns and
   one ``explode → groupBy(column, value).count() → min(struct(-count, value))``
-  pass for text-like columns.  Both are decomposable, so a hot value costs one
+  pass for text-like columns (the second step is one global aggregate).  Both are decomposable, so a hot value costs one
   partial row per task.  Each result is a one-row DataFrame used through a
   scalar subquery (``DataFrame.scalar()``): Spark runs it once, reuses it for
   every column and inlines it into the projection — no cross join, no collect.
@@ -140,10 +140,11 @@ def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> tuple[DataFrame |
         counts = (df.select(cells).select("cell.column", "cell.value")
                   .where(F.col("value").isNotNull() & (py_strip(F.col("value")) != F.lit("")))
                   .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-        best = counts.groupBy("column").agg(
-            F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("value"))).alias("best"))
-        row = best.agg(*[F.max(F.when(F.col("column") == f.name, F.col("best.value"))).alias(f.name)
-                         for f in textual])
+        # One global aggregate picks every column's winner: the smallest
+        # (-count, value) among that column's entries; partial per task.
+        ranked = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("value"))
+        row = counts.agg(*[F.min(F.when(F.col("column") == f.name, ranked)).getField("value").alias(f.name)
+                           for f in textual])
         text_row = row.select(*[
             (F.coalesce(F.col(f.name), F.lit(IMPUTED_UNKNOWN)) if _kind(f.dataType) in ("str", "void")
              else _from_text(F.col(f.name), f.dataType)).alias(f.name)
