@@ -94,3 +94,22 @@ def test_hot_value_and_hot_duplicate_id(spark):
     assert [(r["id"], r["pos"]) for r in fixed] == [(7, 2997)]
     assert rows.where(F.col("s") == "hot").count() == n // 3 - 1 + rows.where(
         (F.col("id") != 7) & (F.col("pos") % 5 == 0) & (F.col("pos") % 3 != 0)).count()
+
+
+def test_nested_columns_imputed_by_json_mode(spark):
+    """D6c: a NULL struct/array cell takes the most common value of its column;
+    NULLs inside a struct are left alone."""
+    df = spark.createDataFrame(
+        [(1, {"w": 1.0}, ["a"]), (2, {"w": 1.0}, ["a"]), (3, {"w": None}, None), (4, None, ["b"])],
+        "id long, d struct<w:double>, tags array<string>")
+    out = {r["id"]: r for r in prep.prepare(df).rows.collect()}
+    assert out[4]["d"]["w"] == 1.0
+    assert out[3]["tags"] == ["a"]
+    assert out[3]["d"]["w"] is None
+
+
+def test_bround_half_even_means(spark):
+    """D2: means round half-even (2.5 → 2, 3.5 → 4)."""
+    df = spark.createDataFrame([(1, 2, 3), (2, 3, 4), (3, None, None)], "id long, a long, b long")
+    d = prep.column_defaults(df)[0].first()
+    assert d["a"] == 2 and d["b"] == 4

@@ -32,6 +32,12 @@ def _jvm_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (a file-system metadata call, no data read)."""
+    fs, hpath = _jvm_fs(spark, path)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
 def write_landing(text: DataFrame, root: str, source: str, run_id: str) -> str:
     """SNK1/SNK13: the original payload text, byte for byte, replace on rerun."""
     path = f"{root}/landing/source={source}/run_id={run_id}"
