@@ -339,17 +339,19 @@ def correct(
                       reason.alias("reason"), after.alias("after"))
     applied = staged.where(F.col("reason").isNull())
 
-    cell = Window.partitionBy("record_id", "column").orderBy("seq")
-    audit_applied = applied.select(
-        "seq", "record_id", "column", "value", F.lit("applied").alias("status"),
-        F.lit(None).cast("string").alias("reason"),
-        F.coalesce(F.lag(F.struct("after")).over(cell).getField("after"),
-                   F.when(F.lag("seq").over(cell).isNull(), F.col("_cell"))).alias("before"),
-        "after")
-    audit_rejected = staged.where(F.col("reason").isNotNull()).select(
-        "seq", "record_id", "column", "value", F.lit("rejected").alias("status"), "reason",
-        F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"))
-    audit = audit_applied.unionByName(audit_rejected)
+    # The audit is one pass over all staged corrections: the previous *applied*
+    # correction of the same cell is the last non-NULL "applied" struct before
+    # this row (rejected rows carry NULL there and are skipped).
+    cell = (Window.partitionBy("record_id", "column").orderBy("seq")
+            .rowsBetween(Window.unboundedPreceding, -1))
+    ok_row = F.col("reason").isNull()
+    prev = F.last(F.when(ok_row, F.struct("after")), ignorenulls=True).over(cell)
+    audit = staged.select(
+        "seq", "record_id", "column", "value",
+        F.when(ok_row, F.lit("applied")).otherwise(F.lit("rejected")).alias("status"), "reason",
+        F.when(ok_row, F.when(prev.isNotNull(), prev.getField("after")).otherwise(F.col("_cell")))
+        .alias("before"),
+        F.when(ok_row, F.col("after")).alias("after"))
 
     # One aggregate per corrected row: its corrections sorted by (column, seq);
     # the last entry of each column is the cell's final value (bounded by the
@@ -407,8 +409,9 @@ def preparation_profile(raw: DataFrame, defaults: Defaults, audit: DataFrame) ->
 
     corr = audit.agg(F.count_if(F.col("status") == "applied").alias("applied"),
                      F.count_if(F.col("status") == "rejected").alias("rejected"))
-    packed = corr.select(F.struct("applied", "rejected")).scalar()
-    return defaults.attach(raw).agg(
+    packed = F.col("__corrections")
+    base = defaults.attach(raw).withColumn("__corrections", corr.select(F.struct("applied", "rejected")).scalar())
+    return base.agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(raw.columns)).cast("bigint").alias("columns"),
         total(trimmed).alias("trimmed_values"),

@@ -11,6 +11,7 @@ from tidemark.plans.q_audit import STAGES
 from tidemark.plans.q_prepare import FULL, prepared_events, with_ctes
 from tidemark.plans.registry import register
 from tidemark.schema import SOURCES
+from tidemark.session import materialize
 
 LINEAGE_RUN = "run-lineage"
 
@@ -75,7 +76,7 @@ SELECT e._row, e.event_type, e.value, e.user_id, e.completed, e.note, e.ts,
 FROM edited e LEFT JOIN corrected c ON e._row = c.id""")
 def q_manual_version(spark, sf_dir):
     """VER3: an edited prepared set saved as a named version."""
-    prepared = prepared_events(spark, sf_dir).rows
+    prepared = materialize(prepared_events(spark, sf_dir).rows)   # used twice below
     return lin.save_prepared_version(prepared.withColumn("_row", F.col("id")), _edited(prepared),
                                      VERSION_ID, ordinal="_row")
 
@@ -90,7 +91,7 @@ LEFT JOIN v ON CAST(r.id AS VARCHAR) = v.id""")
 def q_lineage_replace(spark, sf_dir):
     """JN3: lineage whose prepared side is swapped for a saved manual version."""
     raw = fx.dirty_events(spark, sf_dir)
-    prepared = prepared_events(spark, sf_dir).rows
+    prepared = materialize(prepared_events(spark, sf_dir).rows)   # used three times below
     lineage = lin.build_lineage(raw, prepared, None, source="todos", run_id=LINEAGE_RUN, ordinal="id")
     version = lin.save_prepared_version(prepared.withColumn("_row", F.col("id")), _edited(prepared),
                                         VERSION_ID, ordinal="_row")

@@ -89,3 +89,12 @@ def local_fs_path(path: str) -> str | None:
     if "://" in path:
         return None
     return path if os.path.isabs(path) else None
+
+
+def materialize(df):
+    """Cut the lineage of an intermediate result used several times: a
+    reliable checkpoint in the shared checkpoint folder (never a local one),
+    so later uses read files instead of recomputing, and a lost executor does
+    not recompute the whole chain."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
