@@ -353,15 +353,11 @@ def correct(
         .alias("before"),
         F.when(ok_row, F.col("after")).alias("after"))
 
-    # One aggregate per corrected row: its corrections sorted by (column, seq);
-    # the last entry of each column is the cell's final value (bounded by the
-    # corrections of one row).
-    ordered = F.array_sort(F.collect_list(F.struct("column", "seq", "after")))
-    final = (applied.groupBy("_row").agg(ordered.alias("_all"))
-             .select("_row", F.map_from_entries(F.transform(
-                 F.filter("_all", lambda x, i: (i == F.size("_all") - 1)
-                          | (F.get(F.col("_all"), i + 1).getField("column") != x["column"])),
-                 lambda x: F.struct(x["column"], x["after"]))).alias("_fix")))
+    # Final value per cell first: max_by is decomposable, so even a cell that
+    # receives a huge share of all corrections collapses map-side.  The map per
+    # row then collects at most one entry per column.
+    final = (applied.groupBy("_row", "column").agg(F.max_by("after", "seq").alias("after"))
+             .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("column", "after"))).alias("_fix")))
     row_key = F.col(ordinal) if ordinal else id_text
     out = prepared.join(final, row_key == final["_row"], "left")
     fixed = [
