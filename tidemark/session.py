@@ -54,17 +54,21 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a private one only when unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the context
+        sc = None
     if current:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
-    existing = sc.getCheckpointDir()
+    existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 

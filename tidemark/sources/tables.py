@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(spark), path)   # the cached DataFrame keeps its session alive, so ids stay unique
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
