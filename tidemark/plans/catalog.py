@@ -18,36 +18,42 @@ DELIVERY_RUN = "run-purchase"
 # ---------------------------------------------------------------------------
 # curated sets (Spark)
 # ---------------------------------------------------------------------------
+@fx.memoized
 def curated_products(spark, sf_dir):
     s = SOURCES["products"]
     return cur.curate(fx.products_raw(spark, sf_dir), source_id=s.source_id, source_title=s.title,
                       mode="batch", run_id=RUN_PART, loaded_at=fx.PART_LOADED_AT)
 
 
+@fx.memoized
 def curated_users(spark, sf_dir):
     s = SOURCES["users"]
     return cur.curate(fx.users_raw(spark, sf_dir), source_id=s.source_id, source_title=s.title,
                       mode="api", run_id=RUN_CUSTOMER, loaded_at=fx.CUSTOMER_LOADED_AT)
 
 
+@fx.memoized
 def curated_carts(spark, sf_dir):
     s = SOURCES["carts"]
     return cur.curate(fx.carts_raw(spark, sf_dir), source_id=s.source_id, source_title=s.title,
                       mode="batch", run_id=RUN_ORDERS, loaded_at=F.col("order_date"))
 
 
+@fx.memoized
 def curated_posts(spark, sf_dir):
     s = SOURCES["posts"]
     return cur.curate(fx.posts_raw(spark, sf_dir), source_id=s.source_id, source_title=s.title,
                       mode="stream", run_id=F.col("run_id"), loaded_at=F.col("loaded_at"))
 
 
+@fx.memoized
 def curated_enterprise(spark, sf_dir):
     s = SOURCES["products"]
     return cur.curate(fx.enterprise_raw(spark, sf_dir), source_id=s.source_id, source_title=s.title,
                       mode="batch", run_id=RUN_LINEITEM, loaded_at=fx.LINEITEM_LOADED_AT)
 
 
+@fx.memoized
 def curated_all(spark, sf_dir):
     """Bag union of every curated fixture (SET2): the warehouse table."""
     out = curated_products(spark, sf_dir)

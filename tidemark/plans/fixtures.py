@@ -20,6 +20,25 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import table
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def memoized(fn):
+    """Reuse a fixture's DataFrame per (session, data folder).
+
+    Only the plan definition is kept (no data is cached): every action still
+    runs the whole plan, but the plan is not rebuilt through hundreds of
+    Python → JVM calls each time a query mentions the fixture.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark), sf_dir)
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, sf_dir)
+        return _MEMO[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
 # Load time of the runs that have no time column of their own.
 PART_LOADED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
 CUSTOMER_LOADED_AT = dt.datetime(2024, 2, 2, 0, 0, 0)
@@ -34,6 +53,7 @@ def _when(cond, value, other):
 
 
 # --- products (part) ----------------------------------------------------------
+@memoized
 def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part → product records.
 
@@ -63,6 +83,7 @@ FROM part"""
 
 
 # --- users (customer) ---------------------------------------------------------
+@memoized
 def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer → user records.
 
@@ -104,6 +125,7 @@ FROM customer"""
 
 
 # --- carts (orders + lineitem) --------------------------------------------------
+@memoized
 def carts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders → cart records; totalProducts = number of line items (NULL if none).
 
@@ -127,6 +149,7 @@ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS totalProducts FROM lineite
 
 
 # --- posts (events) -----------------------------------------------------------
+@memoized
 def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → generic post records; run = event type, load time = ts.
 
@@ -168,6 +191,7 @@ FROM events"""
 
 
 # --- enterprise report (lineitem) ------------------------------------------------
+@memoized
 def enterprise_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem → enterprise report records (the CSV source's shape).
 
@@ -219,6 +243,7 @@ FROM lineitem"""
 
 
 # --- dirty events for preparation -------------------------------------------------
+@memoized
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with injected defects, the input of every preparation query.
 
@@ -258,6 +283,7 @@ SELECT event_id AS id,
 FROM events"""
 
 
+@memoized
 def event_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual corrections derived from events (seq orders them).
 
@@ -334,6 +360,7 @@ STAGE_COUNT_KEY = {
 }
 
 
+@memoized
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per (event type, day): the unit the stage log describes.
 
@@ -350,6 +377,7 @@ def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "day", "n", "total", "high", "start"))
 
 
+@memoized
 def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve stages per event run, with defects decided by the run's values.
 

@@ -9,10 +9,17 @@ from tidemark.plans import fixtures as fx
 from tidemark.plans.registry import r2, register
 
 
+_PREPARED: dict[tuple, prep.Prepared] = {}
+
+
 def prepared_events(spark, sf_dir, with_corrections: bool = True) -> prep.Prepared:
-    raw = fx.dirty_events(spark, sf_dir)
-    corrections = fx.event_corrections(spark, sf_dir) if with_corrections else None
-    return prep.prepare(raw, corrections, id_col="id", ordinal="id")
+    """The preparation of the dirty events (plan definitions reused per session)."""
+    key = (id(spark), sf_dir, with_corrections)
+    if key not in _PREPARED:
+        raw = fx.dirty_events(spark, sf_dir)
+        corrections = fx.event_corrections(spark, sf_dir) if with_corrections else None
+        _PREPARED[key] = prep.prepare(raw, corrections, id_col="id", ordinal="id")
+    return _PREPARED[key]
 
 
 # --- SQL building blocks ---------------------------------------------------------
