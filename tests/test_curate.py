@@ -70,3 +70,19 @@ def test_generic_branch_and_missing_id_uses_position(spark):
     assert got["todos_1"]["metric_value"] == 1.0 and got["todos_1"]["status"] == "completed"
     assert got["todos_2"]["entity_name"] == "Record None" and got["todos_2"]["category"] == "t"
     assert got["todos_2"]["metric_value"] == 7.0 and got["todos_2"]["status"] == "active"
+
+
+def test_add_missing_columns_and_registry(spark):
+    from pyspark.sql import types as T
+
+    from tidemark.operators.curate import add_missing_columns
+    from tidemark.schema import get_source, sources_frame
+    declared = T.StructType([T.StructField("id", T.LongType()), T.StructField("todo", T.StringType()),
+                             T.StructField("completed", T.BooleanType())])
+    df = add_missing_columns(spark.createDataFrame([(1,)], "id long"), declared)
+    assert df.dtypes == [("id", "bigint"), ("todo", "string"), ("completed", "boolean")]
+    assert sources_frame(spark).count() == 7
+    assert get_source("users").collection == "users"
+    import pytest
+    with pytest.raises(KeyError):
+        get_source("nope")

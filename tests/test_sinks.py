@@ -81,3 +81,8 @@ def test_display_columns_and_internal_drop(spark):
     assert marts.display_columns([], "curated") == ["dw_id", "entity_name", "metric_value", "status"]
     df = spark.createDataFrame([(1, "x")], "a long, __v string")
     assert marts.drop_internal(df).columns == ["a"]
+
+
+def test_sample_rows_in_stored_order(spark):
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "pos long, v string")
+    assert [r["v"] for r in marts.sample_rows(df, "pos", 2).collect()] == ["a", "b"]

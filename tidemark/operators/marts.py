@@ -124,9 +124,10 @@ def metric_total(curated: DataFrame) -> DataFrame:
     return curated.agg(F.sum(F.coalesce(*parts, F.lit(0.0)).cast("double")).alias("metric_total"))
 
 
-def recent(df: DataFrame, order_col: str, n: int) -> DataFrame:
-    """SRT2/SRT5: newest ``n`` rows (a top-k report: the limit is the feature)."""
-    return df.orderBy(F.col(order_col).desc()).limit(n)
+def recent(df: DataFrame, order_col: str, n: int, *tiebreak: str) -> DataFrame:
+    """SRT2/SRT5: newest ``n`` rows (a top-k report: the limit is the feature);
+    ``tiebreak`` columns make the choice deterministic among equal times."""
+    return df.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tiebreak]).limit(n)
 
 
 def sample_rows(df: DataFrame, ordinal: str, n: int = 3) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import blank_to_null, is_trimmed, py_strip
-from tidemark.functions.values import INTEGRAL_TYPES, python_type_name
+from tidemark.functions.values import INTEGRAL_TYPES, field, python_type_name, truthy
 
 # Labels the source system writes into its preparation records.
 IMPUTED_UNKNOWN = "IMPUTED_UNKNOWN"
@@ -88,20 +88,6 @@ def trim_blank(df: DataFrame) -> DataFrame:
     return df.select(*[blank_to_null(F.col(c)).alias(c) if c in strings else F.col(c) for c in df.columns])
 
 
-def trim_counters(df: DataFrame) -> list[Column]:
-    """Aggregate expressions: values changed by the trim, and values blanked.
-
-    A value of spaces counts in both; ``''`` only as blanked (source rule).
-    """
-    strings = string_columns(df)
-    if not strings:
-        return [F.lit(0).cast("bigint").alias("trimmed_values"), F.lit(0).cast("bigint").alias("blank_to_null")]
-    trimmed = sum((F.when(is_trimmed(F.col(c)), 1).otherwise(0) for c in strings), F.lit(0))
-    blank = sum((F.when(py_strip(F.col(c)) == F.lit(""), 1).otherwise(0) for c in strings), F.lit(0))
-    return [F.sum(trimmed).cast("bigint").alias("trimmed_values"),
-            F.sum(blank).cast("bigint").alias("blank_to_null")]
-
-
 # ---------------------------------------------------------------------------
 # PRE3 / AGG6-AGG10: column defaults
 # ---------------------------------------------------------------------------
@@ -214,8 +200,6 @@ def impute(df: DataFrame, defaults: Defaults) -> DataFrame:
 
 def record_label(df: DataFrame) -> Column:
     """``id or dw_id or 'unknown'`` with the source's falsy rule (0 and '' are missing)."""
-    from tidemark.functions.values import field, truthy
-
     out = F.lit("unknown")
     for name in ("dw_id", "id"):
         col, dtype = field(df, name)

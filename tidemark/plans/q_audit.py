@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit
+from tidemark.operators import audit, marts
 from tidemark.plans import fixtures as fx
 from tidemark.plans.registry import register
 
@@ -153,8 +153,7 @@ def q_recent_runs(spark, sf_dir):
     """SRT2: the newest five runs of the audit table (a top-k report)."""
     existing, incoming = _audit_batches(spark, sf_dir)
     snap = audit.upsert_runs(existing, incoming)
-    return (snap.select("run_id", "source", "created_at")
-            .orderBy(F.col("created_at").desc(), F.col("run_id")).limit(5))
+    return marts.recent(snap.select("run_id", "source", "created_at"), "created_at", 5, "run_id")
 
 
 @register("serialized_sizes", f"""

@@ -8,7 +8,6 @@ chosen when the session has no such setting, which is the case in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,15 +85,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([base, *pieces])
 
 
-def local_fs_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` URIs (used only by tests and the bench)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None
-
-
 def materialize(df):
     """Cut the lineage of an intermediate result used several times: a
     reliable checkpoint in the shared checkpoint folder (never a local one),

@@ -27,9 +27,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp views with the table names, for SQL written against the data set."""
-    for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
