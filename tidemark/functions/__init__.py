@@ -4,6 +4,7 @@ from tidemark.functions.text import blank_to_null, clean_name, is_trimmed, py_st
 from tidemark.functions.values import (
     as_double_or_zero,
     clamp,
+    exact_sum,
     field,
     field_type,
     is_numeric,
@@ -14,7 +15,7 @@ from tidemark.functions.values import (
 )
 
 __all__ = [
-    "as_double_or_zero", "blank_to_null", "clamp", "clean_name", "field", "field_type",
+    "as_double_or_zero", "blank_to_null", "clamp", "exact_sum", "clean_name", "field", "field_type",
     "is_numeric", "is_trimmed", "py_strip", "py_text", "python_type_name", "truthy",
     "truthy_or",
 ]

@@ -126,6 +126,19 @@ def python_type_name(dtype: T.DataType) -> str:
     return "null" if isinstance(dtype, T.NullType) else dtype.simpleString()
 
 
+def exact_sum(col) -> "Column":
+    """Sum that does not depend on the order of addition.
+
+    A double sum changes in its last bits with the partitioning (the order in
+    which partial sums meet), so the same query could return different cents
+    on a different cluster layout.  Each value is taken as DECIMAL(38,10)
+    (exact for values with up to ten decimals), summed exactly and returned
+    as a double.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast("decimal(38,10)")).cast("double")
+
+
 def clamp(value: int, low: int, high: int) -> int:
     """Parameter clamp used for page sizes (checked before a plan is built)."""
     return max(low, min(int(value), high))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import clamp
+from tidemark.functions.values import clamp, exact_sum
 from tidemark.schema import CURATED_COLUMNS, LIMIT_DEFAULT, LIMIT_MAX, LIMIT_MIN
 
 # Preferred display columns per view (PRJ14).
@@ -37,9 +37,11 @@ def daily_metrics(curated: DataFrame) -> DataFrame:
         curated.groupBy("source_entity", "category", "metric_name",
                         F.to_date("loaded_at").alias("load_date"))
         .agg(F.count(F.lit(1)).alias("record_count"),
-             F.sum("metric_value").alias("metric_sum"),
-             F.avg("metric_value").alias("metric_avg"),
+             exact_sum("metric_value").alias("metric_sum"),
+             F.count("metric_value").alias("_n"),
              F.max("loaded_at").alias("last_loaded_at"))
+        .select("source_entity", "category", "metric_name", "load_date", "record_count", "metric_sum",
+                F.try_divide(F.col("metric_sum"), F.col("_n")).alias("metric_avg"), "last_loaded_at")
     )
 
 
@@ -58,7 +60,7 @@ def run_check(curated: DataFrame, run_id: str) -> DataFrame:
     """
     return run_filter(curated, run_id).agg(
         F.count(F.lit(1)).alias("records"),
-        F.coalesce(F.sum("metric_value"), F.lit(0.0)).alias("metric_sum"),
+        F.coalesce(exact_sum("metric_value"), F.lit(0.0)).alias("metric_sum"),
         F.count_distinct("source_entity").alias("source_count"),
     )
 
@@ -67,7 +69,7 @@ def run_checks(curated: DataFrame) -> DataFrame:
     """AGG2 for every run at once (one shuffle on run_id instead of one job per run)."""
     return curated.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("records"),
-        F.coalesce(F.sum("metric_value"), F.lit(0.0)).alias("metric_sum"),
+        F.coalesce(exact_sum("metric_value"), F.lit(0.0)).alias("metric_sum"),
         F.count_distinct("source_entity").alias("source_count"),
     )
 
@@ -88,7 +90,7 @@ def delivery_summary(curated: DataFrame, run_id: str, *, dw_id: str | None = Non
     """AGG3: count and metric sum over *all* matching rows, not the page."""
     return run_filter(curated, run_id, dw_id).agg(
         F.count(F.lit(1)).alias("records_total"),
-        F.coalesce(F.sum("metric_value"), F.lit(0.0)).alias("metric_sum"),
+        F.coalesce(exact_sum("metric_value"), F.lit(0.0)).alias("metric_sum"),
     )
 
 
@@ -99,7 +101,7 @@ def entity_counts(curated: DataFrame) -> DataFrame:
 
 def load_metric_sum(curated: DataFrame, by: str | None = "run_id") -> DataFrame:
     """AGG5: metric sum rounded half-even to two decimals (per run by default)."""
-    total = F.bround(F.sum(F.coalesce(F.col("metric_value"), F.lit(0.0))), 2).alias("metric_sum")
+    total = F.bround(exact_sum(F.coalesce(F.col("metric_value"), F.lit(0.0))), 2).alias("metric_sum")
     return curated.groupBy(by).agg(total) if by else curated.agg(total)
 
 
@@ -115,13 +117,13 @@ def category_histogram(curated: DataFrame, ordinal: str | Column) -> DataFrame:
     return curated.groupBy(key.alias("category_key")).agg(
         F.count(F.lit(1)).alias("records"),
         F.min(ordinal_col).alias("first_seen"),
-        F.sum("metric_value").alias("metric_total"))
+        exact_sum("metric_value").alias("metric_total"))
 
 
 def metric_total(curated: DataFrame) -> DataFrame:
     """AGG14: total of ``metric_value ?? price ?? total ?? 0`` over the rows."""
     parts = [F.col(c) for c in ("metric_value", "price", "total") if c in curated.columns]
-    return curated.agg(F.sum(F.coalesce(*parts, F.lit(0.0)).cast("double")).alias("metric_total"))
+    return curated.agg(exact_sum(F.coalesce(*parts, F.lit(0.0)).cast("double")).alias("metric_total"))
 
 
 def recent(df: DataFrame, order_col: str, n: int, *tiebreak: str) -> DataFrame:

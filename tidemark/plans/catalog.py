@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import curate as cur
 from tidemark.operators import marts
 from tidemark.plans import fixtures as fx
-from tidemark.plans.registry import r2, r6, register
+from tidemark.plans.registry import r2, r6, register, xsum
 from tidemark.schema import SOURCES
 
 # Run ids of the fixture runs.
@@ -139,8 +139,8 @@ register("first_numeric_metric", CUR_ENTERPRISE_SQL)(curated_enterprise)
 
 @register("fct_source_metrics", f"""
 SELECT source_entity, category, metric_name, CAST(loaded_at AS DATE) AS load_date,
-       count(*) AS record_count, round(sum(metric_value), 2) AS metric_sum,
-       round(avg(metric_value), 6) AS metric_avg, max(loaded_at) AS last_loaded_at
+       count(*) AS record_count, round({xsum('metric_value')}, 2) AS metric_sum,
+       round({xsum('metric_value')} / count(metric_value), 6) AS metric_avg, max(loaded_at) AS last_loaded_at
 FROM ({CUR_ALL_SQL}) c
 GROUP BY source_entity, category, metric_name, CAST(loaded_at AS DATE)""")
 def q_fct_source_metrics(spark, sf_dir):
@@ -149,7 +149,7 @@ def q_fct_source_metrics(spark, sf_dir):
 
 
 @register("run_check", f"""
-SELECT count(*) AS records, round(COALESCE(sum(metric_value), 0), 2) AS metric_sum,
+SELECT count(*) AS records, round(COALESCE({xsum('metric_value')}, 0), 2) AS metric_sum,
        count(DISTINCT source_entity) AS source_count
 FROM ({CUR_POSTS_SQL}) c WHERE run_id = '{DELIVERY_RUN}'""")
 def q_run_check(spark, sf_dir):
@@ -158,7 +158,7 @@ def q_run_check(spark, sf_dir):
 
 
 @register("run_checks", f"""
-SELECT run_id, count(*) AS records, round(COALESCE(sum(metric_value), 0), 2) AS metric_sum,
+SELECT run_id, count(*) AS records, round(COALESCE({xsum('metric_value')}, 0), 2) AS metric_sum,
        count(DISTINCT source_entity) AS source_count
 FROM ({CUR_ALL_SQL}) c GROUP BY run_id""")
 def q_run_checks(spark, sf_dir):
@@ -181,7 +181,7 @@ def q_delivery_record(spark, sf_dir):
 
 
 @register("delivery_summary", f"""
-SELECT count(*) AS records_total, round(COALESCE(sum(metric_value), 0), 2) AS metric_sum
+SELECT count(*) AS records_total, round(COALESCE({xsum('metric_value')}, 0), 2) AS metric_sum
 FROM ({CUR_POSTS_SQL}) c WHERE run_id = '{DELIVERY_RUN}'""")
 def q_delivery_summary(spark, sf_dir):
     out = marts.delivery_summary(curated_posts(spark, sf_dir), DELIVERY_RUN)
@@ -195,7 +195,7 @@ def q_entity_counts(spark, sf_dir):
 
 
 @register("load_metric_sum", f"""
-SELECT run_id, round_even(sum(COALESCE(metric_value, 0)), 2) AS metric_sum
+SELECT run_id, round_even({xsum('COALESCE(metric_value, 0)')}, 2) AS metric_sum
 FROM ({CUR_ALL_SQL}) c GROUP BY run_id""")
 def q_load_metric_sum(spark, sf_dir):
     return marts.load_metric_sum(curated_all(spark, sf_dir))
@@ -203,7 +203,7 @@ def q_load_metric_sum(spark, sf_dir):
 
 @register("category_histogram", f"""
 SELECT COALESCE(category, entity_name, status, 'other') AS category_key, count(*) AS records,
-       min(id) AS first_seen, round(sum(metric_value), 2) AS metric_total
+       min(id) AS first_seen, round({xsum('metric_value')}, 2) AS metric_total
 FROM (SELECT c.*, CAST(split_part(dw_id, '_', 2) AS BIGINT) AS id FROM ({CUR_PRODUCTS_SQL}) c) t
 GROUP BY COALESCE(category, entity_name, status, 'other')""")
 def q_category_histogram(spark, sf_dir):

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import prepare as prep
 from tidemark.plans import fixtures as fx
-from tidemark.plans.registry import r2, register
+from tidemark.functions.values import exact_sum
+from tidemark.plans.registry import r2, register, xsum
 
 
 _PREPARED: dict[tuple, prep.Prepared] = {}
@@ -223,7 +224,7 @@ WITH cleaned AS ({CLEANED_SQL})
 SELECT CAST(ts AS DATE) AS day, round_even(avg(value), 2) AS value_default,
        CAST(round_even(avg(user_id), 0) AS BIGINT) AS user_id_default,
        count_if(completed) >= count(completed) / 2 AS completed_default,
-       round(sum(value), 2) AS value_sum
+       round({xsum('value')}, 2) AS value_sum
 FROM cleaned GROUP BY CAST(ts AS DATE)""")
 def q_mean_defaults_by_day(spark, sf_dir):
     """AGG6-AGG8 as grouped aggregates: per-day defaults (one partial per task and day)."""
@@ -232,4 +233,4 @@ def q_mean_defaults_by_day(spark, sf_dir):
         F.bround(F.avg("value"), 2).alias("value_default"),
         F.bround(F.avg("user_id")).cast("bigint").alias("user_id_default"),
         (F.count_if(F.col("completed")) >= F.count("completed") / 2).alias("completed_default"),
-        r2(F.sum("value")).alias("value_sum"))
+        r2(exact_sum("value")).alias("value_sum"))

@@ -14,7 +14,8 @@ from tidemark.operators import curate as cur
 from tidemark.operators import marts
 from tidemark.plans import fixtures as fx
 from tidemark.plans.catalog import CUR_ALL_SQL, curated_all
-from tidemark.plans.registry import r2, register
+from tidemark.functions.values import exact_sum
+from tidemark.plans.registry import r2, register, xsum
 from tidemark.schema import SOURCES
 from tidemark.session import shared_path
 from tidemark.sinks import warehouse as wh
@@ -208,7 +209,7 @@ def q_stream_route(spark, sf_dir):
 
 
 @register("warehouse_roundtrip", f"""
-SELECT source_entity, count(*) AS rows, round(sum(metric_value), 2) AS metric_sum,
+SELECT source_entity, count(*) AS rows, round({xsum('metric_value')}, 2) AS metric_sum,
        count(DISTINCT run_id) AS runs
 FROM ({CUR_ALL_SQL}) c GROUP BY source_entity""")
 def q_warehouse_roundtrip(spark, sf_dir):
@@ -218,7 +219,7 @@ def q_warehouse_roundtrip(spark, sf_dir):
     wh.append_curated(curated_all(spark, sf_dir), root)
     back = wh.read_curated(spark, root)
     return back.groupBy("source_entity").agg(
-        F.count(F.lit(1)).alias("rows"), r2(F.sum("metric_value")).alias("metric_sum"),
+        F.count(F.lit(1)).alias("rows"), r2(exact_sum("metric_value")).alias("metric_sum"),
         F.count_distinct("run_id").alias("runs"))
 
 

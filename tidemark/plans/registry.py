@@ -44,6 +44,11 @@ def r2(col):
     return F.round(col, 2)
 
 
+def xsum(expr: str) -> str:
+    """SQL twin of ``functions.exact_sum``: an order-independent sum."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,10))) AS DOUBLE)"
+
+
 def load_all() -> tuple[dict, dict]:
     """Import every query module (each registers itself) and return the maps."""
     from tidemark.plans import catalog, q_audit, q_lineage, q_prepare, q_quality, q_sources  # noqa: F401
