@@ -3,11 +3,13 @@
 Staging data (landed payloads, zone files, stream checkpoints) always goes to
 the shared folder named by ``spark.checkpoint.dir``: on a cluster that is a
 distributed file system every executor can reach.  A local folder is only
-chosen when the session has no such setting, which is the case in tests.
+chosen when the session has no such setting and runs in one process
+(``local[*]``), as in tests; on a cluster the setting is required.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -51,7 +53,7 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a private one only when unset."""
+    """Return the shared checkpoint folder; a private one only for a local master without the setting."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -64,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:
@@ -78,11 +82,34 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     retried jobs never overwrite what another reader is still using.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    pieces = ["tidemark", *parts]
+    pieces = [_session_folder(spark, base.rstrip("/")), *parts]
     if unique:
         pieces.append(uuid.uuid4().hex)
-    return "/".join([base, *pieces])
+    return "/".join(pieces)
+
+
+_session_folders: dict[tuple[str, str], str] = {}
+
+
+def _session_folder(spark: SparkSession, base: str) -> str:
+    """One scratch folder per application and base; the driver removes it when it ends."""
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _session_folders:
+        _session_folders[key] = f"{base}/tidemark/{key[0]}-{uuid.uuid4().hex[:8]}"
+        atexit.register(remove_path, spark, _session_folders[key])
+    return _session_folders[key]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the session's file systems; nothing happens when the session has ended."""
+    sc = spark.sparkContext
+    if sc._jsc is None:
+        return
+    try:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the JVM has gone at interpreter exit
+        pass
 
 
 def materialize(df):
