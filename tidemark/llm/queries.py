@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, token_files
+from tidemark.llm import exact_dedup, near_dedup, packing, token_files
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,11 +25,28 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op2_minhash_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find_groups(table(spark, sf_dir, "documents"), size=2)
+
+
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op6_exact_dedup", """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t),
+         m AS (SELECT doc_id, keep_id, group_size, t FROM d JOIN g USING (t))
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256,
+           count(*) FILTER (WHERE doc_id = keep_id) OVER (PARTITION BY t) AS kept_rows
+    FROM m
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_files")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"))
