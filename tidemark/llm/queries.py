@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, near_dedup, packing, token_files
+from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_files
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+@query("op7_source_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan_mix(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_files")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"))
