@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_files
+from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_files, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_minhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.find_groups(table(spark, sf_dir, "documents"), size=2)
