@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_files, toxicity
+from tidemark.llm import exact_dedup, mixing, near_dedup, packing, token_files, topk_search, toxicity, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"))
     return token_files.read_token_files(spark, manifest)
+
+
+@query("op8_url_templates", url_filter.oracle_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_topk_search", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+               WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+               FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"))
