@@ -2,16 +2,18 @@
 
 1. A document's set holds the 64-bit hashes of its shingles.  Documents with one set form
    a class, represented by their smallest doc_id; only representatives go on.
-2. ``BANDS * ROWS`` minima of universal hash functions are the signature.  Representatives that agree in all rows
-   of a band share a bucket.  A pair at similarity 0.8 misses all 40 bands of 6 rows with probability 5e-6.
-3. Each bucket's smallest member is linked with every other member, which is linear in the
-   bucket.  Pairs whose signatures agree too little are dropped (the bound lies over seven standard
-   deviations below the threshold), the others are confirmed on the full sets.
+2. ``BANDS * ROWS`` minima of universal hash functions give a bucket per band and, by their low
+   bytes, the signature.  Representatives that agree in all rows of a band share a bucket.
+   A pair at similarity 0.8 misses all 40 bands of 6 rows with probability 5e-6.
+3. In each bucket the most central member (the one with the largest buckets) is paired with every other member, which is
+   linear in the bucket.  Pairs whose signatures agree too little are dropped (the bound lies about four
+   standard deviations below the threshold), the others are confirmed on the full sets.
 4. Components by alternating large-star and small-star.
-5. Buckets whose members are now in different components are the only place where a link between
-   components can be left.  Their pairs across components go through the same two
-   checks, and the components are closed again.  Pairs inside a component are never made, so a
-   bucket of copies stays linear; no bucket is capped.
+5. Buckets whose members are now in different components are the only place where a link between components
+   can be left.  There the members outside the bucket's largest component are compared with all members, in cells of
+   bounded size, by the same two checks; a pair is looked at in the first bucket that it shares, and a cell leaves out
+   pairs that its own confirmed links already connect.  The components are then closed again.  Pairs inside a component
+   are never made, so a bucket of copies stays linear; no bucket is capped.
 
 Edge cases: null or empty text, and text of white space only, has an empty set and no link; fewer words than a shingle are one
 shingle; a null doc_id is returned with a null component and kept; rows that repeat a doc_id share its class when their texts do, and
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import lower_words, map_batches, save, slices
@@ -32,7 +34,8 @@ from tidemark.llm.common import lower_words, map_batches, save, slices
 BANDS, ROWS = 40, 6
 SHINGLE = 5
 THRESHOLD = 80
-_MARGIN = 20  # percent points below the threshold that a signature estimate may lie
+_MARGIN = 10  # percent points below the threshold that a signature's agreement may lie
+_CELL = 512  # members of one side of a cell
 _ROUNDS = 100
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -76,39 +79,39 @@ def signature(hashes: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.n
     return (least >> np.uint64(32)).astype("<u4")
 
 
-_SKETCH = "doc_id long, n_shingles long, class binary, signature binary"
+_SKETCH = "doc_id long, n_shingles long, class binary, signature binary, buckets array<long>"
 
 
-def _sketcher(size: int, number: int):
+def bucket_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One 64-bit key per band from the minima of its rows."""
+    minima = minima.reshape(bands, rows).astype(np.uint64)
+    key = _mix(np.arange(1, bands + 1, dtype=np.uint64))
+    for k in range(rows):
+        key = _mix(key * _M2 + minima[:, k])
+    return key.view(np.int64)
+
+
+def _sketcher(size: int, bands: int, rows: int):
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = hash_family(number)
+        family = hash_family(bands * rows)
         for batch in slices(batches):
-            sizes, classes, signatures = [], [], []
+            sizes, classes, signatures, buckets = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 hashes = shingle_set(text, size)
                 sizes.append(len(hashes))
-                classes.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
-                signatures.append(signature(hashes, family).tobytes() if len(hashes) else None)
+                if not len(hashes):
+                    for column in (classes, signatures, buckets):
+                        column.append(None)
+                    continue
+                minima = signature(hashes, family)
+                classes.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
+                signatures.append(minima.astype(np.uint8).tobytes())
+                buckets.append(bucket_keys(minima, bands, rows))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                                              pa.array(signatures, pa.binary())], names=["doc_id", "n_shingles", "class", "signature"])
-
-    return run
-
-
-def _bander(bands: int, rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = _mix(np.arange(1, bands + 1, dtype=np.uint64))[None, :]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                minima = np.frombuffer(b"".join(part.column("signature").to_pylist()), "<u4").reshape(part.num_rows, bands, rows)
-                key = np.repeat(seeds, part.num_rows, axis=0)
-                for k in range(rows):
-                    key = _mix(key * _M2 + minima[:, :, k])
-                ids = np.repeat(part.column("doc_id").to_numpy(), bands)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids)], names=["bucket", "member"])
+                                              pa.array(signatures, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
+                                             names=["doc_id", "n_shingles", "class", "signature", "buckets"])
 
     return run
 
@@ -119,7 +122,7 @@ def _alike(least: float):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), "<u4").reshape(part.num_rows, -1) for c in ("sig_a", "sig_b"))
+                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(part.num_rows, -1) for c in ("sig_a", "sig_b"))
                 mask = pa.array((a == b).mean(axis=1) >= least)
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
 
@@ -135,16 +138,19 @@ def _setter(size: int):
     return run
 
 
+def linked(x: bytes, y: bytes, threshold: int) -> bool:
+    """Whether two sets reach the similarity, in percent."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= threshold * (len(a) + len(b) - both)
+
+
 def _confirmer(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                mask = []
-                for x, y in zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist()):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    mask.append(100 * both >= threshold * (len(x) + len(y) - both))
+                mask = [linked(x, y, threshold) for x, y in zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(mask, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
     return run
@@ -155,16 +161,82 @@ def _with(pairs: DataFrame, values: DataFrame, key: str, name: str, side: str) -
     return pairs.join(values.select(F.col("doc_id").alias(side), F.col(name).alias(key)), side)
 
 
+def shingle_sets(texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """doc_id, shingles of the documents in ``ids``, computed from their whole texts."""
+    return save(map_batches(texts.join(ids, "doc_id", "left_semi"), _setter(size), "doc_id long, shingles binary"), "sets")
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """The pairs (a, b) at or above the threshold: by signatures first, then on full sets."""
     signed = _with(_with(pairs, classes, "sig_a", "signature", "a"), classes, "sig_b", "signature", "b")
     near = save(map_batches(signed.select("a", "b", "sig_a", "sig_b"), _alike((threshold - _MARGIN) / 100), "a long, b long"), "near-pairs")
-    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = save(map_batches(texts.join(ids, "doc_id", "left_semi"), _setter(size), "doc_id long, shingles binary"), "sets")
+    sets = shingle_sets(texts, near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), size)
     both = _with(_with(near, sets, "set_b", "shingles", "b"), sets, "set_a", "shingles", "a")
     return save(map_batches(both.select("a", "b", "set_a", "set_b"), _confirmer(threshold), "a long, b long").distinct(), "links")
 
 
+def _cell_links(threshold: int):
+    """Confirmed links between a cell's strays and its members, one for each pair of components that they connect."""
+    least = (threshold - _MARGIN) / 100
+
+    def columns(rows: pa.Table) -> tuple:
+        ids, groups = rows.column("member").to_numpy(), rows.column("component").to_numpy()
+        signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        buckets = np.array(rows.column("buckets").to_pylist(), np.int64)
+        return ids, groups, signatures, buckets, rows.column("shingles").to_pylist()
+
+    def run(key: tuple, members: pa.Table, strays: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if members.num_rows and strays.num_rows:
+            bucket = key[0].as_py()
+            ids, groups, signatures, buckets, sets = columns(members)
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while parent.setdefault(c, c) != c:
+                    c = parent[c]
+                return c
+
+            for own, group, sign, keys, one in zip(*columns(strays)):
+                alike = (signatures == sign).mean(axis=1)
+                same = buckets == keys
+                first = keys[same.argmax(axis=1)]  # the members share this bucket at least
+                for k in sorted(np.flatnonzero((alike >= least) & (groups != group) & (first == bucket)), key=lambda k: -alike[k]):
+                    x, y = root(int(group)), root(int(groups[k]))
+                    if x != y and linked(one, sets[k], threshold):
+                        parent[max(x, y)] = min(x, y)
+                        found.append((int(own), int(ids[k])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
+def links_across(labels: DataFrame, signed: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Links between components, from labels (bucket, member, component) of all buckets."""
+    parts = labels.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("k").alias("n"),
+                                        F.max_by("component", F.struct("k", "component")).alias("main")).where("parts > 1")
+    rows = save(labels.join(mixed.select("bucket", "n", "main"), "bucket"), "open-members")
+    sets = shingle_sets(texts, rows.select(F.col("member").alias("doc_id")).distinct(), size)
+    known = signed.join(sets, "doc_id").withColumnRenamed("doc_id", "member")
+
+    def chunk(total: Column, seed: int) -> tuple[Column, Column]:
+        number = F.ceil(total / _CELL).cast("int")
+        return F.pmod(F.xxhash64(F.lit(seed), "member"), number).cast("int"), F.explode(F.sequence(F.lit(0), number - 1))
+
+    odd = F.col("component") != F.col("main")
+    strays = rows.groupBy("bucket").agg(F.count(F.when(odd, 1)).alias("odd"))
+    rows = rows.join(strays, "bucket")
+    of_all, each_all = chunk(F.col("n"), 1)
+    of_odd, each_odd = chunk(F.col("odd"), 2)
+    wide = ["member", "component", "signature", "buckets", "shingles"]
+    left = rows.select("bucket", of_all.alias("i"), each_odd.alias("j"), "member", "component").join(known, "member")
+    right = rows.where(odd).select("bucket", each_all.alias("i"), of_odd.alias("j"), "member", "component").join(known, "member")
+    cells = (x.select(*(F.col(c).alias(c) for c in ("bucket", "i", "j", *wide))).groupBy("bucket", "i", "j") for x in (left, right))  # columns of its own for each side
+    found = next(cells).cogroup(next(cells)).applyInArrow(_cell_links(threshold), "a long, b long")
+    return save(found.distinct(), "links-across")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of every node of ``links`` (a, b).
 
@@ -196,33 +268,30 @@ def components(links: DataFrame) -> DataFrame:
 def find_groups(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (component_id is the doc_id)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = save(map_batches(texts, _sketcher(size, bands * rows), _SKETCH), "sketches")
-    linked = sketch.where("class is not null and doc_id is not null")
-    first = save(linked.groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "classes")
+    sketch = save(map_batches(texts, _sketcher(size, bands, rows), _SKETCH), "sketches")
+    named = sketch.where("class is not null and doc_id is not null")
+    slim = named.select("class", "doc_id")
+    first = save(slim.groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "classes")
     # representatives; a repeated doc_id may stand for several texts
-    chosen = linked.join(first.select("class", F.col("first").alias("doc_id")), ["class", "doc_id"], "left_semi")
-    classes = chosen.groupBy("class", "doc_id").agg(F.first("signature").alias("signature"))
-    members = save(map_batches(classes.select("doc_id", "signature"), _bander(bands, rows), "bucket long, member long"), "members")
-    shared = save(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("member").alias("pivot")).where("n > 1"), "buckets")
-    inside = save(members.join(shared.select("bucket", "pivot"), "bucket"), "shared-members")
-    stars = inside.where("member <> pivot").select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
-    signed = save(classes.select("doc_id", "signature").join(inside.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi"), "signatures")
+    chosen = save(named.join(first.select("class", F.col("first").alias("doc_id")), ["class", "doc_id"], "left_semi")
+                  .select("doc_id", "signature", "buckets"), "representatives")
+    members = chosen.select(F.col("doc_id").alias("member"), F.explode("buckets").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    inside = save(members.join(shared, "bucket"), "shared-members")
+    central = inside.groupBy("member").agg(F.sum("n").alias("weight"))
+    pivots = inside.join(central, "member").groupBy("bucket").agg(F.max_by("member", F.struct("weight", -F.col("member"))).alias("pivot"))
+    stars = inside.join(pivots, "bucket").where("member <> pivot").select(
+        F.least("pivot", "member").alias("a"), F.greatest("pivot", "member").alias("b")).distinct()
+    signed = save(chosen.join(inside.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi"), "signatures")
     links = confirm(stars, signed, texts, size, threshold)
     # rows that repeat a doc_id with other texts tie the classes together by that doc_id
-    split = linked.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
-    tied = linked.join(split.select("doc_id"), "doc_id", "left_semi").join(first, "class").where("first <> doc_id")
+    split = slim.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
+    tied = slim.join(split.select("doc_id"), "doc_id", "left_semi").join(first, "class").where("first <> doc_id")
     links = links.union(tied.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
     found = save(components(links), "components")
-    label = inside.join(found.withColumnRenamed("node", "member"), "member", "left").select(
-        "bucket", "member", F.coalesce("component", "member").alias("component"))
-    label = save(label, "labels")
-    mixed = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_rows = save(label.join(mixed.select("bucket"), "bucket", "left_semi"), "open-members")
-    left = open_rows.select("bucket", F.col("member").alias("a"), F.col("component").alias("ca"))
-    right = open_rows.select("bucket", F.col("member").alias("b"), F.col("component").alias("cb"))
-    across = left.join(right, "bucket").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = across.join(stars, ["a", "b"], "left_anti")  # a pivot is the smaller one of its pairs
-    more = confirm(across, signed, texts, size, threshold)
+    labels = save(inside.join(found.withColumnRenamed("node", "member"), "member", "left").select(
+        "bucket", "member", F.coalesce("component", "member").alias("component")), "labels")
+    more = links_across(labels, signed, texts, size, threshold)
     if more.limit(1).count():
         found = save(components(links.union(more)), "components")
     whole = first.join(found.withColumnRenamed("node", "first"), "first", "left").select(
