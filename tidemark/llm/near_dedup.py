@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import lower_words, map_batches, save, slices
@@ -37,6 +37,7 @@ THRESHOLD = 80
 _MARGIN = 10  # percent points below the threshold that a signature's agreement may lie
 _CELL = 512  # members of one side of a cell
 _ROUNDS = 100
+_EDGES = 250_000  # edges of a component step that one task writes
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -243,21 +244,25 @@ def components(links: DataFrame) -> DataFrame:
     Alternates large-star (neighbours above a node move to the smallest node
     around it) and small-star (neighbours below it do) until nothing moves.
     """
-    def sums(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = save(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = sums(edges)
+    def kept(df: DataFrame, label: str, parts: int | None) -> tuple[DataFrame, tuple]:
+        """Write the distinct edges; their number and the sum of their hashes come from the same pass."""
+        seen = Observation(label)
+        df = df.where("a <> b").distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+        df = save(df if parts is None else df.coalesce(parts), label)
+        found = seen.get  # nothing is observed of a plan that the optimizer finds empty
+        return df, (found.get("n") or 0, found.get("h"))
+
+    edges, state = kept(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges", None)
     for _ in range(_ROUNDS):
+        parts = 1 + state[0] // _EDGES  # a small graph need not be spread over every shuffle partition
         around = edges.union(edges.select("b", "a"))
         least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = around.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = save(large.where("a <> b").distinct(), "large-star")
-        below = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(below, "a")
-        edges = save(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-                     .where("a <> b").distinct(), "small-star")
-        before, state = state, sums(edges)
+        large = around.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = save(large.coalesce(4 * parts), "large-star")
+        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+        step = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
+        before = state
+        edges, state = kept(step, "small-star", parts)
         if state == before:
             break
     else:
