@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import blank_to_null, py_strip, py_text, truthy
+from tidemark.functions import as_double_or_zero, blank_to_null, exact_sum, py_strip, py_text, truthy
 
 
 def test_strip_matches_python_unicode_whitespace(spark):
@@ -29,3 +29,17 @@ def test_py_text_renders_none_and_bools(spark):
     df = spark.createDataFrame([(None, True), (5, False)], "n long, b boolean")
     rows = df.select(py_text(F.col("n"), T.LongType()), py_text(F.col("b"), T.BooleanType())).collect()
     assert [tuple(r) for r in rows] == [("None", "True"), ("5", "False")]
+
+
+def test_sum_neither_zeroes_drops_nor_aborts(spark):
+    nan = float("nan")
+    rows = [("tiny", 1e-12), ("tiny", 1e-12), ("huge", 1e30), ("huge", 1.0), ("nan", nan), ("nan", 1.0), ("plain", 0.1), ("plain", 0.2), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert got["tiny"] == 2e-12 and got["huge"] == 1e30 and got["nan"] != got["nan"] and got["plain"] == 0.3 and got["none"] is None
+
+
+def test_text_that_is_no_number_is_not_zero(spark):
+    df = spark.createDataFrame([("abc",), ("",), (None,), ("2.5",)], "p string")
+    got = [r[0] for r in df.select(as_double_or_zero(F.col("p"), df.schema["p"].dataType)).collect()]
+    assert got == [None, 0.0, 0.0, 2.5]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit
@@ -56,3 +57,21 @@ def test_stage_chain_and_merge(spark):
     assert rep["destinations"] == 2 and rep["stage_duration_ms"] == 40
     counts = stages.select(audit.stage_record_count(stages, F.lit(-1)).alias("n")).collect()
     assert all(r["n"] == -1 for r in counts)
+
+
+def test_versions_refuse_nothing_and_labels_are_not_cut(spark):
+    rows = spark.createDataFrame([(n, "" if n > 9 else f"r{n}") for n in (7, 100, 109)], "_row long, id string")
+    got = {r["_row"]: r["raw_version"] for r in lin.record_versions(rows, "_row").collect()}
+    assert got == {7: "raw:r7:v0", 100: "raw:100:v0", 109: "raw:109:v0"}
+    with pytest.raises(ValueError):
+        lin.save_prepared_version(rows, rows.limit(0), "v", ordinal="_row")
+
+
+def test_repeated_edits_do_not_multiply_lineage(spark):
+    raw = spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (3, None, "c")], "_row long, id long, v string")
+    line = lin.build_lineage(raw, raw, None, source="todos", run_id="r", ordinal="_row")
+    edits = spark.createDataFrame([(1, 5, "x"), (2, 5, "y"), (3, None, "z")], "_row long, id long, v string")
+    out = lin.replace_prepared(line, edits, ordinal="_row").collect()
+    assert len(out) == 3
+    diff = lin.field_diff(raw, edits, ordinal="_row").collect()
+    assert sorted((r["id"] or 0, r["before"], r["after"], r["state"]) for r in diff) == [(0, "c", "z", "changed"), (5, "a", "x", "changed"), (5, "b", "y", "changed")]

@@ -113,3 +113,22 @@ def test_bround_half_even_means(spark):
     df = spark.createDataFrame([(1, 2, 3), (2, 3, 4), (3, None, None)], "id long, a long, b long")
     d = prep.column_defaults(df)[0].first()
     assert d["a"] == 2 and d["b"] == 4
+
+
+def test_hostile_headers_ids_and_corrections(spark):
+    """Dots and apostrophes in headers, nested columns, repeated and NULL ids, many rejected corrections of one name."""
+    rows = [(k, None if k % 4 == 0 else k % 3, " a " if k % 2 else None, None if k % 5 == 0 else float(k), (k, None)) for k in range(1, 13)]
+    df = spark.createDataFrame(rows, "_row long, id long, `o'zgarish nomi` string, `g.1` double, nested struct<x:long,y:string>")
+    corr = spark.createDataFrame(
+        [(1, "1", "o'zgarish nomi", "b"), (2, "1", "o'zgarish nomi", "c"), (3, "2", "g.1", "7.5"), (4, "2", "g.1", "bad")]
+        + [(10 + k, None, "g.1", "1") for k in range(50)] + [(90, "99", "g.1", "1"), (91, "1", "nope", "1")],
+        "seq long, record_id string, column string, value string")
+    p = prep.prepare(df, corr, ordinal="_row")
+    got = {r["_row"]: r for r in p.rows.collect()}
+    assert len(got) == 12
+    assert got[10]["o'zgarish nomi"] == "c" and got[7]["o'zgarish nomi"] == "a"  # the last row with the id is corrected
+    assert got[11]["g.1"] == 7.5 and got[12]["nested"]["x"] == 12
+    audit = {r["seq"]: r for r in p.corrections.collect()}
+    assert len(audit) == 56 and (audit[1]["before"], audit[2]["before"]) == ("a", "b")
+    assert [audit[k]["status"] for k in (1, 2, 3, 4, 10, 90, 91)] == ["applied"] * 3 + ["rejected"] * 4
+    assert p.profile.first()["manual_corrections_applied"] == 3

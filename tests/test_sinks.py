@@ -1,10 +1,11 @@
 import datetime as dt
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, marts
+from tidemark.operators import marts
 from tidemark.operators.curate import curate
 from tidemark.plans.curate_job import curate_to_parquet, read_raw_records
 from tidemark.schema import CURATED_COLUMNS, RUN_AUDIT_SCHEMA
@@ -43,16 +44,38 @@ def test_append_table_and_mart(spark, scratch):
     assert spark.read.parquet(mart_path).first()["record_count"] == 7
 
 
-def test_audit_snapshots_switch_versions(spark, scratch):
+def test_audit_is_append_only_and_concurrent_runs_keep_their_rows(spark, scratch):
     root = os.path.join(scratch, "root")
     assert wh.read_runs(spark, root) is None
-    first = spark.createDataFrame([("r1", "s", "batch", "done", 1, 100, [], T0, T0)], RUN_AUDIT_SCHEMA)
-    wh.write_runs_snapshot(spark, first, root)
-    nxt = audit.upsert_runs(wh.read_runs(spark, root), spark.createDataFrame(
-        [("r1", "s", "batch", "warning", 2, 75, ["w"], T0, T0)], RUN_AUDIT_SCHEMA))
-    path = wh.write_runs_snapshot(spark, nxt, root)
-    assert path.endswith("_v=2")
-    assert [(r["status"], r["records"]) for r in wh.read_runs(spark, root).collect()] == [("warning", 2)]
+    later = T0 + dt.timedelta(hours=1)
+    rows = [(f"r{k}", "s", "batch", "done", k, 100, [], T0, T0) for k in range(6)]
+    with ThreadPoolExecutor(6) as pool:  # runs that end together
+        list(pool.map(lambda row: wh.append_run(spark, row, root), rows))
+    wh.append_run(spark, ("r1", "other", "stream", "warning", 2, 75, ["w"], later, later), root)
+    got = {r["run_id"]: (r["source"], r["mode"], r["status"], r["records"], r["created_at"]) for r in wh.read_runs(spark, root).collect()}
+    assert len(got) == 6 and got["r1"] == ("s", "batch", "warning", 2, T0) and got["r5"][3] == 5
+
+
+def test_landing_keeps_every_byte(spark, scratch):
+    path = os.path.join(scratch, "in.csv")
+    data = "\ufeffa;b\r\n1;\"x\ny\"\r\nlast;no newline".encode()
+    with open(path, "wb") as f:
+        f.write(data)
+    for _ in range(2):  # a rerun replaces
+        out = wh.write_landing(spark, path, os.path.join(scratch, "root"), "products", "r")
+    files = [n for n in os.listdir(out) if not n.endswith(".crc")]
+    assert len(files) == 1 and open(os.path.join(out, files[0]), "rb").read() == data
+
+
+def test_compaction_keeps_rows(spark, scratch):
+    root = os.path.join(scratch, "root")
+    for k in range(4):
+        wh.append_curated(_curated(spark, 3, f"r{k}"), root)
+    entity = wh.read_curated(spark, root).first()["source_entity"]
+    wh.compact_curated(spark, root, entity)
+    folder = os.path.join(wh.curated_table_path(root), f"source_entity={entity}")
+    assert wh.read_curated(spark, root).count() == 12
+    assert len([n for n in os.listdir(folder) if n.endswith(".parquet")]) == 1
 
 
 def test_exports(spark, scratch):

@@ -48,9 +48,8 @@ def test_payload_unwrap_shapes(spark, scratch):
     p = pl.read_payloads(spark, obj, layout="document")
     assert sorted(r["id"] for r in pl.unwrap(p, "users").collect()) == [1, 2]
     assert pl.unwrap(p, "carts").count() == 0
-    a = pl.read_payloads(spark, arr, layout="document")
-    assert pl.is_array_payload(pl.read_payload_text(spark, arr, layout="document"))
-    assert sorted(r["id"] for r in pl.unwrap(a, "users", top_level_array=True).collect()) == [7, 8]
+    a = pl.read_payload_text(spark, arr, layout="document")
+    assert sorted(r["id"] for r in pl.parse_records(pl.unwrap_text(a, "users")).collect()) == [7, 8]
     s = pl.payload_summary(pl.read_payload_text(spark, obj, layout="document"), "users").first()
     assert s["kind"] == "object" and s["top_level_keys"] == "users,total" and s["records"] == 2
 
@@ -60,3 +59,13 @@ def test_union_ragged(spark):
     b = spark.createDataFrame([(2, 3.5), (2, 3.5)], "id long, b double")
     got = sorted(tuple(r) for r in pl.union_ragged(a, b).select("id", "a", "b").collect())
     assert got == [(1, "x", None), (2, None, 3.5), (2, None, 3.5)]
+
+
+def test_each_payload_is_decided_on_its_own(spark, scratch):
+    path = os.path.join(scratch, "mixed.json")
+    with open(path, "w") as f:
+        f.write('\n[{"id": 1}, {"id": 2, "x": {"y": 1}}]\n{"users": [{"id": 3}], "total": 1}\n{"users": 4}\n{"other": []}\n[{"id": 4\n[]\n')
+    text = pl.read_payload_text(spark, path)
+    rows = pl.parse_records(pl.unwrap_text(text, "users"))
+    assert sorted(r["id"] for r in rows.collect()) == [1, 2, 3]
+    assert sorted(r["records"] for r in pl.payload_count(text, "users").collect()) == [0, 0, 0, 0, 0, 1, 2]

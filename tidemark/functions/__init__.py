@@ -10,12 +10,11 @@ from tidemark.functions.values import (
     is_numeric,
     py_text,
     python_type_name,
+    quoted,
     truthy,
-    truthy_or,
 )
 
 __all__ = [
     "as_double_or_zero", "blank_to_null", "clamp", "exact_sum", "clean_name", "field", "field_type",
-    "is_numeric", "is_trimmed", "py_strip", "py_text", "python_type_name", "truthy",
-    "truthy_or",
+    "is_numeric", "is_trimmed", "py_strip", "py_text", "python_type_name", "quoted", "truthy",
 ]

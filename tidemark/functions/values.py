@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.text import blank_to_null
+
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType,
     T.FloatType, T.DoubleType, T.DecimalType,
@@ -37,7 +39,7 @@ def field(df: DataFrame, path: str) -> tuple[Column, T.DataType]:
     dtype = field_type(df.schema, path)
     if dtype is None:
         return F.lit(None).cast(T.StringType()), T.NullType()
-    col = F.col(path.split(".")[0])
+    col = quoted(path.split(".")[0])
     for part in path.split(".")[1:]:
         col = col.getField(part)
     return col, dtype
@@ -62,15 +64,9 @@ def truthy(col: Column, dtype: T.DataType) -> Column:
     return col.isNotNull()
 
 
-def truthy_or(*items: tuple[Column, T.DataType], default: Column | None = None) -> Column:
-    """First truthy value of ``items`` (all rendered to the first item's role).
-
-    Items must share a result type; cast before calling when they differ.
-    """
-    expr = default if default is not None else F.lit(None)
-    for col, dtype in reversed(items):
-        expr = F.when(truthy(col, dtype), col).otherwise(expr)
-    return expr
+def quoted(name: str) -> Column:
+    """The column with exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def py_text(col: Column, dtype: T.DataType) -> Column:
@@ -91,13 +87,11 @@ def py_text(col: Column, dtype: T.DataType) -> Column:
 
 
 def as_double_or_zero(col: Column, dtype: T.DataType) -> Column:
-    """``float(x or 0)``: falsy values and NULL give 0.0."""
+    """``float(x or 0)``: falsy values and NULL give 0.0; text that is no number gives NULL, never 0."""
     if isinstance(dtype, T.NullType):
         return F.lit(0.0)
     if isinstance(dtype, T.StringType):
-        # float("12.5") parses; an unparsable text would fail the source run,
-        # here it becomes 0.0 instead of failing the whole job.
-        value = F.when(truthy(col, dtype), col.try_cast("double"))
+        return F.when(truthy(col, dtype), col.try_cast("double")).otherwise(F.lit(0.0))
     elif isinstance(dtype, T.BooleanType):
         value = F.when(col, F.lit(1.0))
     else:
@@ -105,6 +99,18 @@ def as_double_or_zero(col: Column, dtype: T.DataType) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
+# Number cells of the report format (the decimal mark may be a comma).
+INTEGER_PATTERN = r"^-?\d+$"
+DECIMAL_PATTERN = r"^-?\d+[.,]\d+$"
+
+
+def report_number(text: Column) -> Column:
+    """The number in a report cell, NULL when it holds none or an integer beyond 64 bits."""
+    cell = blank_to_null(text)
+    return (F.when(cell.rlike(INTEGER_PATTERN), cell.try_cast("bigint").cast("double"))
+            .when(cell.rlike(DECIMAL_PATTERN), F.replace(cell, F.lit(","), F.lit(".")).try_cast("double")))
+
+
 def python_type_name(dtype: T.DataType) -> str:
     """Name of the Python type that the source would see for this Spark type."""
     if isinstance(dtype, T.BooleanType):
@@ -127,16 +133,19 @@ def python_type_name(dtype: T.DataType) -> str:
 
 
 def exact_sum(col) -> "Column":
-    """Sum that does not depend on the order of addition.
+    """Sum that does not depend on the order of addition, where the values allow it.
 
     A double sum changes in its last bits with the partitioning (the order in
     which partial sums meet), so the same query could return different cents
-    on a different cluster layout.  Each value is taken as DECIMAL(38,10)
-    (exact for values with up to ten decimals), summed exactly and returned
-    as a double.
+    on a different cluster layout.  When every value is below 1e17 and equal to
+    itself as DECIMAL(38,10), the decimals are summed exactly and returned as a
+    double.  A group with any other value (tiny, huge, NaN or infinite) gets
+    the plain double sum: nothing is zeroed, dropped or aborted.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(38,10)")).cast("double")
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    exact = F.when(F.abs(c) < 1e17, c.try_cast("decimal(38,10)"))
+    whole = F.bool_and(F.coalesce(exact.cast("double") == c, F.lit(False)) | c.isNull())
+    return F.when(whole, F.sum(exact).cast("double")).otherwise(F.sum(c))
 
 
 def clamp(value: int, low: int, high: int) -> int:

@@ -5,28 +5,24 @@ AUD1-AUD7, AGG15-AGG18, SNK8.
 A run has a bounded number of stages (twelve), so every per-run group here is
 small by construction; the rollups are plain decomposable aggregates.  The
 audit upsert is a full outer join of the stored snapshot with the incoming
-batch on ``run_id`` (Parquet tables have no MERGE), written as a new snapshot.
+batch on ``run_id`` (Parquet tables have no MERGE); the run log itself is
+append-only, and ``latest_per_run`` reads the current row of each run from it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.schema import RUN_AUDIT_SCHEMA, STAGE_SCHEMA
+from tidemark.schema import DESTINATION_PATTERN, RUN_AUDIT_SCHEMA, STAGE_SCHEMA
 
-# Stage ids in run order, and the status ranking used to merge.
-STAGE_IDS = ["fastapi", "kafka", "landing", "raw", "preparation", "gx", "spark", "curated",
-             "clickhouse", "trino", "superset", "postgres"]
-STATUS_RANK = {"done": 0, "warning": 1, "error": 2}
 # Stage pairs the console shows as one step (second folds into first).
 MERGED_PAIRS = {"raw": "landing", "curated": "spark"}
 # Metric keys searched, in order, for a stage's record count.
 RECORD_COUNT_KEYS = ["records_received", "records_written", "records_in_event", "input_rows",
                      "output_rows", "inserted_rows", "records"]
-DESTINATION_PATTERN = r"^(s3|local|clickhouse|postgres|kafka):"
 DURATION_BUCKETS_MS = [100, 500, 1000, 5000, 30000]
 
 
@@ -41,6 +37,7 @@ def stage_rows(spark: SparkSession, stages: list[dict]) -> DataFrame:
             s.get("input_ref"), s.get("output_ref"),
             {k: str(v) for k, v in (s.get("metrics") or {}).items()},
             {k: str(v) for k, v in (s.get("artifacts") or {}).items()},
+            s.get("input_preview"), s.get("output_preview"),
         ))
     return spark.createDataFrame(rows, STAGE_SCHEMA)
 
@@ -78,22 +75,44 @@ def stage_record_count(stages: DataFrame, fallback: Column | int = 0) -> Column:
 def merge_stage_pairs(stages: DataFrame) -> DataFrame:
     """AGG18: fold raw into landing and curated into spark.
 
-    Worst status wins, durations and sizes add up, warnings concatenate in
-    sequence order, the later end time is kept.
+    Worst status wins, durations and sizes add up, warnings concatenate and
+    messages join in sequence order, metrics and artifacts merge with the later
+    stage's value per key, and the output reference and end time are the later
+    stage's.  A stage whose partner is missing stays under its own name.
     """
+    both = Window.partitionBy("run_id")
     display = F.col("id")
     for second, first in MERGED_PAIRS.items():
-        display = F.when(F.col("id") == second, F.lit(first)).otherwise(display)
-    grouped = stages.withColumn("display_stage", display).groupBy("run_id", "display_stage").agg(
+        folds = F.max(F.col("id") == first).over(both) & (F.col("id") == second)
+        display = F.when(folds, F.lit(first)).otherwise(display)
+    named = stages.withColumn("display_stage", display)  # a run has at most twelve stages
+    kept = [c for c in ("message", "output_ref", "metrics", "artifacts") if c in stages.columns]
+    ordered = F.array_sort(F.collect_list(F.struct("sequence", "warnings", *kept)),  # two stages at most
+                           lambda a, b: F.when(a["sequence"] < b["sequence"], -1).otherwise(1))
+    grouped = named.groupBy("run_id", "display_stage").agg(
         rank_status(F.max(status_rank(F.col("status")))).alias("status"),
         F.min("sequence").alias("sequence"),
         F.sum("duration_ms").alias("duration_ms"),
         F.sum("data_size_bytes").alias("data_size_bytes"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sequence", "warnings"))),
-                              lambda s: s["warnings"])).alias("warnings"),
+        ordered.alias("_parts"),
         F.max("ended_at").alias("ended_at"),
         F.count(F.lit(1)).alias("merged_stages"))
-    return grouped
+
+    def later(name: str) -> Column:
+        return F.element_at(F.filter(F.col("_parts"), lambda p: p[name].isNotNull()), -1)[name]
+
+    def merged(name: str) -> Column:
+        maps = F.transform("_parts", lambda p: F.coalesce(p[name], F.create_map().cast("map<string,string>")))
+        return F.aggregate(maps, F.create_map().cast("map<string,string>"),
+                           lambda a, m: F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(m, k)), m))
+
+    extra = {"message": lambda: F.array_join(F.transform("_parts", lambda p: p["message"]), "; "),
+             "output_ref": lambda: F.when(F.exists("_parts", lambda p: p["output_ref"].isNotNull()), later("output_ref")),
+             "metrics": lambda: merged("metrics"), "artifacts": lambda: merged("artifacts")}
+    return grouped.select(
+        "run_id", "display_stage", "status", "sequence", "duration_ms", "data_size_bytes",
+        F.flatten(F.transform("_parts", lambda p: p["warnings"])).alias("warnings"), "ended_at", "merged_stages",
+        *[extra[c]().alias(c) for c in kept])
 
 
 def run_report(stages: DataFrame) -> DataFrame:
@@ -124,11 +143,15 @@ def data_size_bytes(df: DataFrame) -> Column:
 # SNK8: run audit upsert
 # ---------------------------------------------------------------------------
 def latest_per_run(batch: DataFrame) -> DataFrame:
-    """Collapse duplicates inside one batch: the row with the latest update wins
-    (``max_by`` is decomposable, so a hot run id never lands in one task)."""
-    cols = [c for c in RUN_AUDIT_SCHEMA.fieldNames() if c != "run_id"]
-    packed = F.max_by(F.struct(*cols), F.col("updated_at"))
-    return batch.groupBy("run_id").agg(packed.alias("r")).select("run_id", "r.*")
+    """One row per run: the row with the latest update wins and keeps the first
+    creation time, source and mode (``max_by``/``min_by`` are decomposable, so a
+    hot run id never lands in one task as rows)."""
+    names = RUN_AUDIT_SCHEMA.fieldNames()
+    first = ("source", "mode", "created_at")
+    latest = F.max_by(F.struct(*[c for c in names if c != "run_id"]), F.col("updated_at"))
+    earliest = F.min_by(F.struct(*first), F.struct("created_at", "updated_at"))
+    rows = batch.groupBy("run_id").agg(latest.alias("l"), earliest.alias("f"))
+    return rows.select(*[F.col(c) if c == "run_id" else F.col(f"f.{c}" if c in first else f"l.{c}") for c in names])
 
 
 def upsert_runs(existing: DataFrame, incoming: DataFrame, now: dt.datetime | Column | None = None) -> DataFrame:

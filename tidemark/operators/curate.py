@@ -19,6 +19,7 @@ from tidemark.functions.values import (
     field,
     is_numeric,
     py_text,
+    report_number,
     truthy,
 )
 from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA
@@ -43,8 +44,10 @@ def _timestamp(value) -> Column:
 def first_numeric_metric(df: DataFrame) -> Column:
     """PRJ7: ``struct(metric_name, metric_value)`` of the first number in g4..g45, g2, g1.
 
-    A column takes part only when its type is numeric (D4 types per column, so
-    booleans and text never count); within a row the first non-NULL wins.
+    Decided cell by cell: in a text column (one bad cell makes the whole column
+    text) a cell that reads as a number of the report format still counts, so
+    one bad cell never removes the column for other rows.  Booleans and over-long
+    digit strings are not numbers; within a row the first number wins.
     """
     candidates = []
     for name in ENTERPRISE_NUMBER_FIELDS:
@@ -54,6 +57,11 @@ def first_numeric_metric(df: DataFrame) -> Column:
                 F.when(col.isNotNull(), F.struct(F.lit(name).alias("metric_name"),
                                                  col.cast("double").alias("metric_value")))
             )
+        elif isinstance(dtype, T.StringType):
+            number = report_number(col)
+            candidates.append(
+                F.when(number.isNotNull(), F.struct(F.lit(name).alias("metric_name"), number.alias("metric_value")))
+            )
     fallback = F.struct(F.lit(FALLBACK_METRIC).alias("metric_name"), F.lit(0.0).alias("metric_value"))
     return F.coalesce(*candidates, fallback) if candidates else fallback
 
@@ -199,6 +207,8 @@ def curate(
 
     id_col, id_t = field(df, "id")
     id_text = py_text(id_col, id_t)
+    if isinstance(id_t, T.NullType) and not ordinal:
+        raise ValueError("records without an id need a stored ordinal: every dw_id would be the same")
     if ordinal:
         position = F.col(ordinal).cast("string")
         id_text = (position if isinstance(id_t, T.NullType)

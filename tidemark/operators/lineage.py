@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import clean_name
-from tidemark.functions.values import field, py_text
+from tidemark.functions.values import field, py_text, quoted
 
 # Labels the lineage and version records carry.
 LOCAL_SYSTEM = "Local Test API"
@@ -29,7 +29,7 @@ DATASET_FILE_NAMES = {
 
 
 def _struct_of(df: DataFrame, exclude: tuple[str, ...]) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns if c not in exclude])
+    return F.struct(*[quoted(c) for c in df.columns if c not in exclude])
 
 
 def build_lineage(raw: DataFrame, prepared: DataFrame, curated: DataFrame | None, *,
@@ -79,20 +79,25 @@ def build_lineage(raw: DataFrame, prepared: DataFrame, curated: DataFrame | None
         "raw", "prepared", "curated", warehouse.alias("warehouse"))
 
 
-def replace_prepared(lineage: DataFrame, new_prepared: DataFrame, key: str = "id") -> DataFrame:
+def replace_prepared(lineage: DataFrame, new_prepared: DataFrame, key: str = "id", *, ordinal: str | None = None) -> DataFrame:
     """JN3: swap the prepared side by record id; keep the old one where absent.
 
+    When several new rows have one id, the last one by ``ordinal`` counts (by
+    the whole row where none is given), so lineage rows are never multiplied.
+
     When the new rows have the prepared side's fields, the struct keeps its
     type (fields reordered and cast); otherwise the side becomes JSON text.
     """
-    cols = [c for c in new_prepared.columns if not c.startswith("__")]
+    cols = [c for c in new_prepared.columns if not c.startswith("__") and c != ordinal]
     old_type = lineage.schema["prepared"].dataType
     same_fields = isinstance(old_type, T.StructType) and set(old_type.fieldNames()) == set(cols)
     if same_fields:
         new_struct = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in old_type.fields])
     else:
         new_struct = F.struct(*[F.col(c) for c in cols])
-    fresh = new_prepared.select(F.col(key).cast("string").alias("_rid"), new_struct.alias("_new"))
+    order = F.col(ordinal) if ordinal else F.to_json(new_struct)
+    fresh = (new_prepared.select(F.col(key).cast("string").alias("_rid"), new_struct.alias("_new"), order.alias("_at"))
+             .where(F.col("_rid").isNotNull()).groupBy("_rid").agg(F.max_by("_new", "_at").alias("_new")))
     joined = lineage.join(fresh, lineage["record_id"] == fresh["_rid"], "left")
     if same_fields:
         prepared = F.when(F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("prepared"))
@@ -132,12 +137,13 @@ def dataset_versions(runs: DataFrame, prepared_version: str | None = None) -> Da
 
 def record_versions(rows: DataFrame, ordinal: str) -> DataFrame:
     """VER2: per-record version ids; base = last 8 cleaned chars of the record id,
-    else the 2-digit position."""
+    else the position, padded to two digits and never cut.  The ids are short labels;
+    ``record_id`` is carried whole, as labels of different records may be equal."""
     ids = [F.col(c).cast("string") for c in ("id", "dw_id") if c in rows.columns]
     record_id = F.coalesce(*ids, F.concat(F.lit("row-"), F.col(ordinal).cast("string")))
     cleaned = clean_name(record_id)
     base = F.when(F.length(cleaned) > 0, F.right(cleaned, F.lit(8))).otherwise(
-        F.lpad(F.col(ordinal).cast("string"), 2, "0"))
+        F.lpad(F.col(ordinal).cast("string"), F.greatest(F.lit(2), F.length(F.col(ordinal).cast("string"))), F.lit("0")))
     return rows.select(
         F.col(ordinal), record_id.alias("record_id"),
         F.concat(F.lit("raw:"), base, F.lit(":v0")).alias("raw_version"),
@@ -152,12 +158,14 @@ def save_prepared_version(current: DataFrame, edited: DataFrame, version_id: str
     """VER3: replace prepared rows with an edited set and stamp the version id.
 
     Internal ``__`` fields are dropped; a row without id takes the id of the
-    current row at the same position, else ``row-{n}``.  An edited set with no
-    columns besides the ordinal is refused.
+    current row at the same position, else ``row-{n}``.  An edited set without
+    rows, or with no columns besides the ordinal, is refused.
     """
     data_cols = [c for c in edited.columns if not c.startswith("__") and c != ordinal]
     if not data_cols:
         raise ValueError("an edited version needs at least one record field")
+    if edited.limit(1).count() == 0:
+        raise ValueError("an edited version needs at least one row")
     prev = current.select(F.col(ordinal).alias("_ord"), F.col(key).alias("_prev_id"))
     joined = edited.join(prev, edited[ordinal] == prev["_ord"], "left")
     own = F.col(key) if key in edited.columns else F.lit(None)
@@ -179,9 +187,9 @@ def flatten_one_level(df: DataFrame, exclude: tuple[str, ...] = ()) -> dict[str,
             continue
         if isinstance(f.dataType, T.StructType):
             for sub in f.dataType.fields:
-                out[f"{f.name}.{sub.name}"] = (F.col(f.name).getField(sub.name), sub.dataType)
+                out[f"{f.name}.{sub.name}"] = (quoted(f.name).getField(sub.name), sub.dataType)
         else:
-            out[f.name] = (F.col(f.name), f.dataType)
+            out[f.name] = (quoted(f.name), f.dataType)
     return out
 
 
@@ -191,17 +199,22 @@ def _json_text(col: Column, dtype: T.DataType) -> Column:
     return col.cast("string")
 
 
-def field_diff(before: DataFrame, after: DataFrame, key: str = "id") -> DataFrame:
+def field_diff(before: DataFrame, after: DataFrame, key: str = "id", *, ordinal: str | None = None) -> DataFrame:
     """DIF1: (key, field, state, before, after) for every record and field.
 
-    ``added``/``removed`` follow schema membership (a field only one side has);
-    ``changed`` compares the values (NULL-safe), arrays whole.
+    The two sides meet on the stored ``ordinal``, so repeated or NULL ids neither
+    multiply rows nor lose them; ``key`` is a carried label.  Without an ordinal
+    the key must be unique and not NULL.  ``added``/``removed`` follow schema
+    membership (a field only one side has); ``changed`` compares the values
+    (NULL-safe), arrays whole.
     """
-    b = flatten_one_level(before, (key,))
-    a = flatten_one_level(after, (key,))
-    left = before.select(F.col(key).alias("_k"), F.struct(*[c.alias(n) for n, (c, _) in b.items()]).alias("_b"))
-    right = after.select(F.col(key).alias("_k"), F.struct(*[c.alias(n) for n, (c, _) in a.items()]).alias("_a"))
-    joined = left.join(right, "_k", "full")
+    inner = tuple({key, ordinal} - {None})
+    b = flatten_one_level(before, inner)
+    a = flatten_one_level(after, inner)
+    on = ordinal or key
+    left = before.select(F.col(on).alias("_at"), F.col(key).alias("_bk"), F.struct(*[c.alias(n) for n, (c, _) in b.items()]).alias("_b"))
+    right = after.select(F.col(on).alias("_at"), F.col(key).alias("_ak"), F.struct(*[c.alias(n) for n, (c, _) in a.items()]).alias("_a"))
+    joined = left.join(right, "_at", "full").withColumn("_k", F.coalesce("_ak", "_bk"))
     items = []
     for name in list(b) + [n for n in a if n not in b]:
         bv = _json_text(F.col("_b").getField(name), b[name][1]) if name in b else F.lit(None).cast("string")

@@ -14,13 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import clamp, exact_sum
-from tidemark.schema import CURATED_COLUMNS, LIMIT_DEFAULT, LIMIT_MAX, LIMIT_MIN
+from tidemark.schema import CURATED_COLUMNS, DESTINATION_PATTERN, LIMIT_DEFAULT, LIMIT_MAX, LIMIT_MIN
 
 # Preferred display columns per view (PRJ14).
 PREFERRED_CURATED = ["dw_id", "source_system", "entity_name", "category", "metric_name",
                      "metric_value", "status", "loaded_at"]
+SHOWN_KEYS = 5
 PREFERRED_RAW = ["id", "title", "firstName", "lastName", "category", "price", "total", "userId"]
-DESTINATION_PATTERN = r"^(s3|local|clickhouse|postgres|kafka):"
 
 
 def staging_view(curated: DataFrame) -> DataFrame:
@@ -108,16 +108,22 @@ def load_metric_sum(curated: DataFrame, by: str | None = "run_id") -> DataFrame:
 def category_histogram(curated: DataFrame, ordinal: str | Column) -> DataFrame:
     """AGG13: rows per display key ``category ?? entity_name ?? status ?? 'other'``.
 
-    ``first_seen`` is the smallest ordinal of the key (the console kept the
-    first five keys in order of appearance); ``max_count`` scales the bars and
-    is a ``max`` over the aggregated keys, never over rows.
+    ``first_seen`` is the smallest ordinal of the key, ``shown`` marks the first
+    five keys in order of appearance and ``max_count`` (the largest count among
+    the shown keys) scales their bars.  Both come from a five-row top-k and its
+    maximum over the aggregated keys, never over rows.
     """
     ordinal_col = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     key = F.coalesce(F.col("category"), F.col("entity_name"), F.col("status"), F.lit("other"))
-    return curated.groupBy(key.alias("category_key")).agg(
+    keys = curated.groupBy(key.alias("category_key")).agg(
         F.count(F.lit(1)).alias("records"),
         F.min(ordinal_col).alias("first_seen"),
         exact_sum("metric_value").alias("metric_total"))
+    top = keys.orderBy("first_seen", "category_key").limit(SHOWN_KEYS).agg(
+        F.struct(F.max("records").alias("m"), F.max(F.struct("first_seen", "category_key")).alias("last")).alias("t"))
+    rows = keys.withColumn("_top", top.scalar())
+    shown = F.struct("first_seen", "category_key") <= F.col("_top.last")
+    return rows.select("category_key", "records", "first_seen", "metric_total", shown.alias("shown"), F.col("_top.m").alias("max_count"))
 
 
 def metric_total(curated: DataFrame) -> DataFrame:

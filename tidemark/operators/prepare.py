@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import blank_to_null, is_trimmed, py_strip
-from tidemark.functions.values import INTEGRAL_TYPES, field, python_type_name, truthy
+from tidemark.functions.values import INTEGRAL_TYPES, field, python_type_name, quoted, truthy
 
 # Labels the source system writes into its preparation records.
 IMPUTED_UNKNOWN = "IMPUTED_UNKNOWN"
@@ -85,7 +85,7 @@ def string_columns(df: DataFrame) -> list[str]:
 def trim_blank(df: DataFrame) -> DataFrame:
     """Trim every top-level string (Unicode white space) and turn ``''`` into NULL."""
     strings = set(string_columns(df))
-    return df.select(*[blank_to_null(F.col(c)).alias(c) if c in strings else F.col(c) for c in df.columns])
+    return df.select(*[blank_to_null(quoted(c)).alias(c) if c in strings else quoted(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------------------
@@ -115,12 +115,12 @@ def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> tuple[DataFrame |
 
     num_row = None
     if numeric:
-        num_row = df.agg(*[_numeric_default(F.col(f.name), _kind(f.dataType)).alias(f.name) for f in numeric])
+        num_row = df.agg(*[_numeric_default(quoted(f.name), _kind(f.dataType)).alias(f.name) for f in numeric])
 
     text_row = None
     if textual:
         cells = F.explode(F.array(*[
-            F.struct(F.lit(f.name).alias("column"), _to_text(F.col(f.name), f.dataType).alias("value"))
+            F.struct(F.lit(f.name).alias("column"), _to_text(quoted(f.name), f.dataType).alias("value"))
             for f in textual
         ])).alias("cell")
         counts = (df.select(cells).select("cell.column", "cell.value")
@@ -132,8 +132,8 @@ def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> tuple[DataFrame |
         row = counts.agg(*[F.min(F.when(F.col("column") == f.name, ranked)).getField("value").alias(f.name)
                            for f in textual])
         text_row = row.select(*[
-            (F.coalesce(F.col(f.name), F.lit(IMPUTED_UNKNOWN)) if _kind(f.dataType) in ("str", "void")
-             else _from_text(F.col(f.name), f.dataType)).alias(f.name)
+            (F.coalesce(quoted(f.name), F.lit(IMPUTED_UNKNOWN)) if _kind(f.dataType) in ("str", "void")
+             else _from_text(quoted(f.name), f.dataType)).alias(f.name)
             for f in textual
         ])
     return num_row, text_row
@@ -155,7 +155,7 @@ class Defaults:
         for name, row in ((self.NUM, num_row), (self.TEXT, text_row)):
             if row is None:
                 continue
-            self._subq[name] = row.select(F.struct(*row.columns).alias("d")).scalar()
+            self._subq[name] = row.select(F.struct(*[quoted(c) for c in row.columns]).alias("d")).scalar()
             for c in row.columns:
                 self._where[c] = name
 
@@ -192,9 +192,9 @@ def impute(df: DataFrame, defaults: Defaults) -> DataFrame:
     for c in columns:
         if c in defaults:
             target = dtypes[c] if not isinstance(dtypes[c], T.NullType) else T.StringType()
-            cols.append(F.coalesce(F.col(c).cast(target), defaults[c].cast(target)).alias(c))
+            cols.append(F.coalesce(quoted(c).cast(target), defaults[c].cast(target)).alias(c))
         else:
-            cols.append(F.col(c))
+            cols.append(quoted(c))
     return df.select(*cols)
 
 
@@ -214,7 +214,7 @@ def imputation_log(cleaned: DataFrame, defaults: Defaults) -> DataFrame:
         return cleaned.sparkSession.createDataFrame([], "record_id string, column string, method string, value string")
     dtypes = dict((f.name, f.dataType) for f in cleaned.schema.fields)
     entries = F.array(*[
-        F.when(F.col(c).isNull() & defaults[c].isNotNull(),
+        F.when(quoted(c).isNull() & defaults[c].isNotNull(),
                F.struct(F.lit(c).alias("column"), _to_text(defaults[c], dtypes[c]).alias("value")))
         for c in cleaned.columns if c in defaults
     ])
@@ -286,67 +286,63 @@ def correct(
         F.coalesce(F.col("column").cast("string"), F.lit("")).alias("column"),
         F.col("value").cast("string").alias("value"),
     )
-    # The semi join needs no distinct keys (a duplicate key does not repeat a
-    # row), so no extra shuffle is spent on de-duplicating the corrected ids.
+    # Which rows are named: decided on (id, ordinal) alone, before any cell is
+    # rendered.  The last row per id is a max aggregate (partial on the map
+    # side, so an id shared by many rows never lands in one task as rows).
     wanted = corr.select("record_id").where(F.col("record_id").isNotNull())
-
-    # Candidate rows: only rows whose id is named by some correction.  The last
-    # row per id is a max_by aggregate (partial on the map side, so even an id
-    # shared by a huge number of rows never lands in one task as rows).
+    row_key = F.col(ordinal) if ordinal else id_text
+    ids = prepared.select(id_text.alias("__fix_rid"), row_key.alias("__fix_at"))
+    last = (ids.join(wanted, ids["__fix_rid"] == wanted["record_id"], "left_semi")
+            .groupBy("__fix_rid").agg(F.max("__fix_at").alias("__fix_row")))
+    # Only the named rows become maps of text cells.  This join and the last one
+    # below use the same key over the same rows: a shuffle of them is reused.
     cells = F.map_from_arrays(F.array(*[F.lit(c) for c in fields]),
-                              F.array(*[_to_text(F.col(c), t) for c, t in fields.items()]))
-    order = F.col(ordinal) if ordinal else F.lit(0)
-    keyed = prepared.select(id_text.alias("_rid"), order.alias("_ord"), cells.alias("_cells"))
-    cand = keyed.join(wanted, keyed["_rid"] == wanted["record_id"], "left_semi")
-    cand_cells = (cand.groupBy("_rid").agg(F.max_by(F.struct("_ord", "_cells"), F.col("_ord")).alias("t"))
-                  .select("_rid",
-                          (F.col("t._ord") if ordinal else F.col("_rid")).alias("_row"),
-                          F.col("t._cells").alias("_cells")))
-
-    j = corr.join(cand_cells, corr["record_id"] == cand_cells["_rid"], "left")
+                              F.array(*[_to_text(quoted(c), t) for c, t in fields.items()]))
+    cand_cells = (prepared.withColumn("__fix_at", row_key).join(last, F.col("__fix_at") == F.col("__fix_row"))
+                  .where(id_text == F.col("__fix_rid")).select("__fix_rid", "__fix_row", cells.alias("__fix_cells")))
+
+    j = corr.join(cand_cells, corr["record_id"] == cand_cells["__fix_rid"], "left")
     # Coercion is built once per distinct column *type*, not once per column:
     # a SQL map literal gives each correction its target column's type.
     type_names = {c: t.simpleString() for c, t in fields.items()}
     by_type = {t.simpleString(): t for t in fields.values()}
-    type_map = F.expr("map(" + ", ".join(f"'{c}', '{tn}'" for c, tn in type_names.items()) + ")")
-    j = j.select("*", blank_to_null(F.col("value")).alias("_v"), type_map[F.col("column")].alias("_type"))
-    coerced = {tn: coerce_clean(F.col("_v"), t) for tn, t in by_type.items()}
-    after = _by_column(F.col("_type"), {tn: v for tn, (v, _) in coerced.items()}, F.lit(None).cast("string"))
-    ok = _by_column(F.col("_type"), {tn: k for tn, (_, k) in coerced.items()}, F.lit(False))
-    has_record = F.col("_rid").isNotNull()
-    has_column = F.col("_type").isNotNull() & (F.col("column") != F.lit(""))
+    type_map = F.create_map(*[F.lit(x) for pair in type_names.items() for x in pair])
+    j = j.select("*", blank_to_null(F.col("value")).alias("__fix_v"), type_map[F.col("column")].alias("__fix_type"))
+    coerced = {tn: coerce_clean(F.col("__fix_v"), t) for tn, t in by_type.items()}
+    after = _by_column(F.col("__fix_type"), {tn: v for tn, (v, _) in coerced.items()}, F.lit(None).cast("string"))
+    ok = _by_column(F.col("__fix_type"), {tn: k for tn, (_, k) in coerced.items()}, F.lit(False))
+    has_record = F.col("__fix_rid").isNotNull()
+    has_column = F.col("__fix_type").isNotNull() & (F.col("column") != F.lit(""))
     reason = (F.when(~has_record, F.lit(REJECT_NO_RECORD))
               .when(~has_column, F.lit(REJECT_NO_COLUMN))
               .when(~ok, F.lit(REJECT_TYPE)))
-    staged = j.select("seq", "record_id", "column", "value", "_row",
-                      F.col("_cells")[F.col("column")].alias("_cell"),
+    staged = j.select("seq", "record_id", "column", "value", "__fix_row",
+                      F.col("__fix_cells")[F.col("column")].alias("__fix_cell"),
                       reason.alias("reason"), after.alias("after"))
     applied = staged.where(F.col("reason").isNull())
 
-    # The audit is one pass over all staged corrections: the previous *applied*
-    # correction of the same cell is the last non-NULL "applied" struct before
-    # this row (rejected rows carry NULL there and are skipped).
-    cell = (Window.partitionBy("record_id", "column").orderBy("seq")
+    # Before-values come from a window per cell over the *applied* corrections;
+    # the rejected ones (which may all name one missing record) join no window.
+    cell = (Window.partitionBy("__fix_row", "column").orderBy("seq")
             .rowsBetween(Window.unboundedPreceding, -1))
-    ok_row = F.col("reason").isNull()
-    prev = F.last(F.when(ok_row, F.struct("after")), ignorenulls=True).over(cell)
-    audit = staged.select(
-        "seq", "record_id", "column", "value",
-        F.when(ok_row, F.lit("applied")).otherwise(F.lit("rejected")).alias("status"), "reason",
-        F.when(ok_row, F.when(prev.isNotNull(), prev.getField("after")).otherwise(F.col("_cell")))
-        .alias("before"),
-        F.when(ok_row, F.col("after")).alias("after"))
+    shown = ["seq", "record_id", "column", "value"]
+    previous = F.last(F.struct("after")).over(cell)
+    no_text = F.lit(None).cast("string")
+    audit = applied.select(
+        *shown, F.lit("applied").alias("status"), "reason",
+        F.when(previous.isNotNull(), previous.getField("after")).otherwise(F.col("__fix_cell")).alias("before"), "after",
+    ).unionByName(staged.where(F.col("reason").isNotNull()).select(
+        *shown, F.lit("rejected").alias("status"), "reason", no_text.alias("before"), no_text.alias("after")))
 
     # Final value per cell first: max_by is decomposable, so even a cell that
     # receives a huge share of all corrections collapses map-side.  The map per
     # row then collects at most one entry per column.
-    final = (applied.groupBy("_row", "column").agg(F.max_by("after", "seq").alias("after"))
-             .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("column", "after"))).alias("_fix")))
-    row_key = F.col(ordinal) if ordinal else id_text
-    out = prepared.join(final, row_key == final["_row"], "left")
+    final = (applied.groupBy("__fix_row", "column").agg(F.max_by("after", "seq").alias("after"))
+             .groupBy("__fix_row").agg(F.map_from_entries(F.collect_list(F.struct("column", "after"))).alias("__fix_fix")))
+    out = prepared.withColumn("__fix_at", row_key).join(final, F.col("__fix_at") == F.col("__fix_row"), "left")
     fixed = [
-        F.when(F.map_contains_key(F.col("_fix"), F.lit(c)),
-               _from_text(F.col("_fix")[F.lit(c)], t)).otherwise(F.col(c)).alias(c)
+        F.when(F.map_contains_key(F.col("__fix_fix"), F.lit(c)),
+               _from_text(F.col("__fix_fix")[F.lit(c)], t)).otherwise(quoted(c)).alias(c)
         for c, t in fields.items()
     ]
     return out.select(*fixed), audit
@@ -357,10 +353,10 @@ def correct(
 # ---------------------------------------------------------------------------
 def column_types(df: DataFrame) -> DataFrame:
     """AGG12: source-style type name per column, ``null`` when it has no value."""
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count(quoted(c)).alias(c) for c in df.columns])
     return counts.select(F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column"),
-                 F.when(F.col(f.name) > 0, F.lit(python_type_name(f.dataType))).otherwise(F.lit("null"))
+                 F.when(quoted(f.name) > 0, F.lit(python_type_name(f.dataType))).otherwise(F.lit("null"))
                  .alias("type"))
         for f in df.schema.fields
     ])).alias("t")).select("t.column", "t.type")
@@ -376,7 +372,7 @@ def preparation_profile(raw: DataFrame, defaults: Defaults, audit: DataFrame) ->
     strings = set(string_columns(raw))
     trimmed, blank, imputed = [], [], []
     for c in raw.columns:
-        col = F.col(c)
+        col = quoted(c)
         cleaned = blank_to_null(col) if c in strings else col
         if c in strings:
             trimmed.append(F.when(is_trimmed(col), 1).otherwise(0))

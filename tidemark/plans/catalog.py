@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import curate as cur
 from tidemark.operators import marts
 from tidemark.plans import fixtures as fx
-from tidemark.plans.registry import r2, r6, register, xsum
+from tidemark.plans.registry import register, xsum
 from tidemark.schema import SOURCES
 
 # Run ids of the fixture runs.
@@ -139,31 +139,28 @@ register("first_numeric_metric", CUR_ENTERPRISE_SQL)(curated_enterprise)
 
 @register("fct_source_metrics", f"""
 SELECT source_entity, category, metric_name, CAST(loaded_at AS DATE) AS load_date,
-       count(*) AS record_count, round({xsum('metric_value')}, 2) AS metric_sum,
-       round({xsum('metric_value')} / count(metric_value), 6) AS metric_avg, max(loaded_at) AS last_loaded_at
+       count(*) AS record_count, {xsum('metric_value')} AS metric_sum,
+       {xsum('metric_value')} / count(metric_value) AS metric_avg, max(loaded_at) AS last_loaded_at
 FROM ({CUR_ALL_SQL}) c
 GROUP BY source_entity, category, metric_name, CAST(loaded_at AS DATE)""")
 def q_fct_source_metrics(spark, sf_dir):
-    m = marts.daily_metrics(curated_all(spark, sf_dir))
-    return m.withColumns({"metric_sum": r2(F.col("metric_sum")), "metric_avg": r6(F.col("metric_avg"))})
+    return marts.daily_metrics(curated_all(spark, sf_dir))
 
 
 @register("run_check", f"""
-SELECT count(*) AS records, round(COALESCE({xsum('metric_value')}, 0), 2) AS metric_sum,
+SELECT count(*) AS records, COALESCE({xsum('metric_value')}, 0) AS metric_sum,
        count(DISTINCT source_entity) AS source_count
 FROM ({CUR_POSTS_SQL}) c WHERE run_id = '{DELIVERY_RUN}'""")
 def q_run_check(spark, sf_dir):
-    out = marts.run_check(curated_posts(spark, sf_dir), DELIVERY_RUN)
-    return out.withColumn("metric_sum", r2(F.col("metric_sum")))
+    return marts.run_check(curated_posts(spark, sf_dir), DELIVERY_RUN)
 
 
 @register("run_checks", f"""
-SELECT run_id, count(*) AS records, round(COALESCE({xsum('metric_value')}, 0), 2) AS metric_sum,
+SELECT run_id, count(*) AS records, COALESCE({xsum('metric_value')}, 0) AS metric_sum,
        count(DISTINCT source_entity) AS source_count
 FROM ({CUR_ALL_SQL}) c GROUP BY run_id""")
 def q_run_checks(spark, sf_dir):
-    out = marts.run_checks(curated_all(spark, sf_dir))
-    return out.withColumn("metric_sum", r2(F.col("metric_sum")))
+    return marts.run_checks(curated_all(spark, sf_dir))
 
 
 @register("delivery_page", f"""
@@ -181,11 +178,10 @@ def q_delivery_record(spark, sf_dir):
 
 
 @register("delivery_summary", f"""
-SELECT count(*) AS records_total, round(COALESCE({xsum('metric_value')}, 0), 2) AS metric_sum
+SELECT count(*) AS records_total, COALESCE({xsum('metric_value')}, 0) AS metric_sum
 FROM ({CUR_POSTS_SQL}) c WHERE run_id = '{DELIVERY_RUN}'""")
 def q_delivery_summary(spark, sf_dir):
-    out = marts.delivery_summary(curated_posts(spark, sf_dir), DELIVERY_RUN)
-    return out.withColumn("metric_sum", r2(F.col("metric_sum")))
+    return marts.delivery_summary(curated_posts(spark, sf_dir), DELIVERY_RUN)
 
 
 @register("entity_counts", f"""
@@ -202,14 +198,50 @@ def q_load_metric_sum(spark, sf_dir):
 
 
 @register("category_histogram", f"""
+WITH k AS (
 SELECT COALESCE(category, entity_name, status, 'other') AS category_key, count(*) AS records,
-       min(id) AS first_seen, round({xsum('metric_value')}, 2) AS metric_total
+       min(id) AS first_seen, {xsum('metric_value')} AS metric_total
 FROM (SELECT c.*, CAST(split_part(dw_id, '_', 2) AS BIGINT) AS id FROM ({CUR_PRODUCTS_SQL}) c) t
-GROUP BY COALESCE(category, entity_name, status, 'other')""")
+GROUP BY COALESCE(category, entity_name, status, 'other')),
+n AS (SELECT *, row_number() OVER (ORDER BY first_seen, category_key) AS nth FROM k)
+SELECT category_key, records, first_seen, metric_total, nth <= 5 AS shown,
+       max(records) FILTER (WHERE nth <= 5) OVER () AS max_count FROM n""")
 def q_category_histogram(spark, sf_dir):
     c = curated_products(spark, sf_dir).withColumn(
         "id", F.split_part(F.col("dw_id"), F.lit("_"), F.lit(2)).cast("bigint"))
-    return marts.category_histogram(c, "id").withColumn("metric_total", r2(F.col("metric_total")))
+    return marts.category_histogram(c, "id")
+
+
+@register("metric_total", f"""
+SELECT {xsum('COALESCE(metric_value, 0.0)')} AS metric_total FROM ({CUR_ALL_SQL}) c""")
+def q_metric_total(spark, sf_dir):
+    """AGG14: total of ``metric_value ?? price ?? total ?? 0`` over every curated row."""
+    return marts.metric_total(curated_all(spark, sf_dir))
+
+
+# Sums of powers of two are exact in any order, so these groups compare although no decimal holds them.
+EXTREME_SQL = f"""
+SELECT source_entity, category, metric_name, CAST(loaded_at AS DATE) AS load_date,
+       CASE CAST(split_part(dw_id, '_', 2) AS BIGINT) % 4 WHEN 0 THEN pow(2.0, -40) WHEN 1 THEN pow(2.0, 100)
+            WHEN 2 THEN CAST('NaN' AS DOUBLE) ELSE metric_value END AS metric_value,
+       CAST(split_part(dw_id, '_', 2) AS BIGINT) % 4 AS kind
+FROM ({CUR_CARTS_SQL}) c"""
+
+
+@register("mart_extreme_values", f"""
+SELECT kind, count(*) AS record_count, isnan(sum(metric_value)) AS is_nan,
+       CASE WHEN kind = 3 THEN {xsum("CASE WHEN kind = 3 THEN metric_value ELSE 0 END")} WHEN kind < 2 THEN sum(metric_value) END AS metric_sum
+FROM ({EXTREME_SQL}) e GROUP BY kind""")
+def q_mart_extreme_values(spark, sf_dir):
+    """AGG1 over values that no DECIMAL(38,10) holds: tiny, huge and NaN are summed, not zeroed, dropped or fatal."""
+    kind = F.split_part(F.col("dw_id"), F.lit("_"), F.lit(2)).cast("bigint") % 4
+    value = (F.when(kind == 0, F.lit(2.0 ** -40)).when(kind == 1, F.lit(2.0 ** 100)).when(kind == 2, F.lit(float("nan")))
+             .otherwise(F.col("metric_value")))
+    rows = curated_carts(spark, sf_dir).withColumns({
+        "metric_value": value, "category": kind.cast("string"), "loaded_at": F.to_timestamp(F.lit("2024-01-01"))})
+    mart = marts.daily_metrics(rows)
+    return mart.select(F.col("category").cast("bigint").alias("kind"), "record_count", F.isnan("metric_sum").alias("is_nan"),
+                       F.when(~F.isnan("metric_sum"), F.col("metric_sum")).alias("metric_sum"))
 
 
 @register("report_rows", f"""

@@ -28,7 +28,7 @@ FROM ({fx.DIRTY_EVENTS_SQL}) r LEFT JOIN corrected p ON r.id = p.id""")
 def q_record_lineage(spark, sf_dir):
     """JN2: raw → prepared → curated → warehouse per record, joined on the ordinal."""
     raw = fx.dirty_events(spark, sf_dir)
-    prepared = prepared_events(spark, sf_dir).rows
+    prepared = materialize(prepared_events(spark, sf_dir).rows)   # the written prepared zone
     s = SOURCES["todos"]
 
     def to_curated(df, carry):
@@ -49,10 +49,10 @@ def q_record_lineage(spark, sf_dir):
 
 
 def _edited(prepared):
-    """The manual edit used by the version queries: it covers purchase and view
-    rows; purchase values are doubled and the id of view rows is dropped (it
-    falls back to the stored row's id)."""
-    return prepared.where(F.col("event_type").isin("purchase", "view")).select(
+    """The manual edit used by the version queries: the whole prepared set, with
+    purchase values doubled and the id of view rows dropped (it falls back to the
+    stored row's id)."""
+    return prepared.select(
         F.col("id").alias("_row"),
         F.when(F.col("event_type") == "view", F.lit(None).cast("bigint")).otherwise(F.col("id")).alias("id"),
         "event_type",
@@ -64,7 +64,7 @@ def _edited(prepared):
 EDITED_SQL = """
 SELECT id AS _row, CASE WHEN event_type = 'view' THEN NULL ELSE id END AS id, event_type,
        CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value, user_id, completed, note, ts
-FROM corrected WHERE event_type IN ('purchase', 'view')"""
+FROM corrected"""
 
 VERSION_ID = "prep:events:manual-1"
 
@@ -83,7 +83,8 @@ def q_manual_version(spark, sf_dir):
 
 @register("lineage_replace", f"""{with_ctes(*FULL)}, edited AS ({EDITED_SQL}),
 v AS (SELECT COALESCE(CAST(e.id AS VARCHAR), CAST(c.id AS VARCHAR), 'row-' || CAST(e._row AS VARCHAR)) AS id,
-             e.value FROM edited e LEFT JOIN corrected c ON e._row = c.id)
+             e.value + 1 AS value FROM edited e LEFT JOIN corrected c ON e._row = c.id
+      WHERE e.event_type IN ('purchase', 'view'))
 SELECT CAST(r.id AS VARCHAR) AS record_id, COALESCE(v.value, p.value) AS prepared_value,
        v.id IS NOT NULL AS replaced
 FROM ({fx.DIRTY_EVENTS_SQL}) r LEFT JOIN corrected p ON r.id = p.id
@@ -95,7 +96,9 @@ def q_lineage_replace(spark, sf_dir):
     lineage = lin.build_lineage(raw, prepared, None, source="todos", run_id=LINEAGE_RUN, ordinal="id")
     version = lin.save_prepared_version(prepared.withColumn("_row", F.col("id")), _edited(prepared),
                                         VERSION_ID, ordinal="_row")
-    swapped = lin.replace_prepared(lineage, version.drop("_row"), key="id")
+    few = version.where(F.col("event_type").isin("purchase", "view"))
+    twice = few.unionByName(few.withColumns({"_row": F.col("_row") + 10_000_000, "value": F.col("value") + 1}))  # a later edit of the same ids
+    swapped = lin.replace_prepared(lineage, twice, key="id", ordinal="_row")
     return swapped.select("record_id", F.col("prepared.value").alias("prepared_value"), "replaced")
 
 
@@ -153,4 +156,5 @@ FROM ({" UNION ALL ".join(parts)}) t"""
 @register("field_diff", _diff_sql())
 def q_field_diff(spark, sf_dir):
     """DIF1: per record and field, raw vs prepared: added/removed/changed/same."""
-    return lin.field_diff(fx.dirty_events(spark, sf_dir), prepared_events(spark, sf_dir).rows, key="id")
+    prepared = materialize(prepared_events(spark, sf_dir).rows)   # the written prepared zone
+    return lin.field_diff(fx.dirty_events(spark, sf_dir), prepared, key="id")

@@ -171,8 +171,8 @@ POST_PAYLOAD = T.StructType([
 def _post_events(spark, sf_dir):
     posts = fx.posts_raw(spark, sf_dir)
     run = F.when(F.col("userId") % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("run_id"))
-    return ev.envelope(posts.select("id", "title", "userId", run.alias("_run"), "loaded_at"),
-                       run_id=F.col("_run"), source="posts", event_time=F.col("loaded_at"))
+    return ev.envelope(posts.select("id", "title", "userId", (F.col("id") * 7).alias("extra"), run.alias("_run"), "loaded_at"),
+                       run_id=F.col("_run"), source="posts", event_time=F.col("loaded_at"), drop=("_run", "loaded_at"))
 
 
 ENVELOPE_SQL = f"""
@@ -192,20 +192,28 @@ def q_event_envelope(spark, sf_dir):
 
 
 @register("stream_route", f"""
-SELECT key, COALESCE(run_id, 'no_run') AS run_id, source, event_time, payload_id, payload_title
-FROM ({ENVELOPE_SQL}) e""")
+SELECT key, COALESCE(run_id, 'no_run') AS run_id, source, event_time, payload_id, payload_title,
+       payload_id * 7 AS extra, CAST(NULL AS VARCHAR) AS broken
+FROM ({ENVELOPE_SQL}) e
+UNION ALL
+SELECT key, 'no_run', '_malformed', NULL, NULL, NULL, NULL, '{{"payload": ' || key FROM ({ENVELOPE_SQL}) e WHERE payload_id % 10 = 0""")
 def q_stream_route(spark, sf_dir):
     """ST1 + ST4: envelopes through the file event log and the routed raw sink
     (availableNow trigger, checkpointed), read back as a table."""
     log = shared_path(spark, "events", "log")
     out = shared_path(spark, "events", "raw")
     ckpt = shared_path(spark, "events", "checkpoint")
-    ev.publish(_post_events(spark, sf_dir), log)
-    q = ev.route_to_raw(ev.event_stream(spark, log, POST_PAYLOAD), out, ckpt)
+    events = _post_events(spark, sf_dir)
+    broken = events.where(F.get_json_object("value", "$.payload.id").cast("bigint") % 10 == 0).select(
+        "key", F.concat(F.lit('{"payload": '), "key").alias("value"))
+    ev.publish(events.unionByName(broken), log)
+    q = ev.route_to_raw(ev.event_stream(spark, log), out, ckpt)
     q.awaitTermination()
     back = ev.read_raw_events(spark, out, POST_PAYLOAD)
     return back.select("key", "run_id", "source", "event_time", F.col("payload.id").alias("payload_id"),
-                       F.col("payload.title").alias("payload_title"))
+                       F.col("payload.title").alias("payload_title"),
+                       F.get_json_object("value", "$.payload.extra").cast("bigint").alias("extra"),  # a field no schema declares
+                       F.when(F.col("source") == ev.MALFORMED, F.col("value")).alias("broken"))
 
 
 @register("warehouse_roundtrip", f"""
@@ -223,11 +231,11 @@ def q_warehouse_roundtrip(spark, sf_dir):
         F.count_distinct("run_id").alias("runs"))
 
 
-@register("staging_view", f"SELECT * FROM ({CUR_ALL_SQL}) c WHERE metric_value > 1000")
+@register("staging_view", f"SELECT * FROM ({CUR_ALL_SQL}) c")
 def q_staging_view(spark, sf_dir):
     """PRJ11 + SNK11: the staging projection as a view, queried with SQL."""
     wh.register_view(marts.staging_view(curated_all(spark, sf_dir)), "stg_curated_events")
-    return spark.sql("SELECT * FROM stg_curated_events WHERE metric_value > 1000")
+    return spark.sql("SELECT * FROM stg_curated_events")
 
 
 @register("csv_total", "SELECT count(*) AS total FROM part")
@@ -240,5 +248,6 @@ def q_csv_total(spark, sf_dir):
 SELECT (id // {PAGE}) * {PAGE} AS skip, count(*) AS records FROM ({fx.CARTS_SQL}) c GROUP BY id // {PAGE}""")
 def q_payload_counts(spark, sf_dir):
     """SRC13: records per landed payload (0 when the collection key is missing)."""
-    payloads = pl.read_payloads(spark, land_cart_payloads(spark, sf_dir), schema=CART_PAYLOAD)
-    return pl.payload_count(payloads, "carts").select("skip", F.col("records").cast("bigint").alias("records"))
+    text = pl.read_payload_text(spark, land_cart_payloads(spark, sf_dir))
+    return pl.payload_count(text, "carts").select(F.get_json_object("value", "$.skip").cast("bigint").alias("skip"),
+                                                  F.col("records").cast("bigint").alias("records"))

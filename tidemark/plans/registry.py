@@ -51,6 +51,6 @@ def xsum(expr: str) -> str:
 
 def load_all() -> tuple[dict, dict]:
     """Import every query module (each registers itself) and return the maps."""
-    from tidemark.plans import catalog, q_audit, q_lineage, q_prepare, q_quality, q_sources  # noqa: F401
+    from tidemark.plans import catalog, q_audit, q_lineage, q_prepare, q_quality, q_runs, q_sources  # noqa: F401
 
     return QUERIES, ORACLES

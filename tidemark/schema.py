@@ -22,24 +22,10 @@ CURATED_SCHEMA = T.StructType([
     T.StructField("entity_name", T.StringType(), True),
     T.StructField("category", T.StringType(), True),
     T.StructField("metric_name", T.StringType(), False),
-    T.StructField("metric_value", T.DoubleType(), False),
+    T.StructField("metric_value", T.DoubleType(), True),  # NULL: the source text was no number
     T.StructField("status", T.StringType(), False),
 ])
 
-# Warehouse sort key; files are sorted on it so min/max statistics skip blocks.
-CURATED_SORT_KEY = ["source_entity", "dw_id"]
-
-MART_SCHEMA = T.StructType([
-    T.StructField("source_entity", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("metric_name", T.StringType()),
-    T.StructField("load_date", T.DateType()),
-    T.StructField("record_count", T.LongType()),
-    T.StructField("metric_sum", T.DoubleType()),
-    T.StructField("metric_avg", T.DoubleType()),
-    T.StructField("last_loaded_at", T.TimestampType()),
-])
-
 RUN_AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("source", T.StringType(), False),
@@ -69,25 +55,17 @@ STAGE_SCHEMA = T.StructType([
     T.StructField("output_ref", T.StringType(), True),
     T.StructField("metrics", T.MapType(T.StringType(), T.StringType()), False),
     T.StructField("artifacts", T.MapType(T.StringType(), T.StringType()), False),
+    T.StructField("input_preview", T.StringType(), True),
+    T.StructField("output_preview", T.StringType(), True),
 ])
 
-CORRECTION_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType(), False),
-    T.StructField("record_id", T.StringType(), True),
-    T.StructField("column", T.StringType(), True),
-    T.StructField("value", T.StringType(), True),
-])
-
-QUALITY_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType(), False),
-    T.StructField("passed", T.BooleanType(), False),
-    T.StructField("value", T.StringType(), False),
-])
+# Fixed value: output references that name a storage destination (FLT3).
+DESTINATION_PATTERN = r"^(s3|local|clickhouse|postgres|kafka):"
 
 # --- fixed values: choices the request accepts -----------------------------
 MODES = ("batch", "stream", "api")
 FAILURE_STAGES = ("none", "kafka", "gx", "clickhouse")
-LIMIT_MIN, LIMIT_MAX, LIMIT_DEFAULT = 1, 100, 20
+LIMIT_MIN, LIMIT_MAX, LIMIT_DEFAULT = 1, 100, 20  # of a delivery or report page; a run takes its whole input
 
 
 @dataclass(frozen=True)
@@ -141,15 +119,13 @@ class RunRequest:
     """Validated run request (FLT4): checks happen before any plan is built."""
 
     source: str = "products"
-    limit: int | None = LIMIT_DEFAULT
     mode: str = "batch"
     failure_stage: str = "none"
+    strict: bool = False
     corrections: list[dict] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         get_source(self.source)
-        if self.limit is not None and not (LIMIT_MIN <= int(self.limit) <= LIMIT_MAX):
-            raise ValueError(f"limit must be in [{LIMIT_MIN}, {LIMIT_MAX}]")
         if self.mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         if self.failure_stage not in FAILURE_STAGES:

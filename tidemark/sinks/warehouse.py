@@ -7,7 +7,7 @@ SNK1-SNK14.  Layout (all under a root in the shared file system):
 * ``{root}/warehouse/curated_events/source_entity=…``  appended curated rows,
   sorted by ``(run_id, dw_id)`` inside each file so a run filter skips row
   groups by their min/max statistics (SNK6)
-* ``{root}/audit/pipeline_runs/_v=N``  run audit snapshots (SNK8)
+* ``{root}/audit/pipeline_runs``  run audit rows, append-only (SNK8)
 
 Zone writes overwrite only their own ``source/run_id`` partition (dynamic
 partition overwrite), so reruns are idempotent and runs never clobber each
@@ -17,11 +17,13 @@ other; a lost executor just reruns its task.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA
+from tidemark.operators.audit import latest_per_run
+from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA, RUN_AUDIT_SCHEMA
 
 ZONES = ("raw", "prepared", "curated")
 
@@ -38,10 +40,27 @@ def written_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
 
 
-def write_landing(text: DataFrame, root: str, source: str, run_id: str) -> str:
-    """SNK1/SNK13: the original payload text, byte for byte, replace on rerun."""
+def write_landing(spark: SparkSession, input_path: str, root: str, source: str, run_id: str) -> str:
+    """SNK1/SNK13: the landed files as they are, byte for byte; a rerun replaces them.
+
+    A file-system copy (one open file at a time): line ends and a missing last
+    newline stay, which reading and writing text would change."""
     path = f"{root}/landing/source={source}/run_id={run_id}"
-    text.select("value").write.mode("overwrite").text(path)
+    source_fs, source_path = _jvm_fs(spark, input_path)
+    target_fs, target = _jvm_fs(spark, path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target_fs.delete(target, True)
+    target_fs.mkdirs(target)
+    files = source_fs.listFiles(source_path, True)
+    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    number = 0
+    while files.hasNext():
+        item = files.next().getPath()
+        name = item.getName()
+        if not name.startswith(("_", ".")):  # what Spark's readers skip as well
+            place = spark._jvm.org.apache.hadoop.fs.Path(target, f"{number:06d}-{name}")
+            copy(source_fs, item, target_fs, place, False, True, conf)
+            number += 1
     return path
 
 
@@ -98,13 +117,27 @@ def append_curated(curated: DataFrame, root: str) -> int:
         cols.append(c.cast(f.dataType).alias(f.name))
     obs = Observation("curated_append")
     out = curated.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-    # No repartition by source: a hot source would land in one task.  Each task
-    # writes its own sorted file per source it holds.
-    (out.sortWithinPartitions("source_entity", "run_id", "dw_id")
+    # REBALANCE on (source, run) gives files of the advisory partition size: small
+    # pieces are put together and a hot source is split, not gathered in one task.
+    (out.hint("rebalance", "source_entity", "run_id").sortWithinPartitions("source_entity", "run_id", "dw_id")
      .write.mode("append").partitionBy("source_entity").parquet(curated_table_path(root)))
     return int(obs.get.get("rows", 0))
 
 
+def compact_curated(spark: SparkSession, root: str, source_entity: str) -> None:
+    """Rewrite one source's small files as few large ones, sorted by (run_id, dw_id).
+
+    The new files are complete in a staging folder before they replace the old
+    ones (dynamic overwrite of this partition only); run it while no append runs."""
+    staging = f"{root}/warehouse/_compact/{source_entity}"
+    rows = spark.read.parquet(curated_table_path(root)).where(F.col("source_entity") == source_entity)
+    rows.hint("rebalance").sortWithinPartitions("run_id", "dw_id").write.mode("overwrite").parquet(staging)
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source_entity").parquet(curated_table_path(root)))
+    fs, hpath = _jvm_fs(spark, staging)
+    fs.delete(hpath, True)
+
+
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
     """SRC15: the warehouse table, columns in contract order."""
     return spark.read.parquet(curated_table_path(root)).select(*CURATED_COLUMNS)
@@ -123,37 +156,25 @@ def register_view(df: DataFrame, name: str) -> None:
 
 
 # ---------------------------------------------------------------------------
-# SNK8: audit snapshots (write new, then switch)
+# SNK8: the run audit, append-only
 # ---------------------------------------------------------------------------
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    fs, hpath = _jvm_fs(spark, base)
-    if not fs.exists(hpath):
-        return []
-    out = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if name.startswith("_v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[3:]))
-    return sorted(out)
+def append_run(spark: SparkSession, row: tuple, root: str) -> str:
+    """Append one run's audit row (fields of RUN_AUDIT_SCHEMA) in a folder of its own.
+
+    Nothing is rewritten and no folder is shared by two writers, so runs that
+    end together cannot lose each other's rows."""
+    path = f"{root}/audit/pipeline_runs/entry={uuid.uuid4().hex}"
+    spark.createDataFrame([row], RUN_AUDIT_SCHEMA).coalesce(1).write.parquet(path)
+    return path
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current run audit snapshot, or None before the first write."""
-    base = f"{root}/audit/pipeline_runs"
-    versions = _versions(spark, base)
-    if not versions:
+    """The current row of every run, or None before the first append."""
+    path = f"{root}/audit/pipeline_runs"
+    fs, hpath = _jvm_fs(spark, path)
+    if not fs.exists(hpath):
         return None
-    return spark.read.parquet(f"{base}/_v={versions[-1]}")
-
-
-def write_runs_snapshot(spark: SparkSession, snapshot: DataFrame, root: str) -> str:
-    """Write the next snapshot version; readers switch only once ``_SUCCESS``
-    exists, so the path being read is never overwritten."""
-    base = f"{root}/audit/pipeline_runs"
-    versions = _versions(spark, base)
-    path = f"{base}/_v={(versions[-1] + 1) if versions else 1}"
-    snapshot.sortWithinPartitions("source", F.col("created_at").desc()).write.mode("errorifexists").parquet(path)
-    return path
+    return latest_per_run(spark.read.schema(RUN_AUDIT_SCHEMA).parquet(path))
 
 
 # ---------------------------------------------------------------------------

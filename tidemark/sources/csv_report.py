@@ -1,9 +1,11 @@
 """Semicolon report CSV: scan, per-column typing, record ids, pages, page stats.
 
 SRC4-SRC9.  Cells are read as text, then one aggregate pass decides each
-column's type (D4): BIGINT when every non-blank cell is an integer, DOUBLE when
-every one is a number (decimal comma allowed), else text.  Identifier columns
-always stay text.
+column's type (D4): BIGINT when every non-blank cell is an integer of 64 bits,
+DOUBLE when every one is a number (decimal comma allowed) and no integer is
+longer, else text.  A column with over-long digits stays text, so no digit is
+lost; number cells of a text column are still found cell by cell (PRJ7).
+Identifier columns always stay text.
 """
 
 from __future__ import annotations
@@ -12,14 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import blank_to_null
-from tidemark.functions.values import clamp
+from tidemark.functions.values import DECIMAL_PATTERN, INTEGER_PATTERN, clamp, quoted
 from tidemark.schema import LIMIT_MAX, LIMIT_MIN
 from tidemark.sources.ordinal import ROW_NUMBER, page, with_row_number
 
-# Identifier columns and the number patterns of the report format.
+# Identifier columns of the report format.
 IDENTIFIER_COLUMNS = ("inn", "soato", "okpo")
-INTEGER_PATTERN = r"^-?\d+$"
-DECIMAL_PATTERN = r"^-?\d+[.,]\d+$"
 
 
 def read_report_csv(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
@@ -37,20 +37,19 @@ def read_report_csv(spark: SparkSession, path: str, *, multiline: bool = False)
 def column_kinds(df: DataFrame, columns: list[str]) -> dict[str, str]:
     """D4: one aggregate decides BIGINT / DOUBLE / STRING for every column."""
     aggs = []
-    for c in columns:
-        v = blank_to_null(F.col(c))
-        aggs.append(F.count_if(v.isNotNull() & ~v.rlike(INTEGER_PATTERN)).alias(f"{c}__ni"))
-        aggs.append(F.count_if(v.isNotNull() & ~(v.rlike(INTEGER_PATTERN) | v.rlike(DECIMAL_PATTERN)))
-                    .alias(f"{c}__nn"))
-        aggs.append(F.count_if(v.rlike(INTEGER_PATTERN) & v.try_cast("bigint").isNull()).alias(f"{c}__big"))
+    for k, c in enumerate(columns):
+        v = blank_to_null(quoted(c))
+        aggs.append(F.count_if(v.isNotNull() & ~v.rlike(INTEGER_PATTERN)).alias(f"ni{k}"))
+        aggs.append(F.count_if(v.isNotNull() & ~(v.rlike(INTEGER_PATTERN) | v.rlike(DECIMAL_PATTERN))).alias(f"nn{k}"))
+        aggs.append(F.count_if(v.rlike(INTEGER_PATTERN) & v.try_cast("bigint").isNull()).alias(f"big{k}"))
     row = df.agg(*aggs).first() if aggs else None
     kinds = {}
-    for c in columns:
-        if c in IDENTIFIER_COLUMNS:
+    for k, c in enumerate(columns):
+        if c in IDENTIFIER_COLUMNS or row[f"big{k}"]:
             kinds[c] = "string"
-        elif row[f"{c}__ni"] == 0 and row[f"{c}__big"] == 0:
+        elif row[f"ni{k}"] == 0:
             kinds[c] = "bigint"
-        elif row[f"{c}__nn"] == 0:
+        elif row[f"nn{k}"] == 0:
             kinds[c] = "double"
         else:
             kinds[c] = "string"
@@ -67,11 +66,9 @@ def typed_cell(col: Column, kind: str) -> Column:
     return v
 
 
-def type_columns(df: DataFrame, kinds: dict[str, str] | None = None) -> DataFrame:
+def type_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Typed columns in their original order; other columns pass through."""
-    cols = [c for c in df.columns if c != ROW_NUMBER]
-    kinds = kinds or column_kinds(df, cols)
-    return df.select(*[typed_cell(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+    return df.select(*[typed_cell(quoted(c), kinds[c]).alias(c) if c in kinds else quoted(c) for c in df.columns])
 
 
 def with_record_id(df: DataFrame) -> DataFrame:
@@ -81,10 +78,15 @@ def with_record_id(df: DataFrame) -> DataFrame:
                                         F.col(ROW_NUMBER).cast("string")))
 
 
-def load_report(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
-    """Scan → stored ordinal → typing → record id: the report's raw rows."""
-    raw = with_row_number(read_report_csv(spark, path, multiline=multiline))
-    return with_record_id(type_columns(raw))
+def load_report(spark: SparkSession, path: str, *, multiline: bool = False, kinds: dict[str, str] | None = None) -> DataFrame:
+    """Scan → stored ordinal → typing → record id: the report's raw rows.
+
+    The kinds are decided by one aggregate over the plain scan (not over the
+    numbered rows); ``kinds`` from an earlier load or a declared schema skips it.
+    """
+    plain = read_report_csv(spark, path, multiline=multiline)
+    kinds = kinds or column_kinds(plain, plain.columns)
+    return with_record_id(type_columns(with_row_number(plain), kinds))
 
 
 def report_page(rows: DataFrame, *, skip: int = 0, limit: int = 20) -> DataFrame:

@@ -3,8 +3,9 @@
 ``row_number() over (order by …)`` with no partition runs in one task.  Here
 every file block is counted in parallel, the block offsets come from a window
 over the *block counts* (one row per input split), and each row adds its
-position inside its block.  The block table has exactly one row per input
-split, so it is broadcast under a proven size bound.
+position inside its block.  The block table has one row per input split; how
+it meets the rows (broadcast while small, else a shuffle) is left to the
+optimizer, which knows its size.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import quoted
+
 ROW_NUMBER = "_row_number"
 
 
@@ -35,9 +38,9 @@ def number_rows(tagged: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
     order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_file", "_block", "_first",
                             F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_offset"))
-    out = tagged.join(F.broadcast(offsets), ["_file", "_block"])
+    out = tagged.join(offsets, ["_file", "_block"])
     keep = [c for c in tagged.columns if c not in ("_file", "_block", "_mid")]
-    return out.select(*[F.col(c) for c in keep],
+    return out.select(*[quoted(c) for c in keep],
                       (F.col("_offset") + (F.col("_mid") - F.col("_first")) + 1).alias(name))
 
 

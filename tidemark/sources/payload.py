@@ -9,7 +9,9 @@ are read with ``multiLine``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,17 +36,14 @@ def read_payload_text(spark: SparkSession, path: str, *, layout: str = "lines")
 
 
 def unwrap(payloads: DataFrame, collection_key: str, *, payload_id: str | None = None,
-           keep: tuple[str, ...] = (), top_level_array: bool = False) -> DataFrame:
+           keep: tuple[str, ...] = ()) -> DataFrame:
     """SRC3: records of the collection, one row each, with ``_pos`` (0-based
     position inside its payload) and the payload id when given.
 
-    A payload whose key is missing or not an array contributes no rows.  A
-    top-level array document is already one row per record when read; pass
-    ``top_level_array=True`` (see ``is_array_payload``) to take it as is.
-    ``keep`` names payload columns copied onto every record.
+    For payloads read with a schema.  A payload whose key is missing or not an
+    array contributes no rows.  ``keep`` names payload columns copied onto every
+    record.  Where arrays and objects may be mixed, see ``unwrap_text``.
     """
-    if top_level_array:
-        return payloads
     field = payloads.schema[collection_key] if collection_key in payloads.columns else None
     if field is None or not isinstance(field.dataType, T.ArrayType):
         return payloads.limit(0)
@@ -56,18 +55,41 @@ def unwrap(payloads: DataFrame, collection_key: str, *, payload_id: str | None =
     return exploded.select(*keep, POSITION, F.col("_r").alias("value"))
 
 
-def is_array_payload(text: DataFrame) -> bool:
-    """Whether the landed payloads are top-level arrays (first non-blank
-    character of the first payload; reads a single line or document)."""
-    head = text.select(F.substring(F.ltrim("value"), 1, 1).alias("c")).first()
-    return bool(head) and head["c"] == "["
+def _collection(value: Column, collection_key: str) -> Column:
+    """JSON text of a payload's records: the payload itself when it is an array,
+    else its collection; decided for each payload on its own."""
+    head = F.ltrim(value)
+    inside = F.get_json_object(value, "$['" + collection_key.replace("'", "\\'") + "']")
+    array = F.when(head.startswith("["), value).when(head.startswith("{") & F.ltrim(inside).startswith("["), inside)
+    return array
+
+
+def unwrap_text(text: DataFrame, collection_key: str, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """SRC3 + SRC10 over payload text (column ``value``): one row per record with
+    ``keep``, ``_pos`` and the record's JSON text as ``record``.
+
+    Each payload is an array of records or an object with the collection; the
+    two may be mixed in one input.  A blank or broken payload, or one without the
+    collection, contributes no rows (``payload_count`` shows it with 0).
+    """
+    items = F.from_json(_collection(F.col("value"), collection_key), "array<string>")
+    return text.select(*keep, F.posexplode(items).alias(POSITION, "record"))
+
+
+def parse_records(records: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Columns of the JSON text in ``record`` beside the other columns.  Without a
+    schema one pass over the records infers it, as any JSON read does."""
+    if schema is None:
+        spark = records.sparkSession
+        texts = getattr(records.select("record")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        schema = T.StructType.fromJson(json.loads(spark._jsparkSession.read().json(texts).schema().json()))
+    others = [c for c in records.columns if c != "record"]
+    return records.withColumn("record", F.from_json("record", schema)).select(*others, "record.*")
 
 
-def payload_count(payloads: DataFrame, collection_key: str) -> DataFrame:
-    """SRC13: records per payload (0 when the key is missing)."""
-    if collection_key not in payloads.columns:
-        return payloads.select(F.lit(0).alias("records"))
-    return payloads.select("*", F.coalesce(F.size(collection_key), F.lit(0)).alias("records"))
+def payload_count(text: DataFrame, collection_key: str) -> DataFrame:
+    """SRC13: records per payload text (0 when it has no such collection); all columns stay."""
+    return text.select("*", F.coalesce(F.json_array_length(_collection(F.col("value"), collection_key)), F.lit(0)).alias("records"))
 
 
 def payload_summary(text: DataFrame, collection_key: str, sample: int = 3) -> DataFrame:

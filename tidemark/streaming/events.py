@@ -4,7 +4,9 @@ The broker connector is not on this classpath, so the event log is a folder of
 JSON Lines files in the shared file system: ``publish`` appends envelopes
 (batch), ``event_stream`` reads them with the file source (a declared schema,
 new files picked up per micro-batch) and ``route_to_raw`` writes them to
-``source=…/run_id=…`` folders.  The checkpoint makes the sink exactly-once:
+``source=…/run_id=…`` folders, whole: an event's text is stored as it came, so
+fields that no schema declares stay, and text that is no JSON object goes to
+``source=_malformed``.  The checkpoint makes the sink exactly-once:
 a restart replays nothing that was committed.  With the Kafka connector on the
 classpath, ``event_stream(..., kafka=…)`` reads the topic instead and the rest
 is unchanged.
@@ -22,6 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 # Defaults the consumer uses when an event lacks them.
 UNKNOWN_SOURCE = "unknown"
 NO_RUN = "no_run"
+# Routing name for text that is not a JSON object.
+MALFORMED = "_malformed"
 
 RUN_EVENT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -33,13 +37,14 @@ RUN_EVENT_SCHEMA = T.StructType([
 
 
 def envelope(rows: DataFrame, *, run_id: str | Column, source: str | Column,
-             event_time: str | Column, id_col: str = "id") -> DataFrame:
+             event_time: str | Column, id_col: str = "id", drop: tuple[str, ...] = ()) -> DataFrame:
     """ST2: ``{run_id, source, event_time, payload}`` keyed by the record id,
-    or by the run id when the record has none."""
+    or by the run id when the record has none.  ``drop`` names columns that only
+    carry the envelope's own fields and stay out of the payload."""
     rid = run_id if isinstance(run_id, Column) else F.lit(run_id)
     src = source if isinstance(source, Column) else F.lit(source)
     etime = event_time if isinstance(event_time, Column) else F.lit(event_time)
-    payload_cols = [c for c in rows.columns]
+    payload_cols = [c for c in rows.columns if c not in drop]
     key = F.coalesce(F.col(id_col).cast("string"), rid) if id_col in rows.columns else rid
     return rows.select(
         key.alias("key"),
@@ -69,34 +74,35 @@ def envelope_schema(payload: T.StructType) -> T.StructType:
     ])
 
 
-def event_stream(spark: SparkSession, log_path: str, payload_schema: T.StructType, *,
+def event_stream(spark: SparkSession, log_path: str, *,
                  max_files_per_trigger: int | None = None, kafka: dict | None = None) -> DataFrame:
-    """ST1: the event log as a stream of parsed envelopes (earliest first)."""
+    """ST1: the event log as a stream of (key, value), earliest first; ``value`` is the event's whole text."""
     if kafka:
         reader = spark.readStream.format("kafka").option("startingOffsets", "earliest")
         for k, v in kafka.items():
             reader = reader.option(k, v)
-        raw = reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"))
+        return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"))
     else:
         reader = spark.readStream.schema("key string, value string")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        raw = reader.json(log_path)
-    parsed = F.from_json("value", envelope_schema(payload_schema))
-    return raw.select("key", parsed.alias("e")).select("key", "e.*")
+        return reader.json(log_path)
 
 
 def routed(events: DataFrame) -> DataFrame:
-    """ST4 routing keys: missing source/run id get the consumer's defaults."""
+    """ST4 routing keys: missing source/run id get the consumer's defaults; text
+    that is no JSON object is routed to the malformed side with its text."""
+    whole = F.get_json_object("value", "$")
+    is_event = F.coalesce(F.ltrim(whole).startswith("{"), F.lit(False))
     return events.withColumns({
-        "source": F.coalesce(F.col("source"), F.lit(UNKNOWN_SOURCE)),
-        "run_id": F.coalesce(F.col("run_id"), F.lit(NO_RUN)),
+        "source": F.when(is_event, F.coalesce(F.get_json_object("value", "$.source"), F.lit(UNKNOWN_SOURCE))).otherwise(F.lit(MALFORMED)),
+        "run_id": F.when(is_event, F.coalesce(F.get_json_object("value", "$.run_id"), F.lit(NO_RUN))).otherwise(F.lit(NO_RUN)),
     })
 
 
 def route_to_raw(events: DataFrame, out_path: str, checkpoint: str, *,
                  available_now: bool = True) -> StreamingQuery:
-    """ST4 + SNK9: append events to ``{out}/source=…/run_id=…`` as JSON Lines."""
+    """ST4 + SNK9: append events (key and whole text) to ``{out}/source=…/run_id=…`` as JSON Lines."""
     writer = (routed(events).writeStream.format("json").outputMode("append")
               .partitionBy("source", "run_id").option("checkpointLocation", checkpoint)
               .option("path", out_path))
@@ -105,10 +111,8 @@ def route_to_raw(events: DataFrame, out_path: str, checkpoint: str, *,
 
 
 def read_raw_events(spark: SparkSession, out_path: str, payload_schema: T.StructType) -> DataFrame:
-    """The routed sink back as a batch table (partition columns included)."""
-    schema = T.StructType([T.StructField("key", T.StringType()),
-                           T.StructField("event_time", T.StringType()),
-                           T.StructField("payload", payload_schema),
-                           T.StructField("source", T.StringType()),
-                           T.StructField("run_id", T.StringType())])
-    return spark.read.schema(schema).json(out_path)
+    """The routed sink back as a batch table: key, value (the whole text), event_time,
+    payload (the declared fields), source, run_id."""
+    rows = spark.read.schema("key string, value string, source string, run_id string").json(out_path)
+    parsed = F.from_json("value", envelope_schema(payload_schema))
+    return rows.select("key", "value", parsed["event_time"].alias("event_time"), parsed["payload"].alias("payload"), "source", "run_id")
