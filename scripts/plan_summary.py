@@ -49,8 +49,12 @@ def main() -> int:
     queries, _ = load_all()
     for name in names or sorted(queries):
         df = queries[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        info = summarise(df._jdf.queryExecution().executedPlan().toString())
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()  # runs this very plan, so it is the one that adaptive execution ended with
+        plan = execution.executedPlan().toString()
+        if "== Final Plan ==" in plan:
+            plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+        info = summarise(plan)
         scans = ", ".join(f"{fmt}:{n}cols" + (f"[{pf}]" if pf else "") for fmt, n, pf in info["scans"])
         print(f"| {name} | {', '.join(f'{k}={v}' for k, v in sorted(info['ops'].items()))} | {scans} |",
               flush=True)
