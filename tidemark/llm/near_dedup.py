@@ -11,9 +11,10 @@
 4. Components by alternating large-star and small-star.
 5. Buckets whose members are now in different components are the only place where a link between components
    can be left.  There the members outside the bucket's largest component are compared with all members, in cells of
-   bounded size, by the same two checks; a pair is looked at in the first bucket that it shares, and a cell leaves out
-   pairs that its own confirmed links already connect.  The components are then closed again.  Pairs inside a component
-   are never made, so a bucket of copies stays linear; no bucket is capped.
+   bounded size: by signatures, which mark the rows with a possible partner (in the first bucket that the two share), and then
+   the marked rows on their full sets, where a cell leaves out pairs that its own confirmed links already connect.  The
+   components are then closed again.  Pairs inside a component are never made, so a bucket of copies stays linear; no bucket
+   is capped.
 
 Edge cases: null or empty text, and text of white space only, has an empty set and no link; fewer words than a shingle are one
 shingle; a null doc_id is returned with a null component and kept; rows that repeat a doc_id share its class when their texts do, and
@@ -176,65 +177,99 @@ def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, t
     return save(map_batches(both.select("a", "b", "set_a", "set_b"), _confirmer(threshold), "a long, b long").distinct(), "links")
 
 
+def _signatures(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+
+
+def _cell_marks(threshold: int):
+    """The rows of a cell that have an alike row in another component, where this bucket is the first that both share."""
+    least = (threshold - _MARGIN) / 100
+
+    def run(key: tuple, members: pa.Table, strays: pa.Table) -> pa.Table:
+        marked: set[int] = set()
+        if members.num_rows and strays.num_rows:
+            bucket = key[0].as_py()
+            ids, groups, signatures = members.column("member").to_numpy(), members.column("component").to_numpy(), _signatures(members)
+            buckets = np.array(members.column("buckets").to_pylist(), np.int64)
+            own = zip(strays.column("member").to_pylist(), strays.column("component").to_pylist(), _signatures(strays), np.array(strays.column("buckets").to_pylist(), np.int64))
+            for one, group, sign, keys in own:
+                alike = np.flatnonzero(((signatures == sign).mean(axis=1) >= least) & (groups != group))
+                if len(alike):
+                    first = keys[(buckets[alike] == keys).argmax(axis=1)]
+                    alike = alike[first == bucket]
+                if len(alike):
+                    marked.add(one)
+                    marked.update(ids[alike].tolist())
+        return pa.table({"bucket": pa.array([key[0].as_py()] * len(marked), pa.int64()), "member": pa.array(sorted(marked), pa.int64())})
+
+    return run
+
+
 def _cell_links(threshold: int):
     """Confirmed links between a cell's strays and its members, one for each pair of components that they connect."""
     least = (threshold - _MARGIN) / 100
 
-    def columns(rows: pa.Table) -> tuple:
-        ids, groups = rows.column("member").to_numpy(), rows.column("component").to_numpy()
-        signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
-        buckets = np.array(rows.column("buckets").to_pylist(), np.int64)
-        return ids, groups, signatures, buckets, rows.column("shingles").to_pylist()
-
     def run(key: tuple, members: pa.Table, strays: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
         if members.num_rows and strays.num_rows:
-            bucket = key[0].as_py()
-            ids, groups, signatures, buckets, sets = columns(members)
-            parent: dict[int, int] = {}
+            ids, groups, signatures = members.column("member").to_numpy(), members.column("component").to_numpy(), _signatures(members)
+            sets, parent = members.column("shingles").to_pylist(), {}
 
             def root(c: int) -> int:
                 while parent.setdefault(c, c) != c:
                     c = parent[c]
                 return c
 
-            for own, group, sign, keys, one in zip(*columns(strays)):
+            own = zip(strays.column("member").to_pylist(), strays.column("component").to_pylist(), _signatures(strays), strays.column("shingles").to_pylist())
+            for one, group, sign, shingles in own:
                 alike = (signatures == sign).mean(axis=1)
-                same = buckets == keys
-                first = keys[same.argmax(axis=1)]  # the members share this bucket at least
-                for k in sorted(np.flatnonzero((alike >= least) & (groups != group) & (first == bucket)), key=lambda k: -alike[k]):
-                    x, y = root(int(group)), root(int(groups[k]))
-                    if x != y and linked(one, sets[k], threshold):
+                for k in sorted(np.flatnonzero((alike >= least) & (groups != group)).tolist(), key=lambda k: -alike[k]):
+                    x, y = root(group), root(int(groups[k]))
+                    if x != y and linked(shingles, sets[k], threshold):
                         parent[max(x, y)] = min(x, y)
-                        found.append((int(own), int(ids[k])))
+                        found.append((one, int(ids[k])))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
-def links_across(labels: DataFrame, signed: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Links between components, from labels (bucket, member, component) of all buckets."""
-    parts = labels.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("k").alias("n"),
+def _mixed_rows(rows: DataFrame, label: str) -> DataFrame:
+    """Rows (bucket, member, component) of buckets with several components: with n, odd (rows outside the largest component) and main (that one)."""
+    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("k").alias("n"), F.max("k").alias("most"),
                                         F.max_by("component", F.struct("k", "component")).alias("main")).where("parts > 1")
-    rows = save(labels.join(mixed.select("bucket", "n", "main"), "bucket"), "open-members")
-    sets = shingle_sets(texts, rows.select(F.col("member").alias("doc_id")).distinct(), size)
-    known = signed.join(sets, "doc_id").withColumnRenamed("doc_id", "member")
+    return save(rows.select("bucket", "member", "component").join(
+        mixed.select("bucket", "n", (F.col("n") - F.col("most")).alias("odd"), "main"), "bucket"), label)
 
-    def chunk(total: Column, seed: int) -> tuple[Column, Column]:
-        number = F.ceil(total / _CELL).cast("int")
+
+def _cells(rows: DataFrame, known: DataFrame, wide: list[str], run, schema: str) -> DataFrame:
+    """Apply ``run`` to cells (bucket, i, j): part i of the bucket's members against part j of its strays."""
+
+    def part(total: str, seed: int) -> tuple[Column, Column]:
+        number = F.ceil(F.col(total) / _CELL).cast("int")
         return F.pmod(F.xxhash64(F.lit(seed), "member"), number).cast("int"), F.explode(F.sequence(F.lit(0), number - 1))
 
-    odd = F.col("component") != F.col("main")
-    strays = rows.groupBy("bucket").agg(F.count(F.when(odd, 1)).alias("odd"))
-    rows = rows.join(strays, "bucket")
-    of_all, each_all = chunk(F.col("n"), 1)
-    of_odd, each_odd = chunk(F.col("odd"), 2)
-    wide = ["member", "component", "signature", "buckets", "shingles"]
-    left = rows.select("bucket", of_all.alias("i"), each_odd.alias("j"), "member", "component").join(known, "member")
-    right = rows.where(odd).select("bucket", each_all.alias("i"), of_odd.alias("j"), "member", "component").join(known, "member")
-    cells = (x.select(*(F.col(c).alias(c) for c in ("bucket", "i", "j", *wide))).groupBy("bucket", "i", "j") for x in (left, right))  # columns of its own for each side
-    found = next(cells).cogroup(next(cells)).applyInArrow(_cell_links(threshold), "a long, b long")
+    def side(df: DataFrame, i: Column, j: Column):
+        placed = df.select("bucket", i.alias("i"), j.alias("j"), "member", "component").join(known, "member")
+        return placed.select(*(F.col(c).alias(c) for c in ("bucket", "i", "j", "member", "component", *wide))).groupBy("bucket", "i", "j")
+
+    of_all, each_all = part("n", 1)
+    of_odd, each_odd = part("odd", 2)
+    strays = rows.where(F.col("component") != F.col("main"))
+    return side(rows, of_all, each_odd).cogroup(side(strays, each_all, of_odd)).applyInArrow(run, schema)
+
+
+def links_across(labels: DataFrame, signed: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Links between components, from labels (bucket, member, component) of all buckets.
+
+    Signatures tell first which rows have a possible partner at all; only these rows meet again with their full sets.
+    """
+    known = signed.withColumnRenamed("doc_id", "member")
+    rows = _mixed_rows(labels, "open-members")
+    marks = save(_cells(rows, known, ["signature", "buckets"], _cell_marks(threshold), "bucket long, member long").distinct(), "marks")
+    rows = _mixed_rows(rows.join(marks, ["bucket", "member"], "left_semi"), "marked-members")
+    sets = shingle_sets(texts, rows.select(F.col("member").alias("doc_id")).distinct(), size).withColumnRenamed("doc_id", "member")
+    found = _cells(rows, known.select("member", "signature").join(sets, "member"), ["signature", "shingles"], _cell_links(threshold), "a long, b long")
     return save(found.distinct(), "links-across")
 
 
