@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -52,6 +53,16 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+@contextmanager
+def shared(spark: SparkSession, value):
+    """A broadcast of bounded size for the jobs run inside, removed from all executors afterwards."""
+    broadcast = spark.sparkContext.broadcast(value)
+    try:
+        yield broadcast
+    finally:
+        broadcast.destroy()
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with this package available to the workers."""
     ship_package(df.sparkSession)
