@@ -18,11 +18,24 @@ from tidemark.plans.registry import load_all  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 
+def final_part(plan: str) -> str:
+    """The plan text without the initial plans, whose subtrees stand below their heading."""
+    kept, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def summarise(plan: str) -> dict:
     c = Counter()
     scans = []
     for line in plan.splitlines():
-        s = line.strip(" :+-")
+        s = re.sub(r"^\*\(\d+\) ", "", line.strip(" :+-"))
         if s.startswith("Exchange hashpartitioning") or s.startswith("Exchange SinglePartition") \
                 or s.startswith("Exchange rangepartitioning") or s.startswith("Exchange RoundRobin"):
             c["shuffle"] += 1
@@ -52,9 +65,7 @@ def main() -> int:
         execution = df._jdf.queryExecution()
         execution.toRdd().count()  # runs this very plan, so it is the one that adaptive execution ended with
         plan = execution.executedPlan().toString()
-        if "== Final Plan ==" in plan:
-            plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
-        info = summarise(plan)
+        info = summarise(final_part(plan))
         scans = ", ".join(f"{fmt}:{n}cols" + (f"[{pf}]" if pf else "") for fmt, n, pf in info["scans"])
         print(f"| {name} | {', '.join(f'{k}={v}' for k, v in sorted(info['ops'].items()))} | {scans} |",
               flush=True)
