@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_words, map_batches, save, slices
+from tidemark.llm.common import lower_words, map_batches, save, shared, slices
 
 BANDS, ROWS = 40, 6
 SHINGLE = 5
 THRESHOLD = 80
 _MARGIN = 10  # percent points below the threshold that a signature's agreement may lie
+_FILTER_BITS, _FILTER_BLOCK = 26, 8_192  # largest id filter: 2**26 bits in blocks of 8 KB
 _CELL = 512  # members of one side of a cell
 _ROUNDS = 100
 _EDGES = 250_000  # edges of a component step that one task writes
@@ -131,9 +132,56 @@ def _alike(least: float):
     return run
 
 
-def _setter(size: int):
+def _places(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The three bits of each id in a filter of ``bits`` bits, a power of two."""
+    first = _mix(ids.astype(np.int64).view(np.uint64) + _M2)
+    step = _mix(first) | np.uint64(1)
+    return [((first + step * np.uint64(k)) & np.uint64(bits - 1)).astype(np.int64) for k in range(3)]
+
+
+def _filter_blocks(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        own = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            for place in _places(batch.column("doc_id").to_numpy(), bits):
+                np.bitwise_or.at(own, place >> 3, (1 << (place & 7)).astype(np.uint8))
+        blocks = own.reshape(-1, _FILTER_BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"block": pa.array(used, pa.int64()), "bits": pa.array([blocks[k].tobytes() for k in used], pa.binary())})
+
+    return run
+
+
+def _either(parts: pa.Table) -> pa.Table:
+    """One block of all tasks' filters put together."""
+    whole = np.bitwise_or.reduce([np.frombuffer(v.as_py(), np.uint8) for v in parts.column("bits")])
+    return pa.table({"block": [parts.column("block")[0].as_py()], "bits": [whole.tobytes()]})
+
+
+def id_filter(ids: DataFrame) -> bytes:
+    """A Bloom filter of the column doc_id, of at most ``_FILTER_BITS`` bits whatever the number of ids."""
+    bits = 1 << min(_FILTER_BITS, max(16, (16 * ids.count()).bit_length()))
+    schema = "block long, bits binary"
+    blocks = map_batches(ids, _filter_blocks(bits), schema).groupBy("block").applyInArrow(_either, schema).collect()
+    whole = np.zeros((bits // 8 // _FILTER_BLOCK, _FILTER_BLOCK), np.uint8)
+    for row in blocks:
+        whole[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return whole.tobytes()
+
+
+def _setter(size: int, shared_filter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.frombuffer(shared_filter.value, np.uint8)
+
+        def wanted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("doc_id").fill_null(-1).to_numpy()
+                mask = np.ones(len(ids), bool)
+                for place in _places(ids, 8 * len(whole)):
+                    mask &= (whole[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                yield batch.filter(pa.array(mask))
+
+        for batch in slices(wanted()):
             sets = [shingle_set(t, size).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
@@ -164,8 +212,13 @@ def _with(pairs: DataFrame, values: DataFrame, key: str, name: str, side: str) -
 
 
 def shingle_sets(texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """doc_id, shingles of the documents in ``ids``, computed from their whole texts."""
-    return save(map_batches(texts.join(ids, "doc_id", "left_semi"), _setter(size), "doc_id long, shingles binary"), "sets")
+    """doc_id, shingles of the documents in ``ids`` (and of a few more), computed from their whole texts.
+
+    A filter of bounded size goes to the texts, so the texts themselves are not shuffled; the rows that it
+    lets through by chance drop out of the joins that follow.
+    """
+    with shared(texts.sparkSession, id_filter(ids)) as now:
+        return save(map_batches(texts, _setter(size, now), "doc_id long, shingles binary"), "sets")
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
