@@ -233,7 +233,8 @@ def drop_copies(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     def same(rows: DataFrame):
         return docs["doc_id"].cast("long").eqNullSafe(rows["found_id"]) & (digest == rows["found_digest"])
 
-    once = docs.join(found, same(found), "left_anti")
+    # one plan at every size: the rows to drop grow with the input, so they are never sent to all tasks
+    once = docs.join(found.hint("merge"), same(found), "left_anti")
     repeated = found.where("kept")
     if repeated.limit(1).count() == 0:
         return once

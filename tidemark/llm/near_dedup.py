@@ -399,4 +399,5 @@ def find_groups(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
 def drop_near_copies(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with all their columns."""
     lost = find_groups(docs, size, threshold).where("not kept").select(F.col("doc_id").alias("lost_id")).distinct()
-    return docs.join(lost, docs["doc_id"].cast("long") == lost["lost_id"], "left_anti")
+    # one plan at every size: the rows to drop grow with the input, so they are never sent to all tasks
+    return docs.join(lost.hint("merge"), docs["doc_id"].cast("long") == lost["lost_id"], "left_anti")
