@@ -4,6 +4,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,18 @@ def test_language_model_empty(spark, nothing):
     only_held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = lm.score_documents(spark.createDataFrame([(only_held, "a b")], "doc_id long, text string")).first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+class _Given:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_language_model_squares_of_frequent_features_are_not_clipped():
+    bias = np.zeros(lm.CLASSES + 1), np.zeros((lm.CLASSES, lm.MEMBERS))
+    shapes = {"class": (lm.CLASS_ROWS, lm.CLASSES + 1), "member": (lm.MEMBER_ROWS, lm.MEMBERS)}
+    state = {k: np.zeros(v, np.float32).tobytes() for k, v in shapes.items()} | {f"{k} squares": np.full(v, 0.1, np.float32).tobytes() for k, v in shapes.items()}
+    batch = pa.RecordBatch.from_pydict({"history": np.array([5]), "token": np.array([2], np.int32), "n": np.array([1_000_000])})
+    out = pa.Table.from_batches(lm._trainer(*bias, _Given(state))(iter([batch])))
+    squares = [np.frombuffer(v, np.float32) for k in range(len(out)) for v in lm._sum_blocks(out.slice(k, 1)).column("squares").to_pylist()]
+    assert max(map(np.max, squares)) > 1e11
