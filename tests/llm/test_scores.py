@@ -114,16 +114,25 @@ def test_language_model_empty(spark, nothing):
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (True, 3, 0, 0, 0.0, 0.0)
 
 
+def test_language_model_squares_of_frequent_features_are_not_clipped():
+    tree = lm.Tree(0, np.zeros((1 + lm.CLASSES, lm._WIDE), np.float32), np.zeros(1))
+    history, token, n = np.array([5]), np.array([2]), np.array([1_000_000])
+    event, node, digit = lm.token_paths(token, 0)
+    rows = [(k, d) for keys in lm.feature_keys(history[event], node) for k, d in zip(keys.tolist(), digit.tolist())]
+    weights = pa.table({"key": [k for k, _ in rows], "digit": pa.array([d for _, d in rows], pa.int8()),
+                        "weight": pa.array([0.0] * len(rows), pa.float32()), "square": pa.array([0.1] * len(rows), pa.float32())})
+    got = lm._trainer(_Given(tree))(pa.table({"history": history, "token": token, "n": n}), weights)
+    assert min(got.column("more").to_pylist()) > 1e11
+
+
 class _Given:
     def __init__(self, value):
         self.value = value
 
 
-def test_language_model_squares_of_frequent_features_are_not_clipped():
-    bias = np.zeros(lm.CLASSES + 1), np.zeros((lm.CLASSES, lm.MEMBERS))
-    shapes = {"class": (lm.CLASS_ROWS, lm.CLASSES + 1), "member": (lm.MEMBER_ROWS, lm.MEMBERS)}
-    state = {k: np.zeros(v, np.float32).tobytes() for k, v in shapes.items()} | {f"{k} squares": np.full(v, 0.1, np.float32).tobytes() for k, v in shapes.items()}
-    batch = pa.RecordBatch.from_pydict({"history": np.array([5]), "token": np.array([2], np.int32), "n": np.array([1_000_000])})
-    out = pa.Table.from_batches(lm._trainer(*bias, _Given(state))(iter([batch])))
-    squares = [np.frombuffer(v, np.float32) for k in range(len(out)) for v in lm._sum_blocks(out.slice(k, 1)).column("squares").to_pylist()]
-    assert max(map(np.max, squares)) > 1e11
+def test_language_model_rows_grow_with_the_features(spark):
+    """More features than the former tables had rows."""
+    rng = random.Random(8)
+    df = spark.createDataFrame([(k, " ".join(f"a{rng.randrange(1000)}" for _ in range(30))) for k in range(1500)], "doc_id long, text string")
+    model = lm.fit(df, lm.gather(df), rounds=1)
+    assert model.weights.count() == model.weights.select("key", "digit").distinct().count() > 16_384 + 32_768
