@@ -130,9 +130,29 @@ class _Given:
         self.value = value
 
 
-def test_language_model_rows_grow_with_the_features(spark):
-    """More features than the former tables had rows."""
-    rng = random.Random(8)
-    df = spark.createDataFrame([(k, " ".join(f"a{rng.randrange(1000)}" for _ in range(30))) for k in range(1500)], "doc_id long, text string")
-    model = lm.fit(df, lm.gather(df), rounds=1)
+def test_language_model_rows_grow_with_the_features_and_all_words_are_conditioned(spark):
+    """More features than the former tables had rows; rare words as history and as outcome."""
+    rng, docs = random.Random(8), []
+    for k in range(1500):
+        pairs = [rng.randrange(3000) for _ in range(15)]
+        docs.append((k, " ".join(f"a{p} b{p}" for p in pairs)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    statistics = lm.gather(df)
+    model = lm.fit(df, statistics, rounds=2)
+    assert statistics.levels == 2 and statistics.leaf_types.sum() == statistics.types - lm.HEAD
     assert model.weights.count() == model.weights.select("key", "digit").distinct().count() > 16_384 + 32_768
+    head, counted = set(statistics.ids()), {r.token for r in statistics.counts.collect()}
+    rare = [k for k in range(2999) if {b"a%d" % k, b"b%d" % k} <= counted - head][:40]
+    right, wrong = [], []
+    for k in rare:
+        a, b = (lm.contexts([f"{c}{k}".encode()]) for c in "ab")
+        other = lm.contexts([f"b{k + 1}".encode()])
+        history = np.concatenate([a, a]) + lm._WIDTH * 7
+        token = lm._TAIL + lm.leaves(np.concatenate([b, other]), statistics.levels)
+        x, y = model.log10(history, token) if token[0] != token[1] else (1, 0)
+        right.append(x)
+        wrong.append(y)
+    assert len(rare) == 40 and np.mean(np.array(right) > np.array(wrong)) > 0.9
+    every = np.concatenate([[lm._END], list(statistics.ids().values()), lm._TAIL + np.arange(lm._FAN ** statistics.levels)])
+    p = 10 ** (model.log10(np.full(len(every), history[0]), every) + np.concatenate([np.zeros(lm.HEAD), model.tree.leaf_log]))
+    assert p.sum() == pytest.approx(1, abs=1e-5)
