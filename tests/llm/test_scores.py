@@ -156,3 +156,19 @@ def test_language_model_rows_grow_with_the_features_and_all_words_are_conditione
     every = np.concatenate([[lm._END], list(statistics.ids().values()), lm._TAIL + np.arange(lm._FAN ** statistics.levels)])
     p = 10 ** (model.log10(np.full(len(every), history[0]), every) + np.concatenate([np.zeros(lm.HEAD), model.tree.leaf_log]))
     assert p.sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_language_model_takes_the_same_passes_at_every_size(monkeypatch):
+    tree = lm.Tree(0, np.zeros((1 + lm.CLASSES, lm._WIDE), np.float32), np.zeros(1))
+    history, token, n = np.arange(100), np.full(100, 2), np.full(100, 3)
+    event, node, digit = lm.token_paths(token, 0)
+    table = pa.table({"key": np.concatenate(lm.feature_keys(history[event], node)), "digit": np.tile(digit, 3).astype(np.int8)})
+    table = table.group_by(["key", "digit"]).aggregate([])
+    table = table.append_column("weight", pa.array(np.zeros(len(table), np.float32))).append_column("square", pa.array(np.full(len(table), 0.1, np.float32)))
+    touched = []
+    for size in (1000, 20, 3):
+        monkeypatch.setattr(lm, "_STEP_ROWS", size)
+        rows = lm._Rows(table)
+        lm._train(tree, rows, history, token, n)
+        touched.append(rows.touched)
+    assert (touched[0] == touched[1]).all() and (touched[0] == touched[2]).all()
