@@ -76,3 +76,16 @@ def test_url_filter_empty_and_native(spark):
     assert {r.verdict for r in uf.filter_pages(pages.where("url is null"), labels.limit(0)).collect()} == {"allow"}
     plan = uf.filter_pages(pages, labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_url_filter_tells_small_sections_and_deep_ones_apart(spark):
+    urls = [f"http://big.net/s{k % 150}/{k}" for k in range(3000)]  # 0.67% of the rows a section
+    urls += [f"http://deep.net/a/b/c/d/e/f/{s}/{k}" for s in ("spam", "news") for k in range(30)]
+    urls += [f"http://deep.net/a/b/c/d/e/f/{k}/{s}/x{k}" for s in ("bad", "good") for k in range(100, 130)]
+    bad = lambda u: "/s7/" in u or "/spam/" in u or "/bad/" in u
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(not bad(u)), 0) for k, u in enumerate(urls)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r for r in uf.filter_pages(pages, labels).collect()}
+    assert len(got) == len(urls)
+    assert [k for k, u in enumerate(urls) if (got[k].verdict == "block") != bad(u)] == []
+    assert {got[k].template for k in range(3000, 3120)} == {"/a/b/c/d/e/f/spam/**", "/a/b/c/d/e/f/news/**", "/a/b/c/d/e/f/*/bad/**", "/a/b/c/d/e/f/*/good/**"}

@@ -3,8 +3,9 @@
 DataFrame functions only.
 
 1. *Tree.*  Each host is a root; path segments are its levels.  At a node a segment stays a
-   branch of its own when it covers at least ``MIN_ROWS`` rows and ``MIN_SHARE`` of the node's; all others are
-   variable and become the wildcard ``*``.  Levels below ``DEPTH`` become one tail, ``**``.
+   branch of its own when it covers at least ``MIN_ROWS`` rows, whatever its share of the node's; all others are
+   variable and become the wildcard ``*``.  One pass a level goes down as far as a node has ``MIN_ROWS`` rows; what lies below
+   level ``DEPTH`` and below the last branch becomes one tail, ``**``.
 2. *Merging.*  Leaves under one parent whose share of good labels does not differ from the parent's
    by ``SIGMAS`` standard errors are merged and share their labels.
 3. *Verdict.*  The smoothed share of good pages of a template, (good + A h) / (labelled + A) with h the host's own smoothed
@@ -16,6 +17,8 @@ A page is good when labels with its id say quality 1 and not toxic.
 Edge cases: a null url, or one without ``://``, has an empty host and path and is a template of its own; null labels count as not labelled; rows
 that repeat a page_id are judged one by one; a page_id with several labels is good only if all say so; an empty
 table gives an empty result.
+
+``oracle_sql`` keeps the former rule (``MIN_SHARE`` of the node's rows, no branch below ``DEPTH``): the same rows where no branch depends on it.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DEPTH = 6
 MIN_ROWS = 8
-MIN_SHARE = 0.01
+MIN_SHARE = 0.01  # of the SQL twin alone
 SIGMAS = 2.0
 SMOOTHING = 10.0
 PURITY = 0.5
@@ -54,26 +57,38 @@ def apply_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column
     return rule, verdict
 
 
-def grow_templates(pages: DataFrame, depth: int = DEPTH, min_rows: int = MIN_ROWS, min_share: float = MIN_SHARE) -> DataFrame:
+def grow_templates(pages: DataFrame, depth: int = DEPTH, min_rows: int = MIN_ROWS) -> DataFrame:
     """Add parent and template to rows with host and path, one level after another."""
     segments = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split(F.substr("path", F.lit(2)), "/"))
-    rows = save(pages.withColumn("segments", segments).withColumn("parent", F.lit("")).withColumn("template", F.lit("")), "level")
+    rows = pages.withColumn("segments", segments)
+    for name in ("parent", "template", "branch"):  # branch: the template down to its last branch, or to `depth`
+        rows = rows.withColumn(name, F.lit(""))
+    rows = save(rows, "level")
     deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(1, min(depth, deepest) + 1):
+    ready, open_ended = [], False
+    for level in range(1, deepest + 1):
+        if level > depth:
+            ready.append(rows.where(F.size("segments") < level))
+            rows = rows.where(F.size("segments") >= level)
+            if rows.groupBy("host", "template").count().where(F.col("count") >= min_rows).isEmpty():
+                open_ended = True  # no branch lies deeper
+                break
         here = rows.where(F.size("segments") >= level).select("host", "template", F.element_at("segments", level).alias("segment"))
         counts = here.groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
-        totals = counts.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        kept = counts.where(F.col("n") >= min_rows).join(totals, ["host", "template"]).where(F.col("n") >= F.col("total") * min_share)
-        kept = kept.select("host", "template", "segment", F.lit(True).alias("own"))
+        kept = counts.where(F.col("n") >= min_rows).select("host", "template", "segment", F.lit(True).alias("own"))
         there = F.size("segments") >= level
         rows = rows.withColumn("segment", F.when(there, F.element_at("segments", F.least(F.lit(level), F.greatest(F.size("segments"), F.lit(1))))))
         rows = rows.join(kept, ["host", "template", "segment"], "left")
         step = F.concat("template", F.lit("/"), F.when(F.col("own"), F.col("segment")).otherwise("*"))
-        rows = save(rows.withColumn("parent", F.when(there, F.col("template")).otherwise(F.col("parent")))
-                    .withColumn("template", F.when(there, step).otherwise(F.col("template"))).drop("segment", "own"), "level")
-    deep = F.size("segments") > depth
-    return rows.withColumn("parent", F.when(deep, F.col("template")).otherwise(F.col("parent"))) \
-        .withColumn("template", F.when(deep, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("segments")
+        rows = rows.withColumn("parent", F.when(there, F.col("template")).otherwise(F.col("parent"))).withColumn("template", F.when(there, step).otherwise(F.col("template")))
+        told = F.lit(True) if level <= depth else F.coalesce("own", F.lit(False))
+        rows = save(rows.withColumn("branch", F.when(told, F.col("template")).otherwise(F.col("branch"))).drop("segment", "own"), "level")
+    rows = rows.withColumn("tail", F.lit(open_ended))
+    for part in ready:
+        rows = rows.unionByName(part.withColumn("tail", F.lit(False)))
+    tail = F.col("tail") | (F.col("branch") != F.col("template"))
+    return rows.withColumn("parent", F.when(tail, F.col("branch")).otherwise(F.col("parent"))) \
+        .withColumn("template", F.when(tail, F.concat("branch", F.lit("/**"))).otherwise(F.col("template"))).drop("segments", "branch", "tail")
 
 
 def judge_templates(rows: DataFrame, sigmas: float = SIGMAS, smoothing: float = SMOOTHING) -> DataFrame:
