@@ -87,3 +87,12 @@ def test_signature_estimates_similarity():
     a, b = (nd.shingle_set(" ".join(t).encode(), 2) for t in (text, text[60:]))
     both = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs((nd.signature(a, family) == nd.signature(b, family)).mean() - both) < 0.1
+
+
+def test_signature_check_misses_far_fewer_links_than_banding():
+    from math import comb
+
+    places, p = nd.BANDS * nd.ROWS, nd.THRESHOLD / 100
+    least = (nd.THRESHOLD - nd._MARGIN) / 100
+    missed = sum(comb(places, k) * p ** k * (1 - p) ** (places - k) for k in range(places + 1) if k / places < least)
+    assert missed < (1 - p ** nd.ROWS) ** nd.BANDS / 1000

@@ -35,7 +35,7 @@ from tidemark.llm.common import lower_words, map_batches, save, shared, slices
 BANDS, ROWS = 40, 6
 SHINGLE = 5
 THRESHOLD = 80
-_MARGIN = 10  # percent points below the threshold that a signature's agreement may lie
+_MARGIN = 20  # percent points below the threshold that a signature's agreement may lie
 _FILTER_BITS, _FILTER_BLOCK = 26, 8_192  # largest id filter: 2**26 bits in blocks of 8 KB
 _CELL = 512  # members of one side of a cell
 _ROUNDS = 100
