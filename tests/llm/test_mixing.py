@@ -94,3 +94,14 @@ def test_draws_follow_the_hypergeometric_distribution(spark):
 def test_main_path_is_native(hostile):
     plan = mx.plan_mix(hostile)._jdf.queryExecution().toString() + mx.mix_rows(hostile)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_last_pass_goes_on_to_later_blocks_for_documents_that_fit(spark):
+    sizes = {(s, k): 400 if k % 20 == 7 else 2 + k % 3 for s in range(3) for k in range(120)}
+    docs = spark.createDataFrame([(1000 * s + k, "w " * n, f"s{s}") for (s, k), n in sizes.items()], "doc_id long, text string, source string")
+    rows = mx.plan_mix(docs, weights=(3, 1, 2), share=1.1, most=2, block_words=60).collect()
+    for s in range(3):
+        own = [r for r in rows if r.doc_id // 1000 == s]
+        passes = int(own[0].target) // own[0].source_size
+        room = round(own[0].target) - sum(r.taken for r in own)
+        assert 0 <= room < min(r.size for r in own if len(r.shards) == passes)

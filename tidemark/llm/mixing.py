@@ -7,8 +7,8 @@ DataFrame functions only.
    the largest of (goal - caps of smaller r) / (weights of the rest).
 2. *Blocks.*  A document falls into one of its source's blocks by a digest of its id, so block
    order is a random permutation of the source.  Whole passes take every block; the last pass takes
-   blocks in order up to the target, and of the block at the edge those documents
-   that still fit, in up to ``FILLS`` rounds by digest order.
+   blocks in order up to the target, and of the block at the edge, then of the blocks after it, those documents
+   that still fit, in rounds by block and digest order until the room is smaller than every document left.
 3. *Splitting tree.*  Each drawn block is one unit of its source's quota.  The root holds all
    quotas; a node deals half of its units to each child, the number from each source drawn from the
    multivariate hypergeometric distribution (one univariate draw per source,
@@ -36,7 +36,6 @@ SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 200_000
 MAX_BLOCKS = 4096
-FILLS = 3
 LEVELS = 4
 SEED = 17
 
@@ -133,6 +132,10 @@ class Mix:
         blocks = save(blocks.withColumn("end", upto).withColumn("edge", (F.col("rest") < F.col("end")) & (F.col("rest") > F.col("end") - F.col("words")))
                       .withColumn("draws", F.col("passes") + (F.col("end") - F.col("words") < F.col("rest")).cast("long")), "blocks")
         self.edge = self._edge_documents(placed, blocks.where("edge"))
+        partly = self.edge.select("number", "block").distinct().withColumn("partly", F.lit(True))
+        blocks = blocks.join(partly, ["number", "block"], "left")
+        beyond = F.coalesce("partly", F.lit(False)) & ~F.col("edge")
+        blocks = blocks.withColumn("draws", F.col("draws") + beyond.cast("long")).withColumn("edge", F.col("edge") | beyond).drop("partly")
         self.blocks = save(self._shards(blocks, levels), "block-shards")
 
     def place(self, docs: DataFrame) -> DataFrame:
@@ -143,17 +146,26 @@ class Mix:
         return joined.withColumn("block", _block(F.col("digest"), F.col("blocks"))).drop("known_source", "blocks")
 
     def _edge_documents(self, placed: DataFrame, edges: DataFrame) -> DataFrame:
-        """number, doc_id of the documents that the last pass takes from the block at the edge."""
-        room = edges.select("number", "block", (F.col("rest") - F.col("end") + F.col("words")).alias("room"))
-        there = placed.join(room, ["number", "block"]).groupBy("number", "digest", "doc_id", "room").agg(F.sum("size").alias("size"))
-        there = save(there.withColumn("taken", F.lit(False)), "edge")
-        for _ in range(FILLS):
-            filled = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).over(Window.partitionBy("number"))
-            fits = ~F.col("taken") & (F.col("size") <= F.col("room") - F.col("filled"))
-            running = F.sum(F.when(fits, F.col("size")).otherwise(0)).over(Window.partitionBy("number").orderBy("digest", "doc_id"))
-            there = there.withColumn("filled", filled).withColumn("running", running)
-            there = there.withColumn("taken", F.col("taken") | (fits & (F.col("running") <= F.col("room") - F.col("filled")))).drop("filled", "running")
-        return save(there.where("taken").select("number", "doc_id"), "edge-taken")
+        """number, block, doc_id of the documents that the last pass takes from the block at the edge and those after it."""
+        room = edges.select("number", F.col("block").alias("first"), (F.col("rest") - F.col("end") + F.col("words")).alias("room"))
+        left = placed.join(room, "number").where(F.col("block") >= F.col("first"))
+        left = left.groupBy("number", "block", "first", "digest", "doc_id", "room").agg(F.sum("size").alias("size"))
+        chosen = None
+        while True:  # every round but the last takes a document of each source that has one that fits
+            left = left.where((F.col("size") <= F.col("room")) & ((F.col("size") > 0) | (F.col("block") == F.col("first"))))
+            left = save(left, "edge")
+            sums = left.groupBy("number", "block").agg(F.sum("size").alias("words"))  # one row per block
+            before = F.sum("words").over(Window.partitionBy("number").orderBy("block")) - F.col("words")
+            running = F.sum("size").over(Window.partitionBy("number", "block").orderBy("digest", "doc_id"))
+            there = left.join(sums.select("number", "block", before.alias("before")), ["number", "block"])
+            reached = there.where(F.col("before") <= F.col("room")).withColumn("running", F.col("before") + running)
+            taken = save(reached.where(F.col("running") <= F.col("room")).select("number", "block", "digest", "doc_id", "size"), "edge-taken")
+            chosen = taken if chosen is None else chosen.unionByName(taken)
+            if taken.where("size > 0").isEmpty():
+                return chosen.select("number", "block", "doc_id")
+            filled = taken.groupBy("number").agg(F.sum("size").alias("filled"))
+            left = left.join(taken.select("number", "digest"), ["number", "digest"], "left_anti").join(filled, "number", "left")
+            left = left.withColumn("room", F.col("room") - F.coalesce("filled", F.lit(0))).drop("filled")
 
     def _shards(self, blocks: DataFrame, levels: int) -> DataFrame:
         """number, block, edge, shards: the shard of each pass that takes the block."""
