@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language_model, mixing, near_dedup, packing, quality, token_files, topk_search, toxicity, url_filter
+from tidemark.llm import exact_dedup, filter_audit, language_model, mixing, near_dedup, packing, quality, token_files, topk_search, toxicity, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_filter_audit", filter_audit.oracle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
