@@ -29,7 +29,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
     others are numbered from 256 in byte order."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,7 +59,7 @@ class ChunkEncoder:
         self._whole = Tokenizer.from_file(path)
         self._whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self._model = self._whole.model
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self._space = self._letters[32]
         self._memo: dict[str, bytes] = {}
         self._limit = memo
