@@ -12,6 +12,7 @@ COLUMNS = {
     "op5_": "doc_id held_out score predicted", "op6_": "doc_id keep_id group_size kept text_sha256",
     "op7_": "doc_id size source_size target taken", "op8_": "page_id host path rule verdict",
     "op9_": "doc_id start n_tokens ids_crc32", "op10_": "query_id rank vec_id score",
+    "op11_": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op12_": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op13_": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
@@ -28,7 +29,7 @@ def test_columns_and_rows(spark, name):
         assert len(rows) >= 50
         return
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(ORACLES[name])
     assert sorted(want.columns) == columns

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, filter_audit, language_model, mixing, near_dedup, packing, quality, retrieval_packing, token_files, topk_search, toxicity, url_filter
+from tidemark.llm import conversation_trie, exact_dedup, filter_audit, language_model, mixing, near_dedup, packing, quality, retrieval_packing, token_files, topk_search, toxicity, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_conversation_trie", conversation_trie.oracle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.build(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_retrieval_packing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_packing.pack(table(spark, sf_dir, "documents"))
