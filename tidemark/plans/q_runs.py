@@ -94,7 +94,7 @@ def q_json_mixed_payloads(spark, sf_dir):
 
 
 @register("csv_long_digits", """
-SELECT CAST(p_partkey AS VARCHAR) || '9007199254740993' AS digits,
+SELECT CAST(p_partkey AS VARCHAR) || '90071992547409930007' AS digits,
        CASE WHEN p_size = 1 THEN '12345678901234567890' ELSE CAST(9007199254740992 + p_size AS VARCHAR) END AS mixed,
        9007199254740992 + p_size AS big, CASE WHEN p_size = 1 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS g4, p_size + 0.5 AS "odd.name's",
        CASE WHEN p_size = 1 THEN 'g5' ELSE 'g4' END AS metric_name, CASE WHEN p_size = 1 THEN 1.5 ELSE CAST(p_size AS DOUBLE) END AS metric_value
@@ -106,7 +106,7 @@ def q_csv_long_digits(spark, sf_dir):
 
     p, size = table(spark, sf_dir, "part"), F.col("p_size")
     big = (F.lit(9007199254740992) + size).cast("string")
-    rows = p.select(F.concat(F.col("p_partkey").cast("string"), F.lit("9007199254740993")).alias("digits"),
+    rows = p.select(F.concat(F.col("p_partkey").cast("string"), F.lit("90071992547409930007")).alias("digits"),
                     F.when(size == 1, F.lit("12345678901234567890")).otherwise(big).alias("mixed"), big.alias("big"),
                     F.when(size == 1, F.lit("n/a")).otherwise(size.cast("string")).alias("g4"),
                     F.concat(size.cast("string"), F.lit(",5")).alias("odd.name's"), F.concat(size.cast("string"), F.lit(",5")).alias("g5"))
@@ -117,6 +117,33 @@ def q_csv_long_digits(spark, sf_dir):
     return typed.select("digits", "mixed", "big", "g4", "`odd.name's`", metric["metric_name"].alias("metric_name"), metric["metric_value"].alias("metric_value"))
 
 
+BREAK_LINES = 600
+
+
+@register("csv_quoted_breaks", f"""
+SELECT row_number() OVER (ORDER BY p_partkey) AS _row_number, lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS inn, CAST(p_size AS BIGINT) AS g1,
+       CASE WHEN p_partkey % 50 = 0 THEN repeat('line ;"' || p_brand || '"' || chr(10), {BREAK_LINES}) || 'end'
+            WHEN p_size % 3 = 0 THEN p_name || ';' || chr(13) || chr(10) || '"' || p_type || '"' WHEN p_size % 3 = 1 THEN p_name
+            ELSE p_name || chr(10) || chr(10) || ';' END AS remark,
+       p_size + 0.5 AS g2, lpad(CAST(p_partkey AS VARCHAR), 9, '0') || ':' || CAST(row_number() OVER (ORDER BY p_partkey) AS VARCHAR) AS id
+FROM part""")
+def q_csv_quoted_breaks(spark, sf_dir):
+    """SRC4: line breaks inside quoted cells, some cells longer than an input split, read by many tasks
+    (splits of 16 KB here) with ordinals, types and ids."""
+    p, size, name = table(spark, sf_dir, "part"), F.col("p_size"), F.col("p_name")
+    line = F.concat(F.lit('line ;"'), F.col("p_brand"), F.lit('"\n'))
+    remark = (F.when(F.col("p_partkey") % 50 == 0, F.concat(F.repeat(line, F.lit(BREAK_LINES)), F.lit("end")))
+              .when(size % 3 == 0, F.concat(name, F.lit(';\r\n"'), F.col("p_type"), F.lit('"'))).when(size % 3 == 1, name)
+              .otherwise(F.concat(F.lit("\n"), name, F.lit("\n\n;"))))
+    rows = p.repartitionByRange(3, "p_partkey").sortWithinPartitions("p_partkey").select(
+        F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("inn"), size.cast("string").alias("g1"), remark.alias("remark"),
+        F.concat(size.cast("string"), F.lit(",5")).alias("g2"))
+    path = shared_path(spark, "landing", "breaks")
+    (rows.write.option("sep", ";").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return csvr.load_report(spark, path, split_bytes=16_384)
+
+
 @register("source_registry", f"""
 SELECT s.source_id, s.title, s.collection, count(c.source_entity) AS curated_rows
 FROM (VALUES {", ".join(f"('{s.source_id}', '{s.title}', '{s.collection}')" for s in SOURCES.values())}) s(source_id, title, collection)

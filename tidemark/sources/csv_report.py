@@ -17,6 +17,7 @@ from tidemark.functions.text import blank_to_null
 from tidemark.functions.values import DECIMAL_PATTERN, INTEGER_PATTERN, clamp, quoted
 from tidemark.schema import LIMIT_MAX, LIMIT_MIN
 from tidemark.sources.ordinal import ROW_NUMBER, page, with_row_number
+from tidemark.sources.quoted_csv import has_quoted_breaks, read_quoted_csv
 
 # Identifier columns of the report format.
 IDENTIFIER_COLUMNS = ("inn", "soato", "okpo")
@@ -25,9 +26,8 @@ IDENTIFIER_COLUMNS = ("inn", "soato", "okpo")
 def read_report_csv(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
     """SRC4: ``;``-separated, header, quoted fields, UTF-8 (a BOM is dropped).
 
-    Every cell is read as text; typing happens in ``type_columns``.  Set
-    ``multiline`` only for files with quoted line breaks: such files cannot be
-    split, so one task reads each file.
+    Every cell is read as text; typing happens in ``type_columns``.  ``multiline`` lets one task read each
+    file; ``load_report`` reads files with quoted line breaks in many tasks instead.
     """
     return (spark.read.option("sep", ";").option("header", True).option("quote", '"')
             .option("escape", '"').option("encoding", "UTF-8").option("multiLine", multiline)
@@ -78,15 +78,24 @@ def with_record_id(df: DataFrame) -> DataFrame:
                                         F.col(ROW_NUMBER).cast("string")))
 
 
-def load_report(spark: SparkSession, path: str, *, multiline: bool = False, kinds: dict[str, str] | None = None) -> DataFrame:
+def load_report(spark: SparkSession, path: str, *, quoted_breaks: bool | None = None, kinds: dict[str, str] | None = None,
+                split_bytes: int | None = None) -> DataFrame:
     """Scan → stored ordinal → typing → record id: the report's raw rows.
 
-    The kinds are decided by one aggregate over the plain scan (not over the
-    numbered rows); ``kinds`` from an earlier load or a declared schema skips it.
+    A report whose lines are all records is read by the plain splittable reader.  One with line breaks inside quoted
+    cells goes through ``quoted_csv``, which is parallel too.  ``quoted_breaks`` says which; None looks at the lines.
+    The kinds are decided by one aggregate over the cells; ``kinds`` from an earlier load or a declared schema skips it.
     """
-    plain = read_report_csv(spark, path, multiline=multiline)
+    if quoted_breaks is None:
+        quoted_breaks = has_quoted_breaks(spark, path)
+    if quoted_breaks:
+        numbered = read_quoted_csv(spark, path, split_bytes=split_bytes)
+        plain = numbered.drop(ROW_NUMBER)
+    else:
+        plain = read_report_csv(spark, path)
+        numbered = None
     kinds = kinds or column_kinds(plain, plain.columns)
-    return with_record_id(type_columns(with_row_number(plain), kinds))
+    return with_record_id(type_columns(with_row_number(plain) if numbered is None else numbered, kinds))
 
 
 def report_page(rows: DataFrame, *, skip: int = 0, limit: int = 20) -> DataFrame:
