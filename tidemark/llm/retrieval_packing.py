@@ -54,8 +54,10 @@ KEY_PARTS = 3
 # The vocabulary's split pattern on lower-cased text, fixed values; for ASCII, and for Latin letters where \p{N} adds six signs.
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+", re.ASCII)
 _LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\w\s]|_)+")
-#: Beyond Latin, and the four controls that only one of the two notions of white space holds.
 _ASCII_SPACE = re.compile(r"\s+", re.ASCII)
+#: Four controls that only one of the two notions of white space holds.
+_CONTROLS = re.compile("[\x1c-\x1f]")
+#: These, and all beyond Latin.
 _OTHER = re.compile("[^\0-\x1b\x20-\u024f]")
 
 
@@ -63,8 +65,8 @@ class WordEncoder:
     """Ids of whole texts, as little-endian 16-bit values, or 32-bit ones of a larger vocabulary.
 
     The vocabulary cuts a text in its lower-cased normal form into pieces that never reach over white space, and merges
-    within each piece.  Latin texts are cut here and each distinct piece is merged once per worker, up to ``memo``
-    pieces; of other texts the chunks between ASCII white space that have other letters are encoded in a call each.
+    within each piece.  So a text is cut at white space, Latin chunks are cut into pieces here, and other chunks are
+    encoded in a call each.  A worker keeps the ids of up to ``memo`` chunks and pieces.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -93,32 +95,36 @@ class WordEncoder:
         tokens = self._model.tokenize(shown)
         return self._pack(tokens[0].id) if len(tokens) == 1 else b"".join([self._pack(t.id) for t in tokens])
 
-    def _other(self, text: str) -> bytes:
-        found = []
-        for chunk in _ASCII_SPACE.split(text):
-            pieces = self._pieces(chunk)
-            if pieces is None:
-                ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
-                found.append(np.array(ids, self.dtype).tobytes())
-            else:
-                found += [self._memo.get(p) or self._merge(p) for p in pieces]
+    def _chunk(self, chunk: str) -> bytes:
+        pieces = self._pieces(chunk)
+        if pieces is None:
+            return np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
+        memo, found = self._memo, []
+        for piece in pieces:
+            ids = memo.get(piece)
+            if ids is None:
+                ids = self._merge(piece)
+                if len(memo) < self._limit:
+                    memo[piece] = ids
+            found.append(ids)
         return b"".join(found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(t) for t in texts]
-        memo, need = self._memo, set()
-        for pieces in cut:
-            if pieces:
-                need.update(pieces)
-        added = []
-        for piece in need.difference(memo):
-            if len(memo) >= self._limit:
-                added.append(piece)
-            memo[piece] = self._merge(piece)
-        get = memo.__getitem__
-        out = [self._other(t) if pieces is None else b"".join(map(get, pieces)) for t, pieces in zip(texts, cut)]
-        for piece in added:
-            del memo[piece]
+        memo, get, out = self._memo, self._memo.get, []
+        for text in texts:
+            chunks = _ASCII_SPACE.split(text) if _CONTROLS.search(text) else text.split()
+            found = list(map(get, chunks))
+            if None in found:
+                for k, ids in enumerate(found):
+                    if ids is None:
+                        chunk = chunks[k]
+                        ids = get(chunk)
+                        if ids is None:
+                            ids = self._chunk(chunk)
+                            if len(memo) < self._limit:
+                                memo[chunk] = ids
+                        found[k] = ids
+            out.append(b"".join(found))
         return out
 
 
@@ -229,6 +235,7 @@ class Index:
     def __init__(self, ids: list[bytes], dtype: np.dtype, idf: np.ndarray, mean_length: float):
         items, tokens, counts = terms_of(ids, dtype, len(idf))
         lengths = np.array([len(i) for i in ids]) / dtype.itemsize
+        self._of_item, self._item_tokens = np.searchsorted(items, np.arange(len(ids) + 1)), tokens
         telling = idf[tokens] > 0
         items, tokens, counts = items[telling], tokens[telling], counts[telling]
         weights = idf[tokens] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[items] / mean_length))
@@ -248,6 +255,10 @@ class Index:
             row[self._items[part]] = self._weights[part]
             self._dense[at] = row
 
+    def query(self, item: int) -> np.ndarray:
+        """Distinct tokens of an item, by its number when the index was built."""
+        return self._item_tokens[self._of_item[item]: self._of_item[item + 1]]
+
     def scores(self, query: np.ndarray) -> np.ndarray:
         """Added weights of every item for the distinct tokens of a query, term at a time."""
         at = np.searchsorted(self._tokens, query)
@@ -273,6 +284,17 @@ class Index:
         self._arrange(token)
 
 
+def by_score(candidates: np.ndarray, scores: np.ndarray, first: int = 64) -> Iterator[int]:
+    """Candidates from the highest score down, ties in order; the first few are found without sorting all."""
+    if len(candidates) > 4 * first:
+        least = np.partition(scores, len(scores) - first)[len(scores) - first]
+        top = np.flatnonzero(scores >= least)
+        yield from candidates[top[np.argsort(-scores[top], kind="stable")]].tolist()
+        rest = scores < least
+        candidates, scores = candidates[rest], scores[rest]
+    yield from candidates[np.argsort(-scores, kind="stable")].tolist()
+
+
 class Packer:
     """Fills windows shard by shard; what it yields are pieces (row, start, length, sequence, offset)."""
 
@@ -300,6 +322,8 @@ class Packer:
 
     def shard(self, items: list[dict]) -> Iterator[tuple]:
         index = Index([i["ids"] for i in items], self.dtype, self.idf, self.mean_length)
+        for k, item in enumerate(items):
+            item["number"] = k
         unused = np.ones(len(items), bool)  # of the items that the index holds
         left, next_seed = len(items), 0
         rest: tuple[dict, int] | None = None
@@ -314,7 +338,7 @@ class Packer:
                     item, at = items[next_seed], 0
                     unused[next_seed] = False
                     left -= 1
-                self.query = np.unique(np.frombuffer(item["ids"], self.dtype)).astype(np.int64)
+                self.query = index.query(item["number"])
                 self._put(item, at)
             if left and self.filled < self.capacity:
                 if 4 * left < 3 * len(items):
@@ -323,7 +347,7 @@ class Packer:
                     unused, next_seed = np.ones(left, bool), 0
                 scores = index.scores(self.query)
                 candidates = np.flatnonzero(unused)
-                for row in candidates[np.argsort(-scores[candidates], kind="stable")].tolist():
+                for row in by_score(candidates, scores[candidates]):
                     unused[row] = False
                     left -= 1
                     at = self._put(items[row], 0)
