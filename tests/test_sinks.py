@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 import os
 from concurrent.futures import ThreadPoolExecutor
@@ -10,6 +11,7 @@ from tidemark.operators.curate import curate
 from tidemark.plans.curate_job import curate_to_parquet, read_raw_records
 from tidemark.schema import CURATED_COLUMNS, RUN_AUDIT_SCHEMA
 from tidemark.sinks import warehouse as wh
+from tidemark.sinks.landing import read_manifest, verify_landing
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -63,10 +65,39 @@ def test_landing_keeps_every_byte(spark, scratch):
         f.write(data)
     for _ in range(2):  # a rerun replaces
         out = wh.write_landing(spark, path, os.path.join(scratch, "root"), "products", "r")
-    files = [n for n in os.listdir(out) if not n.endswith(".crc")]
+    files = [n for n in os.listdir(out) if not n.startswith(("_", "."))]
     assert len(files) == 1 and open(os.path.join(out, files[0]), "rb").read() == data
 
 
+def test_landing_manifest_tells_every_file(spark, scratch):
+    source, root = os.path.join(scratch, "in put", "deep"), os.path.join(scratch, "root")
+    os.makedirs(source)
+    contents = {f"{k}.bin": bytes((k * j) % 256 for j in range(k * 997)) for k in range(1, 9)}
+    for name, data in contents.items():
+        with open(os.path.join(source, name), "wb") as f:
+            f.write(data)
+    open(os.path.join(source, "_skipped"), "w").close()
+    out = wh.write_landing(spark, os.path.dirname(source), root, "s", "r")
+    manifest = sorted(read_manifest(spark, out).collect())
+    assert [(r["number"], r["name"], r["bytes"], r["sha256"]) for r in manifest] == [
+        (k - 1, f"{k - 1:06d}-{k}.bin", len(contents[f"{k}.bin"]), hashlib.sha256(contents[f"{k}.bin"]).hexdigest()) for k in range(1, 9)]
+    for r in manifest:
+        assert open(os.path.join(out, r["name"]), "rb").read() == contents[r["name"][7:]]
+    assert all(r["intact"] for r in verify_landing(spark, out).collect())
+    with open(os.path.join(out, "000002-3.bin"), "r+b") as f:
+        f.write(b"changed")
+    os.remove(os.path.join(out, "000004-5.bin"))
+    os.remove(os.path.join(out, ".000002-3.bin.crc")) if os.path.exists(os.path.join(out, ".000002-3.bin.crc")) else None
+    assert sorted(r["name"][7] for r in verify_landing(spark, out).collect() if not r["intact"]) == ["3", "5"]
+    assert os.listdir(os.path.dirname(out)) == ["run_id=r"]  # no staging folder is left
+
+
+def test_landing_of_an_empty_folder(spark, scratch):
+    os.makedirs(os.path.join(scratch, "none"))
+    out = wh.write_landing(spark, os.path.join(scratch, "none"), os.path.join(scratch, "root"), "s", "r")
+    assert read_manifest(spark, out).count() == 0
+
+
 def test_compaction_keeps_rows(spark, scratch):
     root = os.path.join(scratch, "root")
     for k in range(4):

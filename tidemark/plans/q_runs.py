@@ -13,6 +13,7 @@ from tidemark.plans.registry import register, xsum
 from tidemark.schema import RunRequest, sources_frame, SOURCES
 from tidemark.session import shared_path
 from tidemark.sinks import warehouse as wh
+from tidemark.sinks.landing import read_manifest, verify_landing
 from tidemark.sources import csv_report as csvr
 from tidemark.sources import payload as pl
 from tidemark.sources.tables import table
@@ -117,6 +118,25 @@ def q_csv_long_digits(spark, sf_dir):
     return typed.select("digits", "mixed", "big", "g4", "`odd.name's`", metric["metric_name"].alias("metric_name"), metric["metric_value"].alias("metric_value"))
 
 
+LANDED_LINE_SQL = "CAST(o_orderkey AS VARCHAR) || ';' || o_orderpriority || ';' || chr(233) || o_orderstatus"
+
+
+@register("landing_manifest", f"""
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, 1 AS files, CAST(sum(strlen({LANDED_LINE_SQL}) + 2) AS BIGINT) AS bytes, true AS intact
+FROM orders GROUP BY 1""")
+def q_landing_manifest(spark, sf_dir):
+    """SNK1 + SNK13: a file per order month is landed by tasks; the manifest and the landed bytes agree."""
+    o = table(spark, sf_dir, "orders")
+    line = F.concat_ws(";", F.col("o_orderkey").cast("string"), "o_orderpriority", F.concat(F.lit("\u00e9"), "o_orderstatus"))
+    path, root = shared_path(spark, "landing", "orders"), shared_path(spark, "runs", "landed")
+    (o.select(F.trunc("o_orderdate", "MM").alias("month"), F.concat(line, F.lit("\r")).alias("value")).repartition("month").sortWithinPartitions("month")
+     .write.partitionBy("month").text(path))
+    target = wh.write_landing(spark, path, root, "orders", "r")
+    sources = read_manifest(spark, target).select("number", F.regexp_extract("source", r"month=([0-9-]+)/", 1).cast("date").alias("month"))
+    return verify_landing(spark, target).join(sources, "number", "left").groupBy("month").agg(
+        F.count("*").cast("int").alias("files"), F.sum("bytes").alias("bytes"), F.bool_and("intact").alias("intact"))
+
+
 BREAK_LINES = 600
 
 

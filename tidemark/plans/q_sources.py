@@ -20,6 +20,7 @@ from tidemark.schema import SOURCES
 from tidemark.session import shared_path
 from tidemark.sinks import warehouse as wh
 from tidemark.sources import csv_report as csvr
+from tidemark.sources import json_scan
 from tidemark.sources import payload as pl
 from tidemark.sources.tables import table
 from tidemark.streaming import events as ev
@@ -67,6 +68,34 @@ def q_json_unwrap(spark, sf_dir):
     return pl.unwrap(payloads, "carts", payload_id="skip")
 
 
+DOCUMENT_ROWS = 4_000
+NOTE_SQL = "CAST(id AS VARCHAR) || '\"}, {\"id\": [' || repeat('}\\\\', CAST(id % 5 AS INT)) || chr(10) || ']'"
+
+
+@register("json_large_document", f"""
+SELECT row_number() OVER (ORDER BY id) AS _row_number, id, userId, total, {NOTE_SQL} AS note,
+       CASE WHEN id % 4000 = 0 THEN 30000 ELSE id % 3 END AS tags
+FROM ({fx.CARTS_SQL}) c""")
+def q_json_large_document(spark, sf_dir):
+    """SRC2 + SRC3: documents of thousands of records each, with brackets, quotes and backslashes in their strings and a few records
+    longer than a range, found by many tasks (ranges of 128 KB here)."""
+    note = F.concat(F.col("id").cast("string"), F.lit('"}, {"id": ['), F.repeat(F.lit("}\\\\"), (F.col("id") % 5).cast("int")), F.lit("\n]"))
+    tags = F.array_repeat(F.struct(F.lit("}").alias("t")), F.when(F.col("id") % 4000 == 0, 30000).otherwise(F.col("id") % 3).cast("int"))
+    carts = fx.carts_raw(spark, sf_dir).select("id", F.struct(F.col("id"), "userId", "total", note.alias("note"), tags.alias("tags")).alias("r"))
+    page = F.lpad(F.floor(F.col("id") / DOCUMENT_ROWS).cast("string"), 9, "0")
+    rows = carts.select(page.alias("page"), "id", F.concat(F.lit(",\n  "), F.to_json("r")).alias("value"))
+    pages = rows.groupBy("page").agg(F.min("id").alias("first"))
+    ends = pages.select("page", F.explode(F.array(F.struct(F.lit(-1).cast("bigint").alias("id"), F.lit('{"carts_of": {"carts": [{}]}, "carts": [').alias("value")),
+                                                  F.struct(F.lit(1 << 62).alias("id"), F.lit('], "limit": [{"x": 1}]}').alias("value")))).alias("e")).select("page", "e.*")
+    first = rows.join(pages, "page").select("page", "id", F.when(F.col("id") == F.col("first"), F.expr("substring(value, 2)")).otherwise(F.col("value")).alias("value"))
+    path = shared_path(spark, "landing", "documents")
+    lines = first.unionByName(ends).repartition("page").sortWithinPartitions("page", "id")
+    lines.select("page", "value").write.partitionBy("page").text(path)
+    records = json_scan.read_records(spark, path, "carts", range_bytes=131_072).drop("_file")
+    parsed = pl.parse_records(records, T.StructType.fromDDL("id bigint, userId bigint, total double, note string, tags array<struct<t: string>>"))
+    return parsed.withColumn("tags", F.size("tags").cast("bigint"))
+
+
 @register("json_payload_curate", f"""
 SELECT 'carts_' || CAST(id AS VARCHAR) AS dw_id, 'run-payload' AS run_id, 'Planshet Survey' AS source_system,
        'carts' AS source_entity, 'api' AS ingestion_mode, {fx.PART_LOADED_AT_SQL} AS loaded_at,

@@ -2,7 +2,7 @@
 
 SNK1-SNK14.  Layout (all under a root in the shared file system):
 
-* ``{root}/landing/source=…/run_id=…``  original payload text (SNK1, SNK13)
+* ``{root}/landing/source=…/run_id=…``  original files and their manifest (SNK1, SNK13, see ``landing``)
 * ``{root}/raw|prepared|curated/zone_source=…/zone_run=…``  zone rows (SNK2-SNK4)
 * ``{root}/warehouse/curated_events/source_entity=…``  appended curated rows,
   sorted by ``(run_id, dw_id)`` inside each file so a run filter skips row
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.audit import latest_per_run
 from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA, RUN_AUDIT_SCHEMA
+from tidemark.sinks.landing import land_files
 
 ZONES = ("raw", "prepared", "curated")
 
@@ -41,26 +42,9 @@ def written_bytes(spark: SparkSession, path: str) -> int:
 
 
 def write_landing(spark: SparkSession, input_path: str, root: str, source: str, run_id: str) -> str:
-    """SNK1/SNK13: the landed files as they are, byte for byte; a rerun replaces them.
-
-    A file-system copy (one open file at a time): line ends and a missing last
-    newline stay, which reading and writing text would change."""
+    """SNK1/SNK13: the landed files as they are, byte for byte, with a manifest; a rerun replaces them."""
     path = f"{root}/landing/source={source}/run_id={run_id}"
-    source_fs, source_path = _jvm_fs(spark, input_path)
-    target_fs, target = _jvm_fs(spark, path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target_fs.delete(target, True)
-    target_fs.mkdirs(target)
-    files = source_fs.listFiles(source_path, True)
-    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
-    number = 0
-    while files.hasNext():
-        item = files.next().getPath()
-        name = item.getName()
-        if not name.startswith(("_", ".")):  # what Spark's readers skip as well
-            place = spark._jvm.org.apache.hadoop.fs.Path(target, f"{number:06d}-{name}")
-            copy(source_fs, item, target_fs, place, False, True, conf)
-            number += 1
+    land_files(spark, input_path, path)
     return path
 
 

@@ -3,8 +3,8 @@
 SRC2, SRC3, SRC10-SRC14.  A payload is one JSON document: either an array of
 records or an object holding the array under a collection key.  At scale the
 landing zone holds many payloads; the scalable layout is JSON Lines (one
-payload per line, splittable), while whole-file documents (one task per file)
-are read with ``multiLine``.
+payload per line, splittable).  Records of whole-file documents come from
+``document_records``, which reads large ones in many tasks.
 """
 
 from __future__ import annotations
@@ -15,8 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import json_scan
+from tidemark.sources.ordinal import file_position, number_rows
+
 PAYLOAD_ID = "_payload"
 POSITION = "_pos"
+JSON_SPACE = " \t\r\n"
+#: Documents beyond this size are read by ranges.
+SCAN_FROM = 64 * 1024 * 1024
 
 
 def read_payloads(spark: SparkSession, path: str, *, layout: str = "lines",
@@ -55,12 +61,26 @@ def unwrap(payloads: DataFrame, collection_key: str, *, payload_id: str | None =
     return exploded.select(*keep, POSITION, F.col("_r").alias("value"))
 
 
+def document_records(spark: SparkSession, path: str, collection_key: str, *, scan_from: int = SCAN_FROM) -> DataFrame:
+    """SRC2 + SRC3 for whole-file documents: every record's JSON text as ``record`` with its ``_row_number``, in file and document order.
+
+    Files up to ``scan_from`` bytes are read whole, a row each; where any is larger, records are found by ranges (``json_scan``).
+    """
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]  # sizes only, no contents
+    if (largest or 0) > scan_from:
+        return json_scan.read_records(spark, path, collection_key).drop("_file")
+    text = file_position(read_payload_text(spark, path, layout="document"))
+    bare = F.regexp_replace("value", "\\A\ufeff", "")
+    records = unwrap_text(text.withColumn("value", bare), collection_key, keep=("_file", "_block")).drop(POSITION)
+    return number_rows(records)
+
+
 def _collection(value: Column, collection_key: str) -> Column:
     """JSON text of a payload's records: the payload itself when it is an array,
     else its collection; decided for each payload on its own."""
-    head = F.ltrim(value)
+    head = F.ltrim(value, F.lit(JSON_SPACE))
     inside = F.get_json_object(value, "$['" + collection_key.replace("'", "\\'") + "']")
-    array = F.when(head.startswith("["), value).when(head.startswith("{") & F.ltrim(inside).startswith("["), inside)
+    array = F.when(head.startswith("["), value).when(head.startswith("{") & F.ltrim(inside, F.lit(JSON_SPACE)).startswith("["), inside)
     return array
 
 
@@ -96,7 +116,8 @@ def payload_summary(text: DataFrame, collection_key: str, sample: int = 3) -> Da
     """SRC14 over raw payload text (column ``value``): kind, top-level keys,
     record count and the first ``sample`` records as JSON."""
     v = F.col("value")
-    kind = F.when(F.trim(v).startswith("["), F.lit("array")).when(F.trim(v).startswith("{"), F.lit("object")) \
+    head = F.ltrim(v, F.lit(JSON_SPACE))
+    kind = F.when(head.startswith("["), F.lit("array")).when(head.startswith("{"), F.lit("object")) \
         .otherwise(F.lit("other"))
     coll = F.get_json_object(v, f"$.{collection_key}")
     records = F.when(kind == "array", F.json_array_length(v)).otherwise(F.coalesce(F.json_array_length(coll),
