@@ -197,7 +197,7 @@ def _cut(collection: str):
                     if headless:
                         emit("part", text.decode(errors="replace"))
                         number += 1
-                    elif text.strip():
+                    elif text := text.strip():
                         emit("element", text.decode(errors="replace"))
                         number += 1
                 carry, headless = b"", False
@@ -245,7 +245,7 @@ def read_records(spark: SparkSession, path: str, collection: str, *, range_bytes
         F.sort_array(F.collect_list(F.struct("_block", "text"))).alias("parts"))  # of one record
     # In its last range the joined record is the first one to end.
     joined = parts.select("_file", F.element_at("parts", -1)["_block"].alias("_block"), F.lit(0).cast("long").alias("number"),
-                          F.array_join("parts.text", "").alias("record"))
+                          F.btrim(F.array_join("parts.text", ""), F.lit(" \t\r\n")).alias("record"))
     records = inside.where("kind = 'element'").select("_file", "_block", "number", F.col("text").alias("record")).unionByName(joined)
     per_range = records.groupBy("_file", "_block").agg(F.count("*").alias("n"), F.min("number").alias("first"))
     overall = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
