@@ -104,11 +104,18 @@ INTEGER_PATTERN = r"^-?\d+$"
 DECIMAL_PATTERN = r"^-?\d+[.,]\d+$"
 
 
+NUMBER_CELL = r"(?U)\A[\s\x1c-\x1f]*(-?[0-9]+(?:[.,][0-9]+)?)[\s\x1c-\x1f]*\z"
+
+
 def report_number(text: Column) -> Column:
-    """The number in a report cell, NULL when it holds none or an integer beyond 64 bits."""
-    cell = blank_to_null(text)
-    return (F.when(cell.rlike(INTEGER_PATTERN), cell.try_cast("bigint").cast("double"))
-            .when(cell.rlike(DECIMAL_PATTERN), F.replace(cell, F.lit(","), F.lit(".")).try_cast("double")))
+    """The number in a report cell, NULL when it holds none or an integer beyond 64 bits.
+
+    One match finds and trims it, so the expression stays small where many columns are tried in one row.
+    """
+    core = F.regexp_extract(text, NUMBER_CELL, 1)
+    number = F.translate(core, ",", ".").try_cast("double")
+    return (F.when(F.length(core) <= 18, number).when(core.rlike("[.,]"), number)
+            .otherwise(core.try_cast("bigint").cast("double")))
 
 
 def python_type_name(dtype: T.DataType) -> str:

@@ -49,21 +49,15 @@ def first_numeric_metric(df: DataFrame) -> Column:
     one bad cell never removes the column for other rows.  Booleans and over-long
     digit strings are not numbers; within a row the first number wins.
     """
-    candidates = []
+    names, numbers = [], []
     for name in ENTERPRISE_NUMBER_FIELDS:
         col, dtype = field(df, name)
-        if is_numeric(dtype):
-            candidates.append(
-                F.when(col.isNotNull(), F.struct(F.lit(name).alias("metric_name"),
-                                                 col.cast("double").alias("metric_value")))
-            )
-        elif isinstance(dtype, T.StringType):
-            number = report_number(col)
-            candidates.append(
-                F.when(number.isNotNull(), F.struct(F.lit(name).alias("metric_name"), number.alias("metric_value")))
-            )
-    fallback = F.struct(F.lit(FALLBACK_METRIC).alias("metric_name"), F.lit(0.0).alias("metric_value"))
-    return F.coalesce(*candidates, fallback) if candidates else fallback
+        if is_numeric(dtype) or isinstance(dtype, T.StringType):
+            number = report_number(col) if isinstance(dtype, T.StringType) else col.cast("double")
+            names.append(F.when(number.isNotNull(), F.lit(name)))
+            numbers.append(number)
+    # Two flat chains: a chain of structs would be evaluated whole for each of its fields.
+    return F.struct(F.coalesce(*names, F.lit(FALLBACK_METRIC)).alias("metric_name"), F.coalesce(*numbers, F.lit(0.0)).alias("metric_value"))
 
 
 def first_tag(df: DataFrame, name: str = "tags") -> Column:
