@@ -39,6 +39,15 @@ def test_search_of_few_rows_and_none(spark):
     assert ts.search(df.limit(0)).collect() == []
     with pytest.raises(Exception, match="64 bits"):
         ts.search(spark.createDataFrame([(0, [1e14]), (1, [1e14])], "vec_id long, embedding array<double>")).collect()
+    for huge in (-1e30, 1e30, -4e16):  # beyond what floor can hold: no saturated score
+        with pytest.raises(Exception, match="leave 64 bits"):
+            ts.search(spark.createDataFrame([(0, [1.0, 1.0]), (1, [huge, 0.0]), (50, [1.0, 0.0])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_weights_beyond_32_bits_stay_exact(spark):
+    rows = [(0, [9e6]), (1, [-9e6]), (2, [0.5]), (50, [8.5e6])]
+    got = sorted(map(tuple, ts.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert got == brute_search(rows, 50, 5)
 
 
 URLS = [None, "no scheme", "http://A.Example.ORG", "http://a.example.org?x=/es/", "https://x.example.org/es/1", "https://example.org/en/1", "http://example.org/en/2/",
