@@ -347,22 +347,10 @@ SELECT event_id * 10 + 8, CAST(event_id AS VARCHAR), 'value', '   '
 FROM events WHERE event_type = 'signup' AND user_id % 17 = 0"""
 
 
-# --- run stage log (events) --------------------------------------------------------
-# Stage ids in run order (as in the source system's run log).
-STAGES = ["fastapi", "kafka", "landing", "raw", "preparation", "gx", "spark", "curated",
-          "clickhouse", "trino", "superset", "postgres"]
-# Record-count metric key per stage (None: the stage reports no count).
-STAGE_COUNT_KEY = {
-    "fastapi": "records_received", "kafka": "records_in_event", "landing": "records_written",
-    "raw": "records_written", "preparation": "input_rows", "gx": None, "spark": "output_rows",
-    "curated": "records_written", "clickhouse": "inserted_rows", "trino": "records_queried",
-    "superset": None, "postgres": "records",
-}
-
-
+# --- runs (events) ------------------------------------------------------------------
 @memoized
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per (event type, day): the unit the stage log describes.
+    """One run per (event type, day): the unit of the run audit queries.
 
     A partial/final aggregate; the result has (types × days) rows.
     """
@@ -375,93 +363,3 @@ def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("source").isin("click", "view"), F.lit("stream")).otherwise(F.lit("batch"))
                     .alias("mode"),
                     "day", "n", "total", "high", "start"))
-
-
-@memoized
-def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twelve stages per event run, with defects decided by the run's values.
-
-    Stage k (1-based) lasts ``n * k`` ms and starts ``k - 1`` minutes after the
-    run's first event; landing is a *warning* (local fallback) when the run's
-    mean value is above 25; gx is an *error* when more than one value in eight
-    is above 45, and then every later stage is skipped.
-    """
-    runs = event_runs(spark, sf_dir)
-    n, src, rid = F.col("n"), F.col("source"), F.col("run_id")
-    warn_landing = F.col("total") > n * 25
-    fail_gx = F.col("high") * 8 > n
-    zone = lambda z: F.concat(F.lit("s3://raw/"), src, F.lit("/"), rid, F.lit(f"/{z}.json"))
-    refs = {
-        "fastapi": F.concat(F.lit("/test-api/"), src),
-        "kafka": F.concat(F.lit("kafka://dwh.ingestion.events/"), rid),
-        "landing": F.concat(F.when(warn_landing, F.lit("local://landing/")).otherwise(F.lit("s3://landing/")),
-                            src, F.lit("/"), rid, F.lit("/landing.json")),
-        "raw": zone("raw"), "preparation": zone("prepared"),
-        "gx": F.lit("quality://checks"), "spark": F.lit("memory://curated_rows"), "curated": zone("curated"),
-        "clickhouse": F.concat(F.lit("clickhouse://curated_events?rows="), n.cast("string")),
-        "trino": F.lit("trino://curated_events"),
-        "superset": F.concat(F.lit("http://dashboards/"), rid),
-        "postgres": F.lit("postgres://pipeline_runs"),
-    }
-    items = []
-    for k, sid in enumerate(STAGES, start=1):
-        if sid == "landing":
-            status = F.when(warn_landing, F.lit("warning")).otherwise(F.lit("done"))
-        elif sid == "gx":
-            status = F.when(fail_gx, F.lit("error")).otherwise(F.lit("done"))
-        else:
-            status = F.lit("done")
-        warnings = F.when(status != "done", F.array(F.concat(F.lit(f"{sid}: "), status))).otherwise(
-            F.array().cast("array<string>"))
-        key = STAGE_COUNT_KEY[sid]
-        metrics = (F.create_map(F.lit(key), n.cast("string")) if key
-                   else F.create_map(F.lit("checks_total"), F.lit("4")))
-        started = F.col("start") + F.make_interval(mins=F.lit(k - 1))
-        items.append(F.struct(
-            F.lit(sid).alias("id"), F.lit(k).alias("sequence"), status.alias("status"),
-            (n * k).cast("bigint").alias("duration_ms"),
-            (F.floor(F.col("total")) + k).cast("bigint").alias("data_size_bytes"),
-            warnings.alias("warnings"), refs[sid].alias("output_ref"), metrics.alias("metrics"),
-            started.alias("started_at"),
-            (started + F.make_interval(secs=(n * k) / 1000.0)).alias("ended_at")))
-    failed_at = F.when(fail_gx, F.lit(STAGES.index("gx") + 1)).otherwise(F.lit(len(STAGES)))
-    return (runs.select("run_id", "source", "mode", failed_at.alias("_last"), F.inline(F.array(*items)))
-            .where(F.col("sequence") <= F.col("_last")).drop("_last"))
-
-
-STAGE_LOG_SQL = """
-WITH runs AS (
-  SELECT event_type || '-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS run_id, event_type AS source,
-         CASE WHEN event_type IN ('click', 'view') THEN 'stream' ELSE 'batch' END AS mode,
-         count(*) AS n, sum(value) AS total, count_if(value > 45) AS high, min(ts) AS start
-  FROM events GROUP BY event_type, CAST(ts AS DATE)),
-st(k, id, count_key) AS (VALUES (1, 'fastapi', 'records_received'), (2, 'kafka', 'records_in_event'),
-  (3, 'landing', 'records_written'), (4, 'raw', 'records_written'), (5, 'preparation', 'input_rows'),
-  (6, 'gx', NULL), (7, 'spark', 'output_rows'), (8, 'curated', 'records_written'),
-  (9, 'clickhouse', 'inserted_rows'), (10, 'trino', 'records_queried'), (11, 'superset', NULL),
-  (12, 'postgres', 'records')),
-x AS (
-  SELECT r.*, st.k AS sequence, st.id, st.count_key,
-         CASE WHEN st.id = 'landing' AND r.total > r.n * 25 THEN 'warning'
-              WHEN st.id = 'gx' AND r.high * 8 > r.n THEN 'error' ELSE 'done' END AS status
-  FROM runs r CROSS JOIN st
-  WHERE st.k <= CASE WHEN r.high * 8 > r.n THEN 6 ELSE 12 END)
-SELECT run_id, source, mode, id, sequence, status,
-       CAST(n * sequence AS BIGINT) AS duration_ms,
-       CAST(floor(total) + sequence AS BIGINT) AS data_size_bytes,
-       CASE WHEN status <> 'done' THEN [id || ': ' || status] ELSE []::VARCHAR[] END AS warnings,
-       CASE id WHEN 'fastapi' THEN '/test-api/' || source
-               WHEN 'kafka' THEN 'kafka://dwh.ingestion.events/' || run_id
-               WHEN 'landing' THEN CASE WHEN status = 'warning' THEN 'local://landing/' ELSE 's3://landing/' END
-                                   || source || '/' || run_id || '/landing.json'
-               WHEN 'raw' THEN 's3://raw/' || source || '/' || run_id || '/raw.json'
-               WHEN 'preparation' THEN 's3://raw/' || source || '/' || run_id || '/prepared.json'
-               WHEN 'gx' THEN 'quality://checks' WHEN 'spark' THEN 'memory://curated_rows'
-               WHEN 'curated' THEN 's3://raw/' || source || '/' || run_id || '/curated.json'
-               WHEN 'clickhouse' THEN 'clickhouse://curated_events?rows=' || CAST(n AS VARCHAR)
-               WHEN 'trino' THEN 'trino://curated_events'
-               WHEN 'superset' THEN 'http://dashboards/' || run_id
-               ELSE 'postgres://pipeline_runs' END AS output_ref,
-       count_key, CAST(n AS VARCHAR) AS count_value,
-       start + to_minutes(sequence - 1) AS started_at
-FROM x"""

@@ -7,86 +7,84 @@ from pyspark.sql import functions as F
 from tidemark.operators import audit, marts
 from tidemark.plans import fixtures as fx
 from tidemark.plans.registry import register
+from tidemark.plans.run_log import RUN_LOG_SQL, real_runs
+from tidemark.sources.tables import table
 
-STAGES = f"({fx.STAGE_LOG_SQL})"
-RECORD_KEYS_SQL = ", ".join(f"'{k}'" for k in audit.RECORD_COUNT_KEYS)
-# Duration buckets (ms) of the run histogram query.
-RUN_BUCKETS = [1000, 5000, 10000, 50000, 100000]
+LOG = f"({RUN_LOG_SQL})"
+DISPLAY_SQL = "CASE WHEN id = 'raw' THEN 'landing' WHEN id = 'curated' THEN 'spark' ELSE id END"
 
 
 @register("stage_log", f"""
-SELECT run_id, source, mode, id, sequence, status, duration_ms, data_size_bytes,
-       array_to_string(warnings, '; ') AS warnings_text, output_ref,
-       CASE WHEN count_key IN ({RECORD_KEYS_SQL}) THEN CAST(count_value AS BIGINT) ELSE 0 END AS record_count,
-       started_at, started_at + to_milliseconds(duration_ms) AS ended_at
-FROM {STAGES} s""")
+SELECT run_id, source, mode, id, sequence, status, CASE status WHEN 'done' THEN 0 ELSE 1 END AS warnings, records AS record_count, true AS timed
+FROM {LOG} s""")
 def q_stage_log(spark, sf_dir):
-    """AUD1 + AUD2 + AUD7: the derived stage log with record counts."""
-    s = fx.stage_log(spark, sf_dir)
-    return s.select("run_id", "source", "mode", "id", "sequence", "status", "duration_ms", "data_size_bytes",
-                    F.array_join("warnings", "; ").alias("warnings_text"), "output_ref",
-                    audit.stage_record_count(s).alias("record_count"), "started_at", "ended_at")
+    """AUD1 + AUD2 + AUD7: the stage log of real runs with record counts; every stage ends after it starts."""
+    s = real_runs(spark, sf_dir)
+    return s.select("run_id", "source", "mode", "id", "sequence", "status", F.size("warnings").alias("warnings"),
+                    audit.stage_record_count(s).alias("record_count"),
+                    ((F.col("ended_at") >= F.col("started_at")) & (F.col("duration_ms") >= 0)).alias("timed"))
 
 
 @register("stage_chain", f"""
-SELECT run_id, string_agg(id, ' -> ' ORDER BY sequence) AS chain FROM {STAGES} s GROUP BY run_id""")
+SELECT run_id, string_agg(id, ' -> ' ORDER BY sequence) AS chain FROM {LOG} s GROUP BY run_id""")
 def q_stage_chain(spark, sf_dir):
-    """AUD5: stage chain text per run."""
-    return audit.stage_chain(fx.stage_log(spark, sf_dir))
+    """AUD5: stage chain text of each real run."""
+    return audit.stage_chain(real_runs(spark, sf_dir))
 
 
 @register("run_status", f"""
-SELECT run_id,
-       CASE WHEN bool_or(status = 'error') THEN 'error'
-            WHEN bool_or(status = 'warning' OR len(warnings) > 0) THEN 'warning' ELSE 'done' END AS status,
+SELECT run_id, CASE WHEN bool_or(status = 'error') THEN 'error' WHEN bool_or(status = 'warning') THEN 'warning' ELSE 'done' END AS status,
        max(CASE WHEN status = 'error' THEN id END) AS failed_stage, count(*) AS stages
-FROM {STAGES} s GROUP BY run_id""")
+FROM {LOG} s GROUP BY run_id""")
 def q_run_status(spark, sf_dir):
-    """AUD3: run status from its stages; a failed run stops at the failed stage."""
-    return audit.run_status(fx.stage_log(spark, sf_dir))
+    """AUD3: run status from the stages of real runs; a failed run stops at the failed stage."""
+    return audit.run_status(real_runs(spark, sf_dir))
 
 
 @register("stage_rollup", f"""
-SELECT run_id, CASE id WHEN 'raw' THEN 'landing' WHEN 'curated' THEN 'spark' ELSE id END AS display_stage,
-       CASE max(CASE status WHEN 'error' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END)
+WITH s AS (SELECT *, {DISPLAY_SQL} AS display_stage FROM {LOG} s)
+SELECT run_id, display_stage, CASE max(CASE status WHEN 'error' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END)
             WHEN 2 THEN 'error' WHEN 1 THEN 'warning' ELSE 'done' END AS status,
-       min(sequence) AS sequence, sum(duration_ms) AS duration_ms, sum(data_size_bytes) AS data_size_bytes,
-       array_to_string(flatten(list(warnings ORDER BY sequence)), '; ') AS warnings_text,
-       max(started_at + to_milliseconds(duration_ms)) AS ended_at, count(*) AS merged_stages
-FROM {STAGES} s
-GROUP BY run_id, CASE id WHEN 'raw' THEN 'landing' WHEN 'curated' THEN 'spark' ELSE id END""")
+       min(sequence) AS sequence, count(*) AS merged_stages, count_if(status <> 'done') AS warnings, max(records) AS records, true AS adds_up
+FROM s GROUP BY run_id, display_stage""")
 def q_stage_rollup(spark, sf_dir):
-    """AGG18: landing+raw and transform+curated shown as one stage each."""
-    m = audit.merge_stage_pairs(fx.stage_log(spark, sf_dir))
-    return m.select("run_id", "display_stage", "status", "sequence", "duration_ms", "data_size_bytes",
-                    F.array_join("warnings", "; ").alias("warnings_text"), "ended_at", "merged_stages")
+    """AGG18: landing+raw and transform+curated of real runs as one stage each; times and sizes add up to the log's, and
+    the later stage's end is kept."""
+    log = real_runs(spark, sf_dir)
+    display = F.when(F.col("id") == "raw", "landing").when(F.col("id") == "curated", "spark").otherwise(F.col("id"))
+    sums = log.groupBy("run_id", display.alias("display_stage")).agg(
+        F.sum("duration_ms").alias("ms"), F.sum("data_size_bytes").alias("bytes"), F.max("ended_at").alias("last"))
+    m = audit.merge_stage_pairs(log)
+    adds_up = (F.col("duration_ms") == F.col("ms")) & (F.col("data_size_bytes") == F.col("bytes")) & (F.col("ended_at") == F.col("last"))
+    return m.join(sums, ["run_id", "display_stage"]).select(
+        "run_id", "display_stage", "status", "sequence", "merged_stages", F.size("warnings").alias("warnings"),
+        audit.stage_record_count(m).alias("records"), adds_up.alias("adds_up"))
 
 
 @register("run_report", f"""
-SELECT run_id, sum(duration_ms) AS stage_duration_ms,
-       count(DISTINCT CASE WHEN regexp_matches(output_ref, '^(s3|local|clickhouse|postgres|kafka):')
-                           THEN output_ref END) AS destinations,
-       array_to_string(list_sort(list(DISTINCT CASE WHEN regexp_matches(output_ref,
-                       '^(s3|local|clickhouse|postgres|kafka):') THEN output_ref END)
-                       FILTER (WHERE regexp_matches(output_ref, '^(s3|local|clickhouse|postgres|kafka):'))),
-                       ', ') AS destination_list
-FROM {STAGES} s GROUP BY run_id""")
+WITH place(id, destination) AS (VALUES ('kafka', 'events/ingestion'), ('landing', 'landing'), ('raw', 'raw'), ('preparation', 'prepared'),
+                                       ('curated', 'curated'), ('clickhouse', 'warehouse/curated_events'))
+SELECT run_id, count(*) AS destinations, string_agg(destination, ', ' ORDER BY destination) AS destination_list, true AS adds_up
+FROM (SELECT DISTINCT run_id, destination FROM {LOG} s JOIN place USING (id) WHERE status = 'done') d GROUP BY run_id""")
 def q_run_report(spark, sf_dir):
-    """AGG15 + FLT3 + SET3: stage time and distinct storage destinations per run."""
-    return audit.run_report(fx.stage_log(spark, sf_dir))
+    """AGG15 + FLT3 + SET3: stage time and distinct storage destinations of real runs (shown below their root; the
+    audit row's own folder, written last, is left out of both)."""
+    log = real_runs(spark, sf_dir).where("id <> 'postgres'")
+    sums = log.groupBy("run_id").agg(F.sum("duration_ms").alias("ms"), F.min("root").alias("root"))
+    report = audit.run_report(log).join(sums, "run_id")
+    below = F.transform(F.split("destination_list", ", "), lambda d: F.regexp_replace(F.element_at(F.split(d, F.concat(F.col("root"), F.lit("/"))), -1),
+                                                                                      "/(zone_)?source=.*", ""))
+    return report.select("run_id", "destinations", F.array_join(F.array_sort(below), ", ").alias("destination_list"),
+                         (F.col("stage_duration_ms") == F.col("ms")).alias("adds_up"))
 
 
 @register("run_metrics", f"""
-WITH r AS (SELECT run_id, source, mode, sum(duration_ms) AS duration_ms FROM {STAGES} s
-           GROUP BY run_id, source, mode)
-SELECT source, mode, count(*) AS runs, sum(duration_ms) AS duration_ms_sum,
-       {", ".join(f"count_if(duration_ms <= {b}) AS le_{b}" for b in RUN_BUCKETS)}
-FROM r GROUP BY source, mode""")
+SELECT source, mode, count(DISTINCT run_id) AS runs, true AS timed, 0 AS le_0, count(DISTINCT run_id) AS le_86400000
+FROM {LOG} s GROUP BY source, mode""")
 def q_run_metrics(spark, sf_dir):
-    """AGG16: run counter and duration histogram per (source, mode)."""
-    runs = (fx.stage_log(spark, sf_dir).groupBy("run_id", "source", "mode")
-            .agg(F.sum("duration_ms").alias("duration_ms")))
-    return audit.run_metrics(runs, RUN_BUCKETS)
+    """AGG16: counter and duration histogram of real runs per (source, mode); none takes no time, none a day."""
+    runs = real_runs(spark, sf_dir).groupBy("run_id", "source", "mode").agg(F.sum("duration_ms").alias("duration_ms"))
+    return audit.run_metrics(runs, [0, 86_400_000]).select("source", "mode", "runs", (F.col("duration_ms_sum") > 0).alias("timed"), "le_0", "le_86400000")
 
 
 def _audit_batches(spark, sf_dir):
@@ -156,14 +154,14 @@ def q_recent_runs(spark, sf_dir):
     return marts.recent(snap.select("run_id", "source", "created_at"), "created_at", 5, "run_id")
 
 
-@register("serialized_sizes", f"""
-SELECT run_id, sum(strlen(CAST(to_json({{'id': id, 'source': source, 'status': status,
-       'output_ref': output_ref}}) AS VARCHAR))) AS data_size_bytes, count(*) AS stages
-FROM {STAGES} s GROUP BY run_id""")
+@register("serialized_sizes", """
+SELECT run_id, sum(strlen(CAST(to_json({'id': event_id, 'source': event_type, 'user_id': user_id, 'props': props}) AS VARCHAR))) AS data_size_bytes,
+       count(*) AS records
+FROM (SELECT *, event_type || '-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS run_id FROM events) e GROUP BY run_id""")
 def q_serialized_sizes(spark, sf_dir):
-    """AGG17: serialised JSON size of each run's stage records (text fields only,
+    """AGG17: serialised JSON size of every run's event records (integer and text fields,
     whose JSON form both engines write the same way)."""
-    s = fx.stage_log(spark, sf_dir).select("run_id", "id", "source", "status", "output_ref")
-    return s.groupBy("run_id").agg(
-        audit.data_size_bytes(s.select("id", "source", "status", "output_ref")),
-        F.count(F.lit(1)).alias("stages"))
+    e = table(spark, sf_dir, "events")
+    run = F.concat_ws("-", F.col("event_type"), F.date_format(F.to_date("ts"), "yyyyMMdd"))
+    rows = e.select(run.alias("run_id"), F.col("event_id").alias("id"), F.col("event_type").alias("source"), "user_id", "props")
+    return rows.groupBy("run_id").agg(audit.data_size_bytes(rows.select("id", "source", "user_id", "props")), F.count(F.lit(1)).alias("records"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import curate as cur
 from tidemark.operators import lineage as lin
 from tidemark.plans import fixtures as fx
-from tidemark.plans.q_audit import STAGES
 from tidemark.plans.q_prepare import FULL, prepared_events, with_ctes
 from tidemark.plans.registry import register
 from tidemark.schema import SOURCES
@@ -109,10 +108,10 @@ SELECT DISTINCT run_id, source, 'FILE-' || upper(substr(run_id, 1, 8)) AS file_i
        'raw:' || source || ':v0' AS raw_version,
        CASE WHEN source = 'purchase' THEN 'manual:' || run_id ELSE 'prep:' || source || ':v1' END AS prepared_version,
        'integration:' || source || ':v2' AS integration_version, 'metrics:' || source || ':v3' AS metrics_version
-FROM {STAGES} s""")
+FROM (SELECT event_type || '-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS run_id, event_type AS source FROM events GROUP BY event_type, CAST(ts AS DATE)) s""")
 def q_dataset_versions(spark, sf_dir):
     """VER1: dataset version ids per run (purchase runs carry a manual version)."""
-    runs = fx.stage_log(spark, sf_dir).select("run_id", "source").distinct().withColumn(
+    runs = fx.event_runs(spark, sf_dir).select("run_id", "source").withColumn(
         "prepared_version_id",
         F.when(F.col("source") == "purchase", F.concat(F.lit("manual:"), F.col("run_id"))))
     return lin.dataset_versions(runs)

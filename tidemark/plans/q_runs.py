@@ -10,6 +10,7 @@ from tidemark.plans import runner
 from tidemark.plans.catalog import CUR_ALL_SQL, curated_all
 from tidemark.plans.q_sources import PAGE, land_report_csv
 from tidemark.plans.registry import register, xsum
+from tidemark.plans.run_log import CHAIN, COUNTED, block_event_log
 from tidemark.schema import RunRequest, sources_frame, SOURCES
 from tidemark.session import shared_path
 from tidemark.sinks import warehouse as wh
@@ -18,11 +19,6 @@ from tidemark.sources import csv_report as csvr
 from tidemark.sources import payload as pl
 from tidemark.sources.tables import table
 
-# Stages of a run in order.
-CHAIN = ("fastapi", "kafka", "landing", "raw", "preparation", "gx", "spark", "curated", "clickhouse", "trino", "postgres")
-COUNTED = {"fastapi", "kafka", "landing", "raw", "preparation", "spark", "curated", "clickhouse", "trino", "postgres"}
-
-
 def _expected(name: str, stages, status: dict[str, str]) -> str:
     return ", ".join(f"('{name}', {k + 1}, '{s}', '{status.get(s, 'done')}', {int(s in COUNTED and status.get(s, 'done') == 'done')})" for k, s in enumerate(stages))
 
@@ -44,9 +40,8 @@ def q_run_stage_log(spark, sf_dir):
     for name, request, broken in (("whole", RunRequest(), False), ("stopped", RunRequest(failure_stage="gx"), False),
                                   ("warned", RunRequest(), True), ("strict", RunRequest(strict=True), True)):
         root = shared_path(spark, "runs", name)
-        if broken:  # a file where the event log's folder would be
-            fs, place = wh._jvm_fs(spark, f"{root}/events")
-            fs.create(place).close()
+        if broken:
+            block_event_log(spark, root)
         result = runner.run(spark, request, input_path=path, root=root)
         logs.append(result.stages.withColumn("run_name", F.lit(name)))
         audits.append(wh.read_runs(spark, root).select("run_id", F.col("status").alias("audited_status")))
