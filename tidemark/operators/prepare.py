@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import blank_to_null, is_trimmed, py_strip
 from tidemark.functions.values import INTEGRAL_TYPES, field, python_type_name, quoted, truthy
+from tidemark.operators.modes import cell_counts, certified_modes
 
 # Labels the source system writes into its preparation records.
 IMPUTED_UNKNOWN = "IMPUTED_UNKNOWN"
@@ -102,12 +103,14 @@ def _numeric_default(col: Column, kind: str) -> Column:
     return F.when(present, value)
 
 
-def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> tuple[DataFrame | None, DataFrame | None]:
+def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE, certified: bool = False) -> tuple[DataFrame | None, DataFrame | None]:
     """Two one-row DataFrames: numeric/boolean defaults and text-like defaults.
 
     Columns are named after the input columns.  An all-NULL text column gets
     ``IMPUTED_UNKNOWN``; an all-NULL typed column keeps NULL (D6).  Text-like
-    defaults are the most common value, ties to the smallest text (AGG9).
+    defaults are the most common value, ties to the smallest text (AGG9): counted
+    in one pass, or with ``certified`` by summaries and a recount (``modes``), which reads
+    the rows more often and shuffles far fewer distinct cells.
     """
     fields = [f for f in df.schema.fields if f.name not in exclude]
     numeric = [f for f in fields if _kind(f.dataType) in ("int", "float", "bool")]
@@ -119,18 +122,11 @@ def column_defaults(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> tuple[DataFrame |
 
     text_row = None
     if textual:
-        cells = F.explode(F.array(*[
-            F.struct(F.lit(f.name).alias("column"), _to_text(quoted(f.name), f.dataType).alias("value"))
-            for f in textual
-        ])).alias("cell")
-        counts = (df.select(cells).select("cell.column", "cell.value")
-                  .where(F.col("value").isNotNull() & (py_strip(F.col("value")) != F.lit("")))
-                  .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-        # One global aggregate picks every column's winner: the smallest
-        # (-count, value) among that column's entries; partial per task.
+        texts = {f.name: _to_text(quoted(f.name), f.dataType) for f in textual}
+        # One global aggregate picks every column's winner: the smallest (-count, value) among that column's entries; partial per task.
+        counts = certified_modes(df, texts) if certified else cell_counts(df, texts)
         ranked = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("value"))
-        row = counts.agg(*[F.min(F.when(F.col("column") == f.name, ranked)).getField("value").alias(f.name)
-                           for f in textual])
+        row = counts.agg(*[F.min(F.when(F.col("column") == f.name, ranked)).getField("value").alias(f.name) for f in textual])
         text_row = row.select(*[
             (F.coalesce(quoted(f.name), F.lit(IMPUTED_UNKNOWN)) if _kind(f.dataType) in ("str", "void")
              else _from_text(quoted(f.name), f.dataType)).alias(f.name)
@@ -178,9 +174,9 @@ class Defaults:
         return df.drop(*self._subq)
 
 
-def default_columns(df: DataFrame, exclude=DEFAULT_EXCLUDE) -> Defaults:
+def default_columns(df: DataFrame, exclude=DEFAULT_EXCLUDE, certified: bool = False) -> Defaults:
     """Per-column defaults (AGG6-AGG10) for ``impute`` and the counters."""
-    return Defaults(*column_defaults(df, exclude))
+    return Defaults(*column_defaults(df, exclude, certified))
 
 
 def impute(df: DataFrame, defaults: Defaults) -> DataFrame:
@@ -403,7 +399,8 @@ class Prepared:
     access, so asking for the rows does not plan the profile or the log."""
 
     def __init__(self, raw: DataFrame, corrections: DataFrame | None, id_col: str,
-                 ordinal: str | None, exclude):
+                 ordinal: str | None, exclude, certified: bool = False):
+        self._certified = certified
         self._raw, self._corr, self._id, self._ord = raw, corrections, id_col, ordinal
         self._internal = (ordinal,) if ordinal and ordinal != id_col else ()
         self._exclude = tuple(exclude) + self._internal
@@ -420,7 +417,7 @@ class Prepared:
 
     @property
     def defaults(self) -> Defaults:
-        return self._get("defaults", lambda: default_columns(self.cleaned, self._exclude))
+        return self._get("defaults", lambda: default_columns(self.cleaned, self._exclude, self._certified))
 
     @property
     def imputed(self) -> DataFrame:
@@ -464,10 +461,12 @@ def prepare(
     id_col: str = "id",
     ordinal: str | None = None,
     exclude=DEFAULT_EXCLUDE,
+    certified: bool = False,
 ) -> Prepared:
     """PRE1-PRE7 end to end on a raw DataFrame (trim → blank → impute → correct).
 
     An ``ordinal`` other than the id is an internal column: it is never
-    imputed and does not count in the profile or the type listing.
+    imputed and does not count in the profile or the type listing.  ``certified``
+    finds the most common values by summaries (see ``column_defaults``).
     """
-    return Prepared(raw, corrections, id_col, ordinal, exclude)
+    return Prepared(raw, corrections, id_col, ordinal, exclude, certified)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import prepare as prep
+from tidemark.operators.modes import certified_modes
 from tidemark.plans import fixtures as fx
 from tidemark.functions.values import exact_sum
+from tidemark.sources.tables import table
 from tidemark.plans.registry import r2, register, xsum
 
 
@@ -234,3 +236,24 @@ def q_mean_defaults_by_day(spark, sf_dir):
         F.bround(F.avg("user_id")).cast("bigint").alias("user_id_default"),
         (F.count_if(F.col("completed")) >= F.count("completed") / 2).alias("completed_default"),
         r2(exact_sum("value")).alias("value_sum"))
+
+
+MODE_COLUMNS_SQL = {"flag": "l_returnflag", "line": "CAST(l_linenumber AS VARCHAR)", "order": "CAST(l_orderkey AS VARCHAR)",
+                    "mixed": "CASE WHEN l_orderkey % 4 = 0 THEN 'common' ELSE 'order ' || CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR) END",
+                    "blank": "CASE WHEN l_linenumber = 1 THEN ' x ' WHEN l_linenumber = 2 THEN 'y' ELSE '  ' END"}
+
+
+@register("certified_modes", "WITH c AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS \"column\", {text} AS value FROM lineitem" for name, text in MODE_COLUMNS_SQL.items()) + """),
+n AS (SELECT "column", value, count(*) AS n FROM c WHERE trim(value) <> '' GROUP BY ALL)
+SELECT "column", value, n, "column" <> 'order' AS certified FROM n QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) = 1""")
+def q_certified_modes(spark, sf_dir):
+    """AGG9 + SRT3: most common values by frequent-items summaries and an exact recount; only the column whose
+    values all are rare is counted in full."""
+    li = table(spark, sf_dir, "lineitem")
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    other = F.concat(F.lit("order "), key.cast("string"), F.lit("/"), line.cast("string"))
+    texts = {"flag": F.col("l_returnflag"), "line": line.cast("string"), "order": key.cast("string"),
+             "mixed": F.when(key % 4 == 0, "common").otherwise(other),
+             "blank": F.when(line == 1, " x ").when(line == 2, "y").otherwise("  ")}
+    return certified_modes(li, texts)
