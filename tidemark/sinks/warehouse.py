@@ -7,7 +7,7 @@ SNK1-SNK14.  Layout (all under a root in the shared file system):
 * ``{root}/warehouse/curated_events/source_entity=…``  appended curated rows,
   sorted by ``(run_id, dw_id)`` inside each file so a run filter skips row
   groups by their min/max statistics (SNK6)
-* ``{root}/audit/pipeline_runs``  run audit rows, append-only (SNK8)
+* ``{root}/audit/pipeline_runs``  run audit rows (SNK8, see ``run_audit``)
 
 Zone writes overwrite only their own ``source/run_id`` partition (dynamic
 partition overwrite), so reruns are idempotent and runs never clobber each
@@ -17,14 +17,13 @@ other; a lost executor just reruns its task.
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.audit import latest_per_run
-from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA, RUN_AUDIT_SCHEMA
+from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA
 from tidemark.sinks.landing import land_files
+from tidemark.sinks.run_audit import append_run, read_runs  # noqa: F401  (part of this module's interface)
 
 ZONES = ("raw", "prepared", "curated")
 
@@ -139,28 +138,6 @@ def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-# ---------------------------------------------------------------------------
-# SNK8: the run audit, append-only
-# ---------------------------------------------------------------------------
-def append_run(spark: SparkSession, row: tuple, root: str) -> str:
-    """Append one run's audit row (fields of RUN_AUDIT_SCHEMA) in a folder of its own.
-
-    Nothing is rewritten and no folder is shared by two writers, so runs that
-    end together cannot lose each other's rows."""
-    path = f"{root}/audit/pipeline_runs/entry={uuid.uuid4().hex}"
-    spark.createDataFrame([row], RUN_AUDIT_SCHEMA).coalesce(1).write.parquet(path)
-    return path
-
-
-def read_runs(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current row of every run, or None before the first append."""
-    path = f"{root}/audit/pipeline_runs"
-    fs, hpath = _jvm_fs(spark, path)
-    if not fs.exists(hpath):
-        return None
-    return latest_per_run(spark.read.schema(RUN_AUDIT_SCHEMA).parquet(path))
-
-
 # ---------------------------------------------------------------------------
 # SNK10 / SNK14: JSON exports
 # ---------------------------------------------------------------------------
