@@ -20,7 +20,7 @@ def whole_ids(texts):
 
 def test_word_encoder_equals_whole_texts():
     texts = [r[1] or "" for r in hostile_rows()] + [" a", "don't 'Tis x's", "é ́e", "ΟΔΟΣ ὈΔΟΣ. İstanbul", "x\r\ny\x0bz\x0cw v\u0085u", "a\x1cb", "12 3½ ²",
-                                                    "<|startoftext|> a<|endoftext|>b", "가 ᅡ", "ﬁ ﬃ", "…—'ll", "ªº ¹²³¼½¾ Éa_b__ Ǆ ŉ ſ ß ẞ", "a_b ,'s 'RE 'Ll x'D", "año\u00a0nuevo\u200bx", "\x00\x7f\xad a\u0301 İi"]
+                                                    "<|startoftext|> a<|endoftext|>b", "가 ᅡ", "ﬁ ﬃ", "…—'ll", "ªº ¹²³¼½¾ Éa_b__ Ǆ ŉ ſ ß ẞ", "a_b ,'s 'RE 'Ll x'D", "End. end! A a1 x' b' c\x7f d\x01 'S e's.", "año\u00a0nuevo\u200bx", "\x00\x7f\xad a\u0301 İi"]
     for memo in (3, 1_000):
         encoder = rp.WordEncoder(tokenizer_path(rp.TOKENIZER), memo)
         for _ in range(2):

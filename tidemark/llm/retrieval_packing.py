@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, shared, slices
-from tidemark.llm.tokens import MEMO, byte_letters, tokenizer_path
+from tidemark.llm.tokens import byte_letters, tokenizer_path
 from tidemark.session import shared_path
 
 CAPACITY = 2048
@@ -47,6 +47,8 @@ SHARD_ROWS = 4096
 K1, B = 1.2, 0.75
 #: A token with at least one item in so many is added up as a dense row.
 DENSE_PART = 16
+#: Chunks and pieces kept by a worker: about 60 MB; more of them cost more in memory and its misses than they save.
+MEMO = 200_000
 #: Min-hashes of the order key, 16 bits each.
 KEY_PARTS = 3
 
@@ -96,7 +98,12 @@ class WordEncoder:
         return self._pack(tokens[0].id) if len(tokens) == 1 else b"".join([self._pack(t.id) for t in tokens])
 
     def _chunk(self, chunk: str) -> bytes:
-        pieces = self._pieces(chunk)
+        if chunk.isascii() and chunk[:-1].isalpha() and chunk[-1] not in "'0123456789":
+            # letters, or letters and one sign: no pattern is needed
+            lower = chunk.lower()
+            pieces = [lower] if chunk[-1].isalpha() else [lower[:-1], lower[-1]] if chunk[-1].isprintable() else self._pieces(chunk)
+        else:
+            pieces = self._pieces(chunk)
         if pieces is None:
             return np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
         memo, found = self._memo, []
@@ -133,8 +140,12 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def terms_of(ids: list[bytes], dtype: np.dtype, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(item, token, count) of all items, sorted by item and token."""
+def terms_of(ids: list[bytes], dtype: np.dtype, size: int, step: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, token, count) of all items, sorted by item and token; a few items at a time, for the memory."""
+    if len(ids) > step:
+        parts = [terms_of(ids[at: at + step], dtype, size) for at in range(0, len(ids), step)]
+        items = np.concatenate([p[0] + at for p, at in zip(parts, range(0, len(ids), step))])
+        return items, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
     lengths = np.array([len(i) for i in ids]) // dtype.itemsize
     tokens = np.frombuffer(b"".join(ids), dtype).astype(np.int64)
     pairs, counts = np.unique(np.repeat(np.arange(len(ids)), lengths) * size + tokens, return_counts=True)
@@ -204,7 +215,7 @@ def _encode_batches(path: str, capacity: int, end_id: int, keep_ids: bool):
                                   "ids": ids[width * full:]})
             if items:
                 terms = terms_of([i["ids"] for i in items], dtype, size)
-                np.add.at(held, terms[1], 1)
+                held += np.bincount(terms[1], minlength=size)
                 for item, key in zip(items, order_keys(*terms, len(items), size).tolist()):
                     item["key"] = key
             if windows or items:
@@ -395,10 +406,11 @@ def _pack_batches(statistics, dtype: np.dtype, capacity: int, shard_rows: int, k
         packer = Packer(idf, mean_length, dtype, capacity, TaskContext.get().partitionId() << 33)
         held: list[dict] = []
         for batch in batches:
-            held += batch.to_pylist()
-            while len(held) >= shard_rows:
-                yield rows(packer.shard(held[:shard_rows]))
-                held = held[shard_rows:]
+            for at in range(0, batch.num_rows, shard_rows):
+                held += batch.slice(at, shard_rows).to_pylist()
+                if len(held) >= shard_rows:
+                    yield rows(packer.shard(held[:shard_rows]))
+                    held = held[shard_rows:]
         if held:
             yield rows(packer.shard(held))
         yield rows(packer.finish())
