@@ -18,7 +18,7 @@ Edge cases: a null url, or one without ``://``, has an empty host and path and i
 that repeat a page_id are judged one by one; a page_id with several labels is good only if all say so; an empty
 table gives an empty result.
 
-``oracle_sql`` keeps the former rule (``MIN_SHARE`` of the node's rows, no branch below ``DEPTH``): the same rows where no branch depends on it.
+``oracle_sql`` unrolls ``DEPTH`` levels, so it has no branch below them: the same rows where no ``MIN_ROWS`` pages share a deeper node.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DEPTH = 6
 MIN_ROWS = 8
-MIN_SHARE = 0.01  # of the SQL twin alone
 SIGMAS = 2.0
 SMOOTHING = 10.0
 PURITY = 0.5
@@ -129,8 +128,7 @@ def oracle_sql(depth: int = DEPTH) -> str:
     for k in range(1, depth + 1):
         levels.append(f"""
     c{k} AS (SELECT host, template, segments[{k}] AS segment, count(*) AS n FROM r{k - 1} WHERE len(segments) >= {k} GROUP BY ALL),
-    k{k} AS (SELECT host, template, segment FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS total FROM c{k})
-             WHERE n >= {MIN_ROWS} AND n >= total * {MIN_SHARE}),
+    k{k} AS (SELECT host, template, segment FROM c{k} WHERE n >= {MIN_ROWS}),
     r{k} AS MATERIALIZED (SELECT r.page_id, r.host, r.path, r.good, r.segments,
              CASE WHEN len(r.segments) >= {k} THEN r.template ELSE r.parent END AS parent,
              CASE WHEN len(r.segments) < {k} THEN r.template WHEN k.segment IS NULL THEN r.template || '/*'
