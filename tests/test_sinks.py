@@ -98,6 +98,34 @@ def test_landing_of_an_empty_folder(spark, scratch):
     assert read_manifest(spark, out).count() == 0
 
 
+def test_a_retried_run_replaces_its_first_try(spark, scratch):
+    root = os.path.join(scratch, "root")
+
+    def runs():
+        return {(r["run_id"], r["n"]) for r in wh.read_curated(spark, root).groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+
+    assert wh.append_curated(_curated(spark, 4, "a"), root, run_id="a") == 4
+    wh.append_curated(_curated(spark, 6, "b"), root, run_id="b")
+    assert wh.append_curated(_curated(spark, 3, "a"), root, run_id="a") == 3
+    assert runs() == {("a", 3), ("b", 6)}
+    for _ in range(2):
+        wh.append_curated(_curated(spark, 2, "c"), root)  # no run id: a bag union
+    assert runs() == {("a", 3), ("b", 6), ("c", 4)}
+    wh.compact_curated(spark, root, "products")
+    assert runs() == {("a", 3), ("b", 6), ("c", 4)}
+    wh.append_curated(_curated(spark, 5, "b"), root, run_id="b")  # its first try is in a compacted file
+    assert runs() == {("a", 3), ("b", 5), ("c", 4)}
+    assert not os.listdir(os.path.join(wh.curated_table_path(root), "_staging"))
+
+
+def test_a_run_alone_in_a_compacted_source_is_replaced(spark, scratch):
+    root = os.path.join(scratch, "root")
+    wh.append_curated(_curated(spark, 4, "a"), root, run_id="a")
+    wh.compact_curated(spark, root, "products")
+    wh.append_curated(_curated(spark, 2, "a"), root, run_id="a")
+    assert wh.read_curated(spark, root).count() == 2
+
+
 def test_compaction_keeps_rows(spark, scratch):
     root = os.path.join(scratch, "root")
     for k in range(4):

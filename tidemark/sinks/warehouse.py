@@ -16,7 +16,9 @@ other; a lost executor just reruns its task.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -86,11 +88,14 @@ def create_curated_table(spark: SparkSession, root: str, name: str = "curated_ev
     spark.catalog.recoverPartitions(name)
 
 
-def append_curated(curated: DataFrame, root: str) -> int:
+def append_curated(curated: DataFrame, root: str, *, run_id: str | None = None) -> int:
     """SNK6: append the 11 columns; ISO text times become timestamps.
 
     Returns the number of rows written, counted by ``observe`` during the
     write itself (no second job over the data).  An empty batch writes nothing.
+
+    With ``run_id`` the batch is that run's whole output: it is staged and published under the run's name, so a second try of
+    the run takes the place of its first.  Without one every call adds its rows (SET2: bag union).
     """
     cols = []
     for f in CURATED_SCHEMA.fields:
@@ -102,23 +107,68 @@ def append_curated(curated: DataFrame, root: str) -> int:
     out = curated.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
     # REBALANCE on (source, run) gives files of the advisory partition size: small
     # pieces are put together and a hot source is split, not gathered in one task.
+    table = curated_table_path(root)
+    target = table if run_id is None else f"{table}/_staging/{uuid.uuid4().hex}"  # readers skip the underscore
     (out.hint("rebalance", "source_entity", "run_id").sortWithinPartitions("source_entity", "run_id", "dw_id")
-     .write.mode("append").partitionBy("source_entity").parquet(curated_table_path(root)))
+     .write.mode("append").partitionBy("source_entity").parquet(target))
+    if run_id is not None:
+        _publish_run(curated.sparkSession, table, target, run_id)
     return int(obs.get.get("rows", 0))
 
 
+def _publish_run(spark: SparkSession, table: str, staging: str, run_id: str) -> None:
+    """Move a run's staged files into the table under its name, then remove what an earlier try left.
+
+    File-system metadata only (a run has few files).  A try that ends half-way leaves files that the next one removes.
+    """
+    name, attempt = hashlib.sha256(run_id.encode()).hexdigest()[:16], uuid.uuid4().hex[:8]
+    fs, place = _jvm_fs(spark, table)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    _forget_compacted(spark, table, run_id, name)
+    earlier = [s.getPath() for s in fs.globStatus(path(place, f"source_entity=*/run-{name}-*"))]
+    for number, status in enumerate(fs.globStatus(path(path(staging), "source_entity=*/*.parquet")) or []):
+        file = status.getPath()
+        folder = path(place, file.getParent().getName())
+        fs.mkdirs(folder)
+        if not fs.rename(file, path(folder, f"run-{name}-{attempt}-{number:05d}.parquet")):
+            raise OSError(f"{file} could not be published in {folder}")
+    for file in earlier:
+        fs.delete(file, False)
+    fs.delete(path(staging), True)
+
+
+def _forget_compacted(spark: SparkSession, table: str, run_id: str, name: str) -> None:
+    """Take a run out of files that hold several runs (after a compaction); rewrites only the sources that have it."""
+    fs, place = _jvm_fs(spark, table)
+    if not any(True for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(place, "source_entity=*"))):
+        return
+    rows = spark.read.option("mergeSchema", False).parquet(table)
+    mixed = rows.where((F.col("run_id") == run_id) & ~F.col("_metadata.file_name").startswith(f"run-{name}-"))
+    for (source,) in mixed.select("source_entity").distinct().collect():  # a run has one source
+        _rewrite_source(spark, table, source, rows.where((F.col("source_entity") == source) & (F.col("run_id") != run_id)))
+
+
 def compact_curated(spark: SparkSession, root: str, source_entity: str) -> None:
     """Rewrite one source's small files as few large ones, sorted by (run_id, dw_id).
 
     The new files are complete in a staging folder before they replace the old
     ones (dynamic overwrite of this partition only); run it while no append runs."""
-    staging = f"{root}/warehouse/_compact/{source_entity}"
-    rows = spark.read.parquet(curated_table_path(root)).where(F.col("source_entity") == source_entity)
+    table = curated_table_path(root)
+    _rewrite_source(spark, table, source_entity, spark.read.parquet(table).where(F.col("source_entity") == source_entity))
+
+
+def _rewrite_source(spark: SparkSession, table: str, source_entity: str, rows: DataFrame) -> None:
+    staging = f"{table}/_compact/{uuid.uuid4().hex}"
     rows.hint("rebalance").sortWithinPartitions("run_id", "dw_id").write.mode("overwrite").parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source_entity").parquet(curated_table_path(root)))
-    fs, hpath = _jvm_fs(spark, staging)
-    fs.delete(hpath, True)
+    staged = spark.read.parquet(staging)
+    if staged.isEmpty():  # a dynamic overwrite would leave the partition as it is
+        place = f"{table}/source_entity={source_entity}"
+    else:
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_entity").parquet(table)
+        place = staging
+    for path in {place, staging}:
+        fs, hpath = _jvm_fs(spark, path)
+        fs.delete(hpath, True)
 
 
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
