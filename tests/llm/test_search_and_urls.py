@@ -50,6 +50,32 @@ def test_weights_beyond_32_bits_stay_exact(spark):
     assert got == brute_search(rows, 50, 5)
 
 
+def test_rows_of_one_id_are_queries_and_candidates_one_by_one(spark):
+    rows = [(0, [1.0, 2.0]), (50, [2.0, 1.0]), (50, [3.0, -1.0]), (50, [2.0, 1.0]), (7, [0.5, 0.5]), (7, [4.0, 0.0]), (9, [-1.0, 0.25]), (100, [0.0, 0.0])]
+    weights = [[math.floor(256 * x) for x in v] for _, v in rows]
+    expected = []
+    for q, (query, _) in enumerate(rows):
+        if query % 50 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(weights[q], weights[c])), i) for c, (i, _) in enumerate(rows) if c != q)[:5]
+            expected += [(query, n + 1, i, -score) for n, (score, i) in enumerate(scored)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for blocks in (ts.BLOCK_ROWS, 2):
+        assert sorted(map(tuple, ts.search(df, block_rows=blocks, group_rows=2).collect())) == sorted(expected)
+
+
+def test_scores_that_fit_are_exact_however_large_the_products(spark):
+    def schema(rows):
+        return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    near = [(0, [1e7, 1e7, 3.0]), (1, [1e7, -1e7, 2.0]), (2, [-3.0, 1e7, 1e7]), (50, [1.0, 1.0, 1.0]), (51, [1e7, 0.0, 0.0])]
+    assert sorted(map(tuple, ts.search(schema(near)).collect())) == brute_search(near, 50, 5)
+    low = [(0, [1e9])] + [(k, [float(k)]) for k in range(1, 8)] + [(9, [-1e9 * 40])]  # one score below 64 bits, not among the best
+    for blocks in (ts.BLOCK_ROWS, 1):
+        assert sorted(map(tuple, ts.search(schema(low), block_rows=blocks).collect())) == brute_search(low, 50, 5)
+    with pytest.raises(Exception, match="leave 64 bits"):
+        ts.search(schema(low[:1] + low[-1:])).collect()
+
+
 URLS = [None, "no scheme", "http://A.Example.ORG", "http://a.example.org?x=/es/", "https://x.example.org/es/1", "https://example.org/en/1", "http://example.org/en/2/",
         "http://badexample.org/es/", "http://m.y.com/fr/a", "http://m.y.com/de/a#t", "ftp://com/de/", "http://u@h:80/p://q/r", "http://h.net/" + "/".join("abcdefghij"), "://", "http:///x", "a://b/ÄÖ?q"]
 
