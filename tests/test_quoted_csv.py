@@ -7,7 +7,9 @@ import pytest
 
 from tidemark.plans import runner
 from tidemark.schema import RunRequest
+from tidemark.session import stored
 from tidemark.sources import csv_report as csvr
+from tidemark.sources import quoted_csv
 from tidemark.sources.ordinal import ROW_NUMBER
 from tidemark.sources.quoted_csv import has_quoted_breaks, read_quoted_csv
 
@@ -64,6 +66,19 @@ def test_one_record_over_many_splits(spark, scratch):
     assert lines.count() > 6_000
 
 
+def test_small_splits_share_tasks(spark, scratch, monkeypatch):
+    """Tasks and stored lines do not grow with the number of splits; a record is joined before it is shuffled."""
+    paths = [write(scratch, "a.csv", random_rows(4, 300)), write(scratch, "b.csv", random_rows(5, 300), end="\n")]
+    lines = quoted_csv.scan_lines(spark, scratch, split_bytes=500)
+    splits = lines.select("_file", "_block").distinct().count()
+    assert splits > 100
+    assert len(lines.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism < splits
+    kept = []
+    monkeypatch.setattr(quoted_csv, "stored", lambda df, label: kept.append(stored(df, label)) or kept[-1])
+    assert read(spark, scratch, None)[1] == reference(paths)
+    assert kept[0].count() < 700  # 600 records of far more lines
+
+
 def test_stray_quotes_are_text(spark, scratch):
     """A quote inside a cell that does not start with one opens nothing."""
     path = os.path.join(scratch, "q.csv")

@@ -9,8 +9,11 @@ it" to "a cell is open after it", and such functions compose:
    quote change nothing and are handled as whole Arrow columns.  The noted lines are stored once.
 2. *Settle.*  One row per split holds its function and its record counts.  A window per file composes them, which
    gives each split its true start and the number of records before it.  A cell that is never closed is an error.
-3. *Cut.*  A line that is a record is parsed where it stands.  The lines of a longer record share its number, also
-   across splits, and are joined in order.
+3. *Cut.*  A line that is a record stays where it stands.  The lines of a longer record share its number; those that follow one
+   another in a task are joined there, and only records that are spread over tasks or batches meet in a shuffle.  The
+   fragments are stored once, for the pass that decides types and those that read the cells.
+
+A task scans many splits in turn, so that small splits do not each pay for a task.
 
 A quote opens a cell only at its start, as in RFC 4180; elsewhere it is an ordinary character.  Inside an open cell a doubled quote
 is a quote, and what follows the closing one up to the separator is kept as it stands.  Lines end at a line feed, with or without
@@ -28,10 +31,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import quoted
-from tidemark.session import materialize, shared_path
+from tidemark.session import materialize, shared_path, stored
 from tidemark.sources.ordinal import ROW_NUMBER, file_position
 
 SEPARATOR = ";"
+#: Bytes of input that one task scans at least, in as many splits as that takes, once every core has work.
+TASK_BYTES = 16 * 1024 * 1024
 _OPTIONS = {"sep": SEPARATOR, "quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
 _LINES = ("value string, _file string, _block long, line long, open0 boolean, open1 boolean, after0 boolean, after1 boolean, "
           "records0 long, records1 long, blank boolean")
@@ -131,9 +136,11 @@ def _line_states(separator: str):
 def scan_lines(spark: SparkSession, path: str, *, split_bytes: int | None = None) -> DataFrame:
     """Every line with its states under both assumptions; stored, so that later steps see the same splits."""
     target = shared_path(spark, "staging", "csv-lines")
+    total = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.sum("length")).first()[0] or 0  # sizes only
+    tasks = max(4 * spark.sparkContext.defaultParallelism, total // TASK_BYTES)
     with split_size(spark, split_bytes):
         lines = file_position(spark.read.option("lineSep", "\n").text(path))
-        lines.mapInArrow(_line_states(SEPARATOR), _LINES).write.parquet(target)
+        lines.coalesce(int(tasks)).mapInArrow(_line_states(SEPARATOR), _LINES).write.parquet(target)  # no shuffle: splits one after another
     return spark.read.schema(_LINES).parquet(target)
 
 
@@ -161,6 +168,35 @@ def settle(lines: DataFrame) -> DataFrame:
         F.dense_rank().over(Window.orderBy("_file")).alias("file_number"))
 
 
+def _line_joiner():
+    """Consecutive lines of one record as one fragment; other lines as they are."""
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            number, file, block, line = (batch.column(c).to_numpy() for c in (ROW_NUMBER, "file_number", "_block", "line"))
+            follows = (number[1:] == number[:-1]) & (file[1:] == file[:-1]) & (block[1:] == block[:-1]) & (line[1:] == line[:-1] + 1)
+            starts = np.flatnonzero(np.concatenate(([True], ~follows)))
+            ends = np.append(starts[1:], n)
+            value = batch.column("value")
+            if len(starts) < n:
+                cells = value.to_pylist()
+                value = pa.array([cells[a] if b == a + 1 else "\n".join(cells[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.string())
+            first, last = pa.array(starts), pa.array(ends - 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(ROW_NUMBER).take(first), batch.column("file_number").take(first), batch.column("_block").take(first),
+                 batch.column("line").take(first), batch.column("inside").take(first), batch.column("continues").take(last), value],
+                names=[ROW_NUMBER, "file_number", "_block", "line", "inside", "continues", "value"])
+
+    return run
+
+
+_FRAGMENTS = f"{ROW_NUMBER} long, file_number int, _block long, line long, inside boolean, continues boolean, value string"
+
+
 def _column_names(header: str) -> list[str]:
     cells = next(csv.reader([header.removeprefix("﻿")], delimiter=SEPARATOR), [])
     names: list[str] = []
@@ -176,19 +212,23 @@ def read_quoted_csv(spark: SparkSession, path: str, *, split_bytes: int | None =
     broken = splits.groupBy("_file").agg(F.max_by("ends_open", "_block").alias("open")).where("open").select("_file").take(1)
     if broken:
         raise ValueError(f"a quoted cell is never closed in {broken[0]['_file']}")
-    placed = lines.join(splits, ["_file", "_block"])
+    placed = lines.join(F.broadcast(splits), ["_file", "_block"])  # one row per split
     pick = lambda a, b: F.when(F.col("open"), F.col(b)).otherwise(F.col(a))
     record = pick("records0", "records1")
     placed = placed.select(
         "value", "_file", "_block", "line", "blank", pick("open0", "open1").alias("inside"), pick("after0", "after1").alias("continues"),
         (F.col("before") + record - F.col("file_number")).alias(ROW_NUMBER),
-        (F.col("before_in_file") + record).alias("in_file"), "file_number")
-    heading = placed.where("in_file = 1 AND file_number = 1 AND (inside OR NOT blank)").select("_block", "line", "value").collect()  # one record
+        (F.col("before_in_file") + record).alias("in_file"), "file_number", "records0", "records1")
+    first_file = splits.agg(F.min("_file")).first()[0]
+    heading = (placed.where((F.col("_file") == first_file) & ((F.col("records0") <= 1) | (F.col("records1") <= 1)))  # reaches the scan
+               .where("in_file = 1 AND (inside OR NOT blank)").select("_block", "line", "value").collect())  # one record
     names = _column_names("\n".join(r["value"] for r in sorted(heading)).removesuffix("\r"))
-    data = placed.where("in_file > 1")
-    whole = data.where("NOT inside AND NOT continues AND NOT blank").select(ROW_NUMBER, "value")
-    parts = data.where("inside OR continues").groupBy(ROW_NUMBER).agg(
-        F.sort_array(F.collect_list(F.struct("_file", "_block", "line", "value"))).alias("parts"))  # the lines of one record
+    lines_of_records = placed.where("in_file > 1 AND (inside OR continues OR NOT blank)")
+    fragments = stored(lines_of_records.select(
+        ROW_NUMBER, F.col("file_number").cast("int").alias("file_number"), "_block", "line", "inside", "continues", "value").mapInArrow(_line_joiner(), _FRAGMENTS), "csv-records")
+    whole = fragments.where("NOT inside AND NOT continues").select(ROW_NUMBER, "value")
+    parts = fragments.where("inside OR continues").groupBy(ROW_NUMBER).agg(
+        F.sort_array(F.collect_list(F.struct("file_number", "_block", "line", "value"))).alias("parts"))  # the fragments of one record
     text = whole.unionByName(parts.select(ROW_NUMBER, F.array_join("parts.value", "\n").alias("value")))
     schema = ", ".join(f"c{k} string" for k in range(len(names)))
     cells = F.from_csv(F.regexp_replace("value", r"\r\z", ""), schema, _OPTIONS)
