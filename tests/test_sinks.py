@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import marts
 from tidemark.operators.curate import curate
 from tidemark.plans.curate_job import curate_to_parquet, read_raw_records
-from tidemark.schema import CURATED_COLUMNS, RUN_AUDIT_SCHEMA
+from tidemark.schema import CURATED_COLUMNS, CURATED_SCHEMA, RUN_AUDIT_SCHEMA
 from tidemark.sinks import warehouse as wh
 from tidemark.sinks.landing import read_manifest, verify_landing
 
@@ -168,3 +168,20 @@ def test_display_columns_and_internal_drop(spark):
 def test_sample_rows_in_stored_order(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "pos long, v string")
     assert [r["v"] for r in marts.sample_rows(df, "pos", 2).collect()] == ["a", "b"]
+
+
+def test_rows_of_a_run_from_one_task_meet_in_several_files(spark, scratch):
+    """A hot run is split between the pieces of map tasks; one map task's rows are several pieces."""
+    rows = spark.range(40_000).coalesce(1).select(
+        *[(F.concat(F.lit("x_"), F.sha2(F.col("id").cast("string"), 256)) if f.name == "dw_id" else F.lit("posts" if f.name == "source_entity" else "r")
+           if f.dataType.simpleString() == "string" else F.lit(None).cast(f.dataType)).alias(f.name) for f in CURATED_SCHEMA.fields])
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "262144")
+    try:
+        assert wh.append_curated(rows, scratch) == 40_000
+    finally:
+        spark.conf.set(name, before)
+    table = wh.read_curated(spark, scratch)
+    assert table.count() == 40_000 == table.select("dw_id").distinct().count()
+    assert len(table.inputFiles()) > 1

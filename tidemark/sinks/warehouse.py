@@ -28,6 +28,8 @@ from tidemark.sinks.landing import land_files
 from tidemark.sinks.run_audit import append_run, read_runs  # noqa: F401  (part of this module's interface)
 
 ZONES = ("raw", "prepared", "curated")
+#: Pieces that a run's rows of one map task are dealt into before they meet in files.
+SPREAD = 32
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -105,11 +107,14 @@ def append_curated(curated: DataFrame, root: str, *, run_id: str | None = None)
         cols.append(c.cast(f.dataType).alias(f.name))
     obs = Observation("curated_append")
     out = curated.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-    # REBALANCE on (source, run) gives files of the advisory partition size: small
-    # pieces are put together and a hot source is split, not gathered in one task.
+    # REBALANCE on (source, run, spread) gives files of the advisory partition size: small pieces are put together and a
+    # hot source is split, not gathered in one task.  It splits between the pieces of map tasks only, so the spread keeps
+    # a piece, and with it the rows that one task sorts, small however many rows of a run one map task reads.
+    spread = F.pmod(F.xxhash64("dw_id"), F.lit(SPREAD))
     table = curated_table_path(root)
     target = table if run_id is None else f"{table}/_staging/{uuid.uuid4().hex}"  # readers skip the underscore
-    (out.hint("rebalance", "source_entity", "run_id").sortWithinPartitions("source_entity", "run_id", "dw_id")
+    (out.withColumn("_spread", spread).hint("rebalance", "source_entity", "run_id", "_spread")
+     .sortWithinPartitions("source_entity", "run_id", "dw_id").drop("_spread")
      .write.mode("append").partitionBy("source_entity").parquet(target))
     if run_id is not None:
         _publish_run(curated.sparkSession, table, target, run_id)
