@@ -11,6 +11,7 @@ from tidemark.plans.run_log import RUN_LOG_SQL, real_runs
 from tidemark.sources.tables import table
 
 LOG = f"({RUN_LOG_SQL})"
+STAGES = f"({fx.STAGE_LOG_SQL})"
 DISPLAY_SQL = "CASE WHEN id = 'raw' THEN 'landing' WHEN id = 'curated' THEN 'spark' ELSE id END"
 
 
@@ -26,10 +27,12 @@ def q_stage_log(spark, sf_dir):
 
 
 @register("stage_chain", f"""
-SELECT run_id, string_agg(id, ' -> ' ORDER BY sequence) AS chain FROM {LOG} s GROUP BY run_id""")
+SELECT run_id, string_agg(id, ' -> ' ORDER BY sequence) AS chain
+FROM (SELECT run_id, id, sequence FROM {STAGES} s UNION ALL SELECT run_id, id, sequence FROM {LOG} r) u GROUP BY run_id""")
 def q_stage_chain(spark, sf_dir):
-    """AUD5: stage chain text of each real run."""
-    return audit.stage_chain(real_runs(spark, sf_dir))
+    """AUD5: stage chain text of each run per event type and day, and of each real run."""
+    named = ("run_id", "id", "sequence")
+    return audit.stage_chain(fx.stage_log(spark, sf_dir).select(*named).unionByName(real_runs(spark, sf_dir).select(*named)))
 
 
 @register("run_status", f"""
