@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import quoted
+from tidemark.session import materialize, stored
 
 ROW_NUMBER = "_row_number"
+#: Most input splits whose table is sent to the tasks; a larger one meets the rows in a shuffle.
+BROADCAST_BLOCKS = 50_000
 
 
 def file_position(df: DataFrame) -> DataFrame:
@@ -44,6 +47,20 @@ def number_rows(tagged: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
                       (F.col("_offset") + (F.col("_mid") - F.col("_first")) + 1).alias(name))
 
 
+def number_stored(tagged: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
+    """``number_rows`` for rows that are dear to make and read more than once: they are made once, stored with their position,
+    and every later pass reads the stored ones.  The block table meets them where they are while it has few rows."""
+    rows = stored(tagged.withColumn("_mid", F.monotonically_increasing_id()), "numbered")
+    blocks = materialize(rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")))  # one row per split
+    order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_offset"))
+    if blocks.count() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    keep = [c for c in tagged.columns if c not in ("_file", "_block")]
+    return rows.join(offsets, ["_file", "_block"]).select(
+        *[quoted(c) for c in keep], (F.col("_offset") + (F.col("_mid") - F.col("_first")) + 1).alias(name))
+
+
 def with_row_number(df: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
     """Add a consecutive 1-based ordinal following (file path, block start, line).
 
