@@ -3,8 +3,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidemark.llm import packing as pk
+from tidemark.llm.common import map_batches
 from tidemark.llm.tokens import ChunkEncoder, tokenizer_path
 from tests.llm.conftest import hostile_rows
 
@@ -86,3 +89,22 @@ def test_plan_uses_every_piece_once_and_packs_tightly():
 
 def test_large_items_are_matched_best():
     assert sorted(pk.plan_bins({60: 2, 40: 2, 50: 3}, 100)) == [((50,), 1), ((50, 50), 1), ((60, 40), 2)]
+
+
+def test_a_worker_keeps_few_chunks(monkeypatch):
+    encoder = ChunkEncoder(tokenizer_path())
+    monkeypatch.setattr(encoder, "_word", lambda word: b"\0\0\0\0")
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(letters[k // 26 ** i % 26] for i in range(5)) for k in range(300_000)]
+    assert len(encoder.encode([" ".join(words)])[0]) >= 4 * (len(words) - 1)
+    assert len(encoder._memo) <= 200_000  # about 300 bytes each, in every worker of an executor
+
+
+def test_a_worker_gets_few_text_bytes_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    texts = spark.range(0, 8_000, 1, 1).select(F.repeat(F.lit("word "), 500).alias("text"))
+    rows = map_batches(texts, sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in rows) == 8_000 and max(r.bytes for r in rows) < 5_000_000

@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import re
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Chunks kept by a worker; others are encoded again in each call.  About 200 bytes each.
-MEMO = 400_000
+#: Chunks kept by a worker; others are encoded again.  About 300 bytes each.
+MEMO = 200_000
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _TAIL = re.compile(r"[!-/:-@\[-`{-~]+\Z")
@@ -52,6 +53,24 @@ def _cut(text: str | None) -> list[str] | None:
     return ("\n" + text).replace("\n", " \n").split(" ")[1:]
 
 
+class Memo(dict):
+    """Ids by chunk, made when they are asked for; the first ``limit`` ones are kept."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self._make, self._limit = make, limit
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self._make(chunk)
+        if len(self) < self._limit:
+            self[chunk] = ids
+        return ids
+
+
+class _Odd(Exception):
+    """A chunk with other white space, whose text must be encoded whole."""
+
+
 class ChunkEncoder:
     def __init__(self, path: str, memo: int = MEMO):
         from tokenizers import Tokenizer
@@ -61,8 +80,8 @@ class ChunkEncoder:
         self._model = self._whole.model
         self._letters = byte_letters()
         self._space = self._letters[32]
-        self._memo: dict[str, bytes] = {}
-        self._limit = memo
+        self._bytes = [_pack([i]) for i in range(1 + max(self._whole.get_vocab().values()))]
+        self._memo = Memo(self._chunk, memo)
 
     def _encode(self, text: str) -> bytes:
         return _pack(self._whole.encode(text, add_special_tokens=False).ids)
@@ -70,49 +89,30 @@ class ChunkEncoder:
     def _word(self, word: str) -> bytes:
         """A space and letters: one piece, so the merges apply to it directly."""
         shown = word.encode().decode("latin-1").translate(self._letters)
-        return _pack([t.id for t in self._model.tokenize(self._space + shown)])
+        ids = self._bytes
+        return b"".join([ids[t.id] for t in self._model.tokenize(self._space + shown)])
 
-    def _chunk(self, chunk: str) -> dict[str, bytes]:
-        """The ids of a chunk; with letters and then punctuation, of both parts as well."""
+    def _chunk(self, chunk: str) -> bytes:
+        if _OTHER_SPACE.search(chunk):
+            raise _Odd
         if chunk[0] == "\n":
-            return {chunk: self._encode(chunk)}
+            return self._encode(chunk)
         if chunk.isalpha():
-            return {chunk: self._word(chunk)}
+            return self._word(chunk)
         tail = _TAIL.search(chunk)
         if tail and tail[0][0] != "'" and (word := chunk[: tail.start()]).isalpha():
-            found = {word: self._memo.get(word) or self._word(word)}
-            mark = "\n" + tail[0]  # the run without a space before it
-            found[mark] = self._memo.get(mark) or self._encode(mark)
-            found[chunk] = found[word] + found[mark][4:]
-            return found
-        return {chunk: self._encode(" " + chunk)}
+            return self._memo[word] + self._memo["\n" + tail[0]][4:]  # the run without a space before it
+        return self._encode(" " + chunk)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: none) as little-endian unsigned 32-bit values."""
-        cut = [_cut(t) for t in texts]
-        need: set[str] = set()
-        for chunks in cut:
-            if chunks:
-                need.update(chunks)
-        memo, added, odd = self._memo, [], set()
-        for chunk in need:
-            if chunk not in memo:
-                if _OTHER_SPACE.search(chunk):
-                    odd.add(chunk)  # never kept, so it is found in every call
-                    continue
-                found = self._chunk(chunk)
-                if len(memo) >= self._limit:
-                    added += [c for c in found if c not in memo]
-                memo.update(found)
-        get = memo.__getitem__
-        out = []
-        for text, chunks in zip(texts, cut):
-            if chunks and (not odd or odd.isdisjoint(chunks)):
-                out.append(b"".join(map(get, chunks))[4:])  # without the line feed before the text
-            else:
-                out.append(self._encode(text) if text else b"")
-        for chunk in added:
-            del memo[chunk]
+        get, out = self._memo.__getitem__, []
+        for text in texts:
+            chunks = _cut(text)
+            try:
+                out.append(b"".join(map(get, chunks))[4:] if chunks else self._encode(text) if text else b"")  # without the line feed before the text
+            except _Odd:
+                out.append(self._encode(text))
         return out
 
 
