@@ -151,3 +151,10 @@ def test_windows_hold_like_documents(spark):
         windows[r.sequence_id].append(r.doc_id % 6)
     pairs = [(a, b) for w in windows.values() for a, b in zip(w, w[1:])]
     assert sum(a == b for a, b in pairs) > 0.6 * len(pairs)
+
+
+def test_letters_and_signs_need_no_pattern(monkeypatch):
+    encoder = rp.WordEncoder(tokenizer_path(rp.TOKENIZER), 100)
+    monkeypatch.setattr(encoder, "_pieces", lambda text: [text] if len(text) == 1 else 1 / 0)
+    texts = ["Éàñ oiseaux, Straße Plain. ŉ"]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [x[:-1] for x in whole_ids(texts)]

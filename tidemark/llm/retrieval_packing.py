@@ -24,7 +24,6 @@ no rows.  Other columns are not read.
 from __future__ import annotations
 
 import re
-import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -37,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, shared, slices
-from tidemark.llm.tokens import byte_letters, tokenizer_path
+from tidemark.llm.tokens import Memo, byte_letters, tokenizer_path
 from tidemark.session import shared_path
 
 CAPACITY = 2048
@@ -80,9 +79,8 @@ class WordEncoder:
         self._letters = byte_letters()
         self.size = self._tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self._pack = struct.Struct("<H" if self.dtype.itemsize == 2 else "<I").pack
-        self._memo: dict[str, bytes] = {}
-        self._limit = memo
+        self._bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.size)]
+        self._memo = Memo(self._chunk, memo)
 
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces of a Latin text; None where it holds anything else."""
@@ -93,46 +91,27 @@ class WordEncoder:
         return _LATIN_PIECES.findall(text.lower())
 
     def _merge(self, piece: str) -> bytes:
-        shown = piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
-        tokens = self._model.tokenize(shown)
-        return self._pack(tokens[0].id) if len(tokens) == 1 else b"".join([self._pack(t.id) for t in tokens])
+        shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self._letters)
+        ids = self._bytes
+        return b"".join([ids[t.id] for t in self._model.tokenize(shown)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk[:-1].isalpha() and chunk[-1] not in "'0123456789":
-            # letters, or letters and one sign: no pattern is needed
-            lower = chunk.lower()
-            pieces = [lower] if chunk[-1].isalpha() else [lower[:-1], lower[-1]] if chunk[-1].isprintable() else self._pieces(chunk)
-        else:
-            pieces = self._pieces(chunk)
+        lower = chunk.lower()
+        if lower.isalpha():
+            if chunk.isascii() or not _OTHER.search(chunk):
+                return self._merge(lower)  # letters alone are one piece
+        elif chunk.isascii() and lower[:-1].isalpha() and "!" <= lower[-1] <= "~" and lower[-1] not in "'0123456789":
+            return self._memo[lower[:-1]] + self._memo[lower[-1]]  # letters and one sign
+        pieces = self._pieces(chunk)
         if pieces is None:
             return np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
-        memo, found = self._memo, []
-        for piece in pieces:
-            ids = memo.get(piece)
-            if ids is None:
-                ids = self._merge(piece)
-                if len(memo) < self._limit:
-                    memo[piece] = ids
-            found.append(ids)
-        return b"".join(found)
+        if pieces == [chunk]:
+            return self._merge(chunk)
+        return b"".join([self._memo[p] for p in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        memo, get, out = self._memo, self._memo.get, []
-        for text in texts:
-            chunks = _ASCII_SPACE.split(text) if _CONTROLS.search(text) else text.split()
-            found = list(map(get, chunks))
-            if None in found:
-                for k, ids in enumerate(found):
-                    if ids is None:
-                        chunk = chunks[k]
-                        ids = get(chunk)
-                        if ids is None:
-                            ids = self._chunk(chunk)
-                            if len(memo) < self._limit:
-                                memo[chunk] = ids
-                        found[k] = ids
-            out.append(b"".join(found))
-        return out
+        get = self._memo.__getitem__
+        return [b"".join(map(get, _ASCII_SPACE.split(text) if _CONTROLS.search(text) else text.split())) for text in texts]
 
 
 @lru_cache(maxsize=2)
