@@ -100,6 +100,19 @@ def test_a_worker_keeps_few_chunks(monkeypatch):
     assert len(encoder._memo) <= 200_000  # about 300 bytes each, in every worker of an executor
 
 
+def test_words_after_line_feeds_and_before_signs_need_no_whole_encoding(monkeypatch):
+    """Most chunks that no worker has met are words with a line feed before or signs after them."""
+    letters = "aeiounrstl\u00e9\u4e00"
+    words = ["".join(letters[k // 12 ** i % 12] for i in range(4)) for k in range(500)]
+    texts = ["\n".join(words), " ".join(w + "!!" for w in words), "x\n" + ".\n".join(words) + ")", "\n".join(w + "'s" for w in words[:9])]
+    encoder, calls = ChunkEncoder(tokenizer_path(), 100), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda text: calls.append(text) or encode(text))
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [x[:-1] for x in whole_ids(texts)]
+    assert len(calls) < 20
+
+
 def test_a_worker_gets_few_text_bytes_at_a_time(spark):
     def sizes(batches):
         for batch in batches:

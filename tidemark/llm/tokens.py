@@ -21,7 +21,7 @@ END_ID = 2
 MEMO = 200_000
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_TAIL = re.compile(r"[!-/:-@\[-`{-~]+\Z")
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -81,28 +81,35 @@ class ChunkEncoder:
         self._letters = byte_letters()
         self._space = self._letters[32]
         self._bytes = [_pack([i]) for i in range(1 + max(self._whole.get_vocab().values()))]
+        self._feed = self._encode("\n")
+        self._runs = Memo(self._encode, min(memo, 1_000))  # of signs after letters, or none
         self._memo = Memo(self._chunk, memo)
 
     def _encode(self, text: str) -> bytes:
         return _pack(self._whole.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        """A space and letters: one piece, so the merges apply to it directly."""
-        shown = word.encode().decode("latin-1").translate(self._letters)
+    def _merge(self, space: str, word: str) -> bytes:
+        """Letters, after a space or nothing: one piece, so the merges apply to it directly."""
+        shown = word if word.isascii() else "".join(map(self._letters.__getitem__, word.encode()))
         ids = self._bytes
-        return b"".join([ids[t.id] for t in self._model.tokenize(self._space + shown)])
+        return b"".join([ids[t.id] for t in self._model.tokenize(space + shown)])
+
+    def _word(self, word: str) -> bytes:
+        return self._merge(self._space, word)
 
     def _chunk(self, chunk: str) -> bytes:
-        if _OTHER_SPACE.search(chunk):
-            raise _Odd
-        if chunk[0] == "\n":
-            return self._encode(chunk)
         if chunk.isalpha():
             return self._word(chunk)
-        tail = _TAIL.search(chunk)
-        if tail and tail[0][0] != "'" and (word := chunk[: tail.start()]).isalpha():
-            return self._memo[word] + self._memo["\n" + tail[0]][4:]  # the run without a space before it
-        return self._encode(" " + chunk)
+        word = chunk.rstrip(_SIGNS)
+        signs = chunk[len(word):]
+        if signs[:1] != "'":  # it may begin a piece with letters
+            if word.isalpha():
+                return self._memo[word] + self._runs[signs]
+            if word[:1] == "\n" and word[1:].isalpha():  # the line feed is a piece of its own
+                return self._feed + self._merge("", word[1:]) + self._runs[signs]
+        if _OTHER_SPACE.search(chunk):
+            raise _Odd
+        return self._encode(chunk if chunk[0] == "\n" else " " + chunk)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: none) as little-endian unsigned 32-bit values."""
