@@ -2,6 +2,8 @@ import random
 import zlib
 from collections import Counter
 from math import log10
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language_model as lm
 from tidemark.llm import quality, toxicity
+from tidemark.session import shared_path
 from tests.llm.conftest import WORDS, hostile_rows
 
 
@@ -172,3 +175,14 @@ def test_language_model_takes_the_same_passes_at_every_size(monkeypatch):
         lm._train(tree, rows, history, token, n)
         touched.append(rows.touched)
     assert (touched[0] == touched[1]).all() and (touched[0] == touched[2]).all()
+
+
+def test_language_model_keeps_no_table_that_is_read_no_more(spark):
+    labels = ("histories", "features", "touched", "weights", "events")
+    folders = [Path(urlparse(shared_path(spark, "llm", label, unique=False)).path) for label in labels]
+    had = {p for folder in folders for p in folder.glob("*")}
+    docs = spark.createDataFrame([(k, f"a{k % 3} b c{k}") for k in range(30)], "doc_id long, text string")
+    rows = lm.score_documents(docs).collect()
+    assert len(rows) == 30 and all(r.score < 0 for r in rows)
+    assert {p for folder in folders for p in folder.glob("*")} == had
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
