@@ -113,6 +113,18 @@ def test_words_after_line_feeds_and_before_signs_need_no_whole_encoding(monkeypa
     assert len(calls) < 20
 
 
+def test_a_batch_asks_for_a_chunk_once_and_a_worker_keeps_words_without_signs(monkeypatch):
+    words = ["alpha", "beta", "na\u00efve", "gamma"]
+    texts = [" ".join(w + s for w in words for s in ("", ",", ".", "!!")) + "\nEnd of it"] * 5 + ["a  b", None, "x\u2003y alpha", ""]
+    for memo, calls_of_a_word in ((0, 4), (100, 1)):
+        encoder, calls = ChunkEncoder(tokenizer_path(), memo), Counter()
+        word = encoder._merge
+        monkeypatch.setattr(encoder, "_merge", lambda space, w: calls.update([w] if space else []) or word(space, w))
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [x[:-1] for x in whole_ids(texts)]
+        assert all(calls[w] <= calls_of_a_word for w in words)
+        assert len(encoder._memo) <= min(memo, len(words) + 2)
+
+
 def test_a_worker_gets_few_text_bytes_at_a_time(spark):
     def sizes(batches):
         for batch in batches:

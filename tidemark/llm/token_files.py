@@ -40,6 +40,8 @@ from tidemark.session import shared_path
 
 FRAME_IDS = 65_536
 LEVEL = 3
+#: Words kept by a worker, which holds little else than a batch and a frame.
+MEMO = 400_000
 # Fixed values of the zstandard seekable format.
 SEEK_TABLE_FRAME = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -154,11 +156,11 @@ def _writer(folder: str, path: str, frame_ids: int, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        encode, (system, base) = encoder(path).encode, _open(folder)
+        encode, (system, base) = encoder(path, MEMO).encode, _open(folder)
         name, draft = f"part-{task:06d}.tokens.zst", f"{base}/.draft-{uuid.uuid4().hex}"
         writer = sink = None
         documents = 0
-        for batch in slices(batches):
+        for batch in slices(batches, rows=1024):  # a chunk is looked up once in a slice
             if writer is None:
                 sink = system.open_output_stream(draft)
                 writer = TokenFileWriter(sink, frame_ids)

@@ -2,9 +2,10 @@
 
 The byte-level BPE encodes each piece of its split pattern on its own, and in
 a text whose white space is single spaces and single line feeds a new piece
-starts before every space and at every line feed.  Such a text is cut there,
-each distinct chunk is encoded once per worker (up to ``MEMO`` chunks), and the ids
-are joined as little-endian unsigned 32-bit values.  Any other text is encoded
+starts before every space and at every line feed.  Such texts are cut there by
+Arrow, a batch at a time; each distinct chunk of a batch is looked up once, words
+are encoded once per worker (up to ``MEMO`` of them), and the ids are gathered by
+numpy as little-endian unsigned 32-bit values.  Any other text is encoded
 in one call.  Both ways give the ids of ``Tokenizer.encode`` on the whole text.
 """
 
@@ -15,9 +16,13 @@ import struct
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Chunks kept by a worker; others are encoded again.  About 300 bytes each.
+#: Words kept by a worker; others are encoded again.  About 300 bytes each.
 MEMO = 200_000
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -42,15 +47,25 @@ def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _cut(text: str | None) -> list[str] | None:
-    """Chunks of a text, or None where its white space forbids cutting.
+def _cut(texts: list[str | None]) -> pa.ListArray:
+    """Chunks of the texts, after an empty one for each.
 
     A chunk that begins with a line feed stands for itself, any other one for
-    a space and the chunk.  The text is read as if a line feed stood before it.
+    a space and the chunk.  A text is read as if a line feed stood before it.
+    An empty chunk, or a line feed alone, shows white space that forbids cutting.
     """
-    if not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
-        return None
-    return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+    begun = pa.array(["\n" + (t or "") for t in texts], pa.large_string())
+    return pc.split_pattern(pc.replace_substring(begun, "\n", " \n"), " ")
+
+
+def gather(parts: list[bytes], at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of parts ``at`` one after another, and where each part's begin, the end of all last."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+    number = sizes[at]
+    place = np.concatenate(([0], np.cumsum(number)))
+    rows = np.repeat((np.cumsum(sizes) - sizes)[at] - place[:-1], number)
+    rows += np.arange(len(rows))
+    return np.frombuffer(b"".join(parts), f"<u{width}")[rows], place
 
 
 class Memo(dict):
@@ -67,10 +82,6 @@ class Memo(dict):
         return ids
 
 
-class _Odd(Exception):
-    """A chunk with other white space, whose text must be encoded whole."""
-
-
 class ChunkEncoder:
     def __init__(self, path: str, memo: int = MEMO):
         from tokenizers import Tokenizer
@@ -83,47 +94,59 @@ class ChunkEncoder:
         self._bytes = [_pack([i]) for i in range(1 + max(self._whole.get_vocab().values()))]
         self._feed = self._encode("\n")
         self._runs = Memo(self._encode, min(memo, 1_000))  # of signs after letters, or none
-        self._memo = Memo(self._chunk, memo)
+        self._memo = Memo(self._word, memo)  # of letters after a space
+        self._first = Memo(lambda word: self._merge("", word), min(memo, 20_000))  # of letters after a line feed
+        self._others = Memo(lambda chunk: self._encode(chunk if chunk[0] == "\n" else " " + chunk), min(memo, 20_000))
 
     def _encode(self, text: str) -> bytes:
         return _pack(self._whole.encode(text, add_special_tokens=False).ids)
 
     def _merge(self, space: str, word: str) -> bytes:
         """Letters, after a space or nothing: one piece, so the merges apply to it directly."""
-        shown = word if word.isascii() else "".join(map(self._letters.__getitem__, word.encode()))
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
         ids = self._bytes
         return b"".join([ids[t.id] for t in self._model.tokenize(space + shown)])
 
     def _word(self, word: str) -> bytes:
         return self._merge(self._space, word)
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _chunk(self, chunk: str) -> bytes | None:
+        """Ids of a chunk; none where other white space asks for its whole text."""
         if chunk.isalpha():
-            return self._word(chunk)
+            return self._memo[chunk]
         word = chunk.rstrip(_SIGNS)
         signs = chunk[len(word):]
         if signs[:1] != "'":  # it may begin a piece with letters
             if word.isalpha():
                 return self._memo[word] + self._runs[signs]
             if word[:1] == "\n" and word[1:].isalpha():  # the line feed is a piece of its own
-                return self._feed + self._merge("", word[1:]) + self._runs[signs]
-        if _OTHER_SPACE.search(chunk):
-            raise _Odd
-        return self._encode(chunk if chunk[0] == "\n" else " " + chunk)
+                return self._feed + self._first[word[1:]] + self._runs[signs]
+        return None if _OTHER_SPACE.search(chunk) else self._others[chunk]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: none) as little-endian unsigned 32-bit values."""
-        get, out = self._memo.__getitem__, []
-        for text in texts:
-            chunks = _cut(text)
-            try:
-                out.append(b"".join(map(get, chunks))[4:] if chunks else self._encode(text) if text else b"")  # without the line feed before the text
-            except _Odd:
-                out.append(self._encode(text))
-        return out
+        cut = _cut(texts)
+        start = cut.offsets.to_numpy()
+        text = np.repeat(np.arange(len(texts)), np.diff(start))
+        chunks = cut.values.dictionary_encode()
+        at, chunks = chunks.indices.to_numpy(), chunks.dictionary
+        whole = np.zeros(len(texts), bool)
+        odd = pc.is_in(chunks, pa.array(["", "\n"], chunks.type)).to_numpy(zero_copy_only=False)[at]
+        odd[start[:-1]] = False
+        whole[text[odd]] = True
+        needed = np.zeros(len(chunks), bool)  # by a text that is cut
+        needed[at[~whole[text]]] = True
+        ids = [self._chunk(c) if c and n else b"" for c, n in zip(chunks.to_numpy(zero_copy_only=False).tolist(), needed.tolist())]
+        if None in ids:
+            whole[text[np.array([i is None for i in ids])[at]]] = True
+            ids = [i or b"" for i in ids]
+        ids, place = gather(ids, at, 4)
+        place, ids = 4 * place[start], memoryview(ids).cast("B")
+        return [self._encode(t) if w and t else bytes(ids[a + 4: b])  # without the line feed before the text
+                for t, w, a, b in zip(texts, whole.tolist(), place[:-1].tolist(), place[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, memo: int = MEMO) -> ChunkEncoder:
     """One encoder, and so one memo, per Python worker."""
-    return ChunkEncoder(path)
+    return ChunkEncoder(path, memo)
