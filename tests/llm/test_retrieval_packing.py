@@ -158,3 +158,22 @@ def test_letters_and_signs_need_no_pattern(monkeypatch):
     monkeypatch.setattr(encoder, "_pieces", lambda text: [text] if len(text) == 1 else 1 / 0)
     texts = ["Éàñ oiseaux, Straße Plain. ŉ"]
     assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [x[:-1] for x in whole_ids(texts)]
+
+
+def test_a_batch_asks_for_a_chunk_once_and_a_worker_keeps_lower_cased_pieces(monkeypatch):
+    words = ["alpha", "beta", "na\u00efve", "gamma"]
+    texts = [" ".join(w + s for x in words for w in (x, x.title(), x.upper()) for s in ("", ",", ".")) + "\n\n \t\u4e2d\u6587 \u4e2d\u6587"] * 5 + ["", " "]
+    for memo, calls_of_a_word in ((0, 9), (100, 1)):
+        encoder, calls = rp.WordEncoder(tokenizer_path(rp.TOKENIZER), memo), Counter()
+        merge = encoder._merge
+        monkeypatch.setattr(encoder, "_merge", lambda piece: calls.update([piece]) or merge(piece))
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [x[:-1] for x in whole_ids(texts)]
+        assert all(calls[w] <= calls_of_a_word for w in words)
+        assert len(encoder._memo) <= min(memo, len(words) + 3)
+
+
+def test_words_before_runs_of_signs_need_no_pattern(monkeypatch):
+    encoder = rp.WordEncoder(tokenizer_path(rp.TOKENIZER), 100)
+    monkeypatch.setattr(encoder, "_pieces", lambda text: 1 / 0)
+    texts = ["\u00c9t\u00e9, na\u00efve.\" plain''. x' A_ \u00c5b...)"]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [x[:-1] for x in whole_ids(texts)]

@@ -31,12 +31,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, shared, slices
-from tidemark.llm.tokens import Memo, byte_letters, tokenizer_path
+from tidemark.llm.tokens import SIGNS, Memo, byte_letters, gather, tokenizer_path
 from tidemark.session import shared_path
 
 CAPACITY = 2048
@@ -46,7 +47,7 @@ SHARD_ROWS = 4096
 K1, B = 1.2, 0.75
 #: A token with at least one item in so many is added up as a dense row.
 DENSE_PART = 16
-#: Chunks and pieces kept by a worker: about 60 MB; more of them cost more in memory and its misses than they save.
+#: Pieces and other chunks kept by a worker: about 60 MB; more of them cost more in memory and its misses than they save.
 MEMO = 200_000
 #: Min-hashes of the order key, 16 bits each.
 KEY_PARTS = 3
@@ -66,8 +67,9 @@ class WordEncoder:
     """Ids of whole texts, as little-endian 16-bit values, or 32-bit ones of a larger vocabulary.
 
     The vocabulary cuts a text in its lower-cased normal form into pieces that never reach over white space, and merges
-    within each piece.  So a text is cut at white space, Latin chunks are cut into pieces here, and other chunks are
-    encoded in a call each.  A worker keeps the ids of up to ``memo`` chunks and pieces.
+    within each piece.  So texts are cut at white space, a batch at a time by Arrow where it is spaces and line feeds, and each
+    distinct chunk of a batch is looked up once.  Latin chunks are cut into pieces here, and other chunks are
+    encoded in a call each.  A worker keeps the ids of up to ``memo`` pieces, lower-cased, and other chunks.
     """
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -80,7 +82,7 @@ class WordEncoder:
         self.size = self._tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self._bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.size)]
-        self._memo = Memo(self._chunk, memo)
+        self._memo = Memo(self._ids, memo)
 
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces of a Latin text; None where it holds anything else."""
@@ -95,23 +97,30 @@ class WordEncoder:
         ids = self._bytes
         return b"".join([ids[t.id] for t in self._model.tokenize(shown)])
 
+    def _ids(self, key: str) -> bytes:
+        """Ids of a lower-cased piece of a Latin chunk, or of any other chunk."""
+        if key.isascii() and key.isalpha() or not _OTHER.search(key):
+            return self._merge(key)
+        return np.array(self._tokenizer.encode(key, add_special_tokens=False).ids, self.dtype).tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
         lower = chunk.lower()
-        if lower.isalpha():
-            if chunk.isascii() or not _OTHER.search(chunk):
-                return self._merge(lower)  # letters alone are one piece
-        elif chunk.isascii() and lower[:-1].isalpha() and "!" <= lower[-1] <= "~" and lower[-1] not in "'0123456789":
-            return self._memo[lower[:-1]] + self._memo[lower[-1]]  # letters and one sign
+        word = lower if lower.isalpha() else lower.rstrip(SIGNS)
+        if word.isalpha() and (chunk.isascii() or not _OTHER.search(chunk)):  # letters are one piece, and signs after them one more
+            return self._memo[word] + self._memo[lower[len(word):]] if len(word) < len(lower) else self._memo[word]
+        parts = _ASCII_SPACE.split(chunk) if _CONTROLS.search(chunk) else chunk.split()
+        if parts != [chunk]:
+            return b"".join(map(self._chunk, parts))
         pieces = self._pieces(chunk)
-        if pieces is None:
-            return np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
-        if pieces == [chunk]:
-            return self._merge(chunk)
-        return b"".join([self._memo[p] for p in pieces])
+        return b"".join([self._memo[p] for p in pieces]) if pieces is not None else self._memo[chunk]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        get = self._memo.__getitem__
-        return [b"".join(map(get, _ASCII_SPACE.split(text) if _CONTROLS.search(text) else text.split())) for text in texts]
+        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        chunks = cut.values.dictionary_encode()
+        width = self.dtype.itemsize
+        ids, place = gather(list(map(self._chunk, chunks.dictionary.to_numpy(zero_copy_only=False))), chunks.indices.to_numpy(), width)
+        place, ids = (width * place[cut.offsets.to_numpy()]).tolist(), memoryview(ids).cast("B")
+        return [bytes(ids[a:b]) for a, b in zip(place, place[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -177,7 +186,7 @@ def _encode_batches(path: str, capacity: int, end_id: int, keep_ids: bool):
         end, width = np.array([end_id], dtype).tobytes(), dtype.itemsize
         held = np.zeros(size, np.int64)
         sequence = -1 - (TaskContext.get().partitionId() << 33)  # below zero: apart from the shards' numbers
-        for batch in slices(batches):
+        for batch in slices(batches, rows=1024):  # a chunk is looked up once in a slice
             texts = [t or "" for t in batch.column("text").to_pylist()]
             windows, items = [], []
             for row_id, doc_id, ids in zip(batch.column("row_id").to_pylist(), batch.column("doc_id").to_pylist(), encoder.encode(texts)):

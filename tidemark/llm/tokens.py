@@ -26,7 +26,7 @@ END_ID = 2
 MEMO = 200_000
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -114,7 +114,7 @@ class ChunkEncoder:
         """Ids of a chunk; none where other white space asks for its whole text."""
         if chunk.isalpha():
             return self._memo[chunk]
-        word = chunk.rstrip(_SIGNS)
+        word = chunk.rstrip(SIGNS)
         signs = chunk[len(word):]
         if signs[:1] != "'":  # it may begin a piece with letters
             if word.isalpha():
