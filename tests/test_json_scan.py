@@ -3,9 +3,11 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans import runner
 from tidemark.schema import RunRequest
+from tidemark.session import shared_path
 from tidemark.sources import json_scan
 from tidemark.sources import payload as pl
 from tidemark.sources.ordinal import ROW_NUMBER
@@ -91,3 +93,79 @@ def test_run_over_a_large_document(spark, scratch, monkeypatch):
     result = runner.run(spark, RunRequest(source="users"), input_path=path, root=f"{scratch}/root")
     assert (result.status, result.records) == ("done", 300)
     assert {(r["id"], r[ROW_NUMBER]) for r in result.prepared.collect()} == {(k, k) for k in range(1, 301)}
+
+
+@pytest.mark.parametrize("seed, size, most", [(1, 40, 50_000), (2, 333, 50_000), (3, 3_000, 0)])
+def test_chunks_of_the_spark_reader_equal_a_json_parser(spark, scratch, monkeypatch, seed, size, most):
+    want = land(scratch, seed)
+    monkeypatch.setattr(json_scan, "_open_to_tasks", lambda spark, files: (False, 0))
+    monkeypatch.setattr(json_scan, "BROADCAST_RANGES", most)
+    rows = sorted(json_scan.read_records(spark, scratch, "users", range_bytes=size).collect(), key=lambda r: r[ROW_NUMBER])
+    assert [json.loads(r["record"]) for r in rows] == want and [r[ROW_NUMBER] for r in rows] == list(range(1, len(want) + 1))
+
+
+def test_many_ranges_share_a_task_and_no_text_is_stored_or_shuffled(spark, scratch, monkeypatch):
+    records = [{"id": k, "t": "}]" * (400 if k % 50 == 0 else 3)} for k in range(1500)]
+    for name in "ab":
+        with open(os.path.join(scratch, f"{name}.json"), "w") as f:
+            json.dump({"users": records}, f)
+    size = os.path.getsize(os.path.join(scratch, "a.json"))
+    assert size // 64 > 800  # ranges of a file
+    stored = []
+    monkeypatch.setattr(json_scan, "shared_path", lambda *a, **k: stored.append(a) or shared_path(*a, **k))
+    context = spark.sparkContext
+    context.setJobGroup("json-ranges", "")
+    try:
+        got = json_scan.read_records(spark, scratch, "users", range_bytes=64)
+        rows = got.agg(F.count("*"), F.sum(ROW_NUMBER), F.max(ROW_NUMBER)).first()
+    finally:
+        context._jsc.clearJobGroup()
+    assert tuple(rows) == (3000, 3000 * 3001 // 2, 3000) and not stored
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("json-ranges") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+    assert tasks and max(tasks) <= max(4 * context.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def test_ranges_share_out_the_chunks_of_a_file_at_any_block_size():
+    _, pieces, runs = json_scan._reader()
+    rng = random.Random(7)
+    for _ in range(60):
+        data = "".join(rng.choice("{}}x\u00e9\n") for _ in range(rng.randrange(1, 80))).encode()
+        size, width, most, step = len(data), rng.randrange(1, 30), rng.randrange(1, 9), rng.randrange(1, 9)
+        read = lambda at, n: data[at: at + n]
+        shares = [list(pieces(read, start, start + width, size, most, step)) for start in range(0, size, width)]
+        assert b"".join(p for share in shares for p, own in share if own) == data
+        for start, share in zip(range(0, size, width), shares):
+            whole = b"".join(p for p, _ in share)
+            assert not share or data.endswith(whole) and start <= size - len(whole) < start + width
+            assert all(p.endswith(b"}") for p, _ in share[:-1])
+
+    text = json.dumps({"meta": [1], "users": [7, {"a": 'q"}\\\\'}, [], "}", [{"b": "]," * 20}, 2], None, {}]}, indent=1).encode()
+    for width in (3, 11, 1000):
+        for most in (1, 5, 1 << 20):
+            found, inside, depth, wanted = [], 0, 0, False
+            for start in range(0, len(text), width):
+                share = list(pieces(lambda at, n: text[at: at + n], start, start + width, len(text), most, 2))
+                for kind, own, *rest in runs(iter(share), 2, depth, inside, wanted, "users"):
+                    if kind == "container":
+                        wanted = own
+                    else:
+                        found += [rest[0][a:b].strip() for a, b in zip(rest[1].tolist(), rest[2].tolist())]
+                for piece, own in share:
+                    if own:
+                        for k, byte in enumerate(piece):
+                            escaped = (len(piece[:k]) - len(piece[:k].rstrip(b"\\"))) % 2
+                            inside ^= byte == 34 and not escaped
+                            depth += 0 if inside else (byte in b"{[") - (byte in b"]}")
+            assert [json.loads(f) for f in found] == json.loads(text)["users"]
+
+
+def test_records_of_bytes_that_are_no_utf8_and_of_compressed_files(spark, scratch):
+    with open(os.path.join(scratch, "a.json"), "wb") as f:
+        f.write(b'[{"id": 1, "t": "\xff}"}, \x0b{"id": 2}]')
+    rows = json_scan.read_records(spark, scratch, "users", range_bytes=8).orderBy(ROW_NUMBER).collect()
+    assert [json.loads(r["record"]) for r in rows] == [{"id": 1, "t": "\ufffd}"}, {"id": 2}]
+    files = spark.createDataFrame([("file:/x/a.json.gz", 5)], "path string, _size long")
+    assert json_scan._open_to_tasks(spark, files) == (False, 5)
+    assert json_scan._open_to_tasks(spark, files.select(F.lit("odd://x/a.json").alias("path"), "_size")) == (False, 5)

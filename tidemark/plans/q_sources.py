@@ -7,6 +7,7 @@ shared checkpoint directory, then read it back through the source operators.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,16 +82,15 @@ def q_json_large_document(spark, sf_dir):
     longer than a range, found by many tasks (ranges of 128 KB here)."""
     note = F.concat(F.col("id").cast("string"), F.lit('"}, {"id": ['), F.repeat(F.lit("}\\\\"), (F.col("id") % 5).cast("int")), F.lit("\n]"))
     tags = F.array_repeat(F.struct(F.lit("}").alias("t")), F.when(F.col("id") % 4000 == 0, 30000).otherwise(F.col("id") % 3).cast("int"))
-    carts = fx.carts_raw(spark, sf_dir).select("id", F.struct(F.col("id"), "userId", "total", note.alias("note"), tags.alias("tags")).alias("r"))
-    page = F.lpad(F.floor(F.col("id") / DOCUMENT_ROWS).cast("string"), 9, "0")
-    rows = carts.select(page.alias("page"), "id", F.concat(F.lit(",\n  "), F.to_json("r")).alias("value"))
-    pages = rows.groupBy("page").agg(F.min("id").alias("first"))
-    ends = pages.select("page", F.explode(F.array(F.struct(F.lit(-1).cast("bigint").alias("id"), F.lit('{"carts_of": {"carts": [{}]}, "carts": [').alias("value")),
-                                                  F.struct(F.lit(1 << 62).alias("id"), F.lit('], "limit": [{"x": 1}]}').alias("value")))).alias("e")).select("page", "e.*")
-    first = rows.join(pages, "page").select("page", "id", F.when(F.col("id") == F.col("first"), F.expr("substring(value, 2)")).otherwise(F.col("value")).alias("value"))
+    carts = fx.carts_raw(spark, sf_dir).select("id", "userId", "total", F.lpad(F.floor(F.col("id") / DOCUMENT_ROWS).cast("string"), 9, "0").alias("page"))
+    # The short rows are shuffled, and texts made of them where they are written; a page holds at most DOCUMENT_ROWS of them.
+    in_page = Window.partitionBy("page").orderBy("id")
+    placed = carts.withColumns({"first": F.lag("id").over(in_page).isNull(), "last": F.lead("id").over(in_page).isNull()})
+    text = F.concat(F.when(F.col("first"), F.lit('{"carts_of": {"carts": [{}]}, "carts": [\n')).otherwise(F.lit(",")), F.lit("\n  "),
+                    F.to_json(F.struct(F.col("id"), "userId", "total", note.alias("note"), tags.alias("tags"))),
+                    F.when(F.col("last"), F.lit('\n], "limit": [{"x": 1}]}')).otherwise(F.lit("")))
     path = shared_path(spark, "landing", "documents")
-    lines = first.unionByName(ends).repartition("page").sortWithinPartitions("page", "id")
-    lines.select("page", "value").write.partitionBy("page").text(path)
+    placed.select("page", text.alias("value")).write.partitionBy("page").text(path)
     records = json_scan.read_records(spark, path, "carts", range_bytes=131_072).drop("_file")
     parsed = pl.parse_records(records, T.StructType.fromDDL("id bigint, userId bigint, total double, note string, tags array<struct<t: string>>"))
     return parsed.withColumn("tags", F.size("tags").cast("bigint"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import file_opener
+
 MANIFEST = "_manifest"  # Spark's readers skip names that start with an underscore
 MANIFEST_SCHEMA = "number long, source string, name string, bytes long, sha256 string"
 #: Bytes a copy task should get, as far as whole files allow.
@@ -31,20 +33,12 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _copy_files(folder: str, block: int):
+    opened = file_opener()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
         import uuid
 
-        from pyarrow import fs
-
-        def opened(path):
-            scheme, colon, rest = path.partition(":")
-            if not colon or "/" in scheme:
-                return fs.LocalFileSystem(), path
-            if scheme == "file":
-                return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-            return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + colon + rest)
-
         target_fs, target = opened(folder)
         for batch in batches:
             rows = []
