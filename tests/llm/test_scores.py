@@ -186,3 +186,22 @@ def test_language_model_keeps_no_table_that_is_read_no_more(spark):
     assert len(rows) == 30 and all(r.score < 0 for r in rows)
     assert {p for folder in folders for p in folder.glob("*")} == had
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_language_model_features_are_made_in_their_parts(spark, capsys):
+    rng = np.random.default_rng(5)
+    history, token = rng.integers(0, 40, 900) * lm._WIDTH + rng.integers(0, 9, 900), rng.choice([1, 2, 40, lm._TAIL + 3, lm._TAIL + 900], 900)
+    events = spark.createDataFrame(pa.table({"history": history, "token": token, "n": np.ones(900, np.int64)})).distinct()
+    dealt = (events.withColumn("part", F.expr("CAST(pmod(xxhash64(history), 7) AS INT)")), 3)
+    features = lm.features_by_part(dealt, 2)
+    rows = features.collect()
+    want = set()
+    for r in dealt[0].collect():
+        event, node, digit = lm.token_paths(np.array([r.token]), 2)
+        want |= {(r.part, k, d) for keys in lm.feature_keys(np.array([r.history])[event], node) for k, d in zip(keys.tolist(), digit.tolist())}
+    assert len(rows) == len(want) and {(r.part, r.key, r.digit) for r in rows} == want
+    lead = [(r.part, r.key) for r in rows if r.lead]
+    assert len(lead) == len(set(lead)) and set(lead) == {(p, k) for p, k, _ in want}
+    stored = spark.createDataFrame(dealt[0].toArrow())
+    lm.features_by_part((stored, 3), 2).where("lead").select("part", "key").explain()
+    assert capsys.readouterr().out.count("Exchange") == 1  # the events', none of the features
